@@ -69,13 +69,19 @@ def reject_profile(rejected: DataFrame) -> DataFrame:
 
 def input_accounting(consumed: DataFrame, valid: DataFrame, rejected: DataFrame) -> DataFrame:
     """Whether valid plus rejected rows equal the payloads consumed."""
-    counts = (
-        consumed.agg(F.count("*").alias("consumed_rows"))
-        .crossJoin(valid.agg(F.count("*").alias("valid_rows")))
-        .crossJoin(rejected.agg(F.count("*").alias("rejected_rows")))
+    inputs = {"consumed_rows": consumed, "valid_rows": valid, "rejected_rows": rejected}
+    counted = reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count("*").alias("rows")).withColumn("part", F.lit(name))
+            for name, df in inputs.items()
+        ],
+    )
+    side_by_side = counted.agg(
+        *[F.sum(F.when(F.col("part") == name, F.col("rows"))).alias(name) for name in inputs]
     )
     total = F.col("valid_rows") + F.col("rejected_rows")
-    return counts.withColumn("accounted", total == F.col("consumed_rows"))
+    return side_by_side.withColumn("accounted", total == F.col("consumed_rows"))
 
 
 def recent_valid(valid: DataFrame, n: int = 10) -> DataFrame:
@@ -90,25 +96,32 @@ def table_inventory(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame
     the file listing (no content is read).
     """
 
-    def describe(name: str, path: str) -> DataFrame:
-        listing = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-            .agg(
-                F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"),
-                F.max("modificationTime").alias("last_modified"),
-            )
-        )
-        rows = spark.read.parquet(path).agg(F.count("*").alias("row_count"))
-        return rows.crossJoin(listing).select(
+    def rows(name: str, path: str) -> DataFrame:
+        return spark.read.parquet(path).agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_id"),
             "row_count",
-            "size_bytes",
-            F.round(F.col("size_bytes") / 1024 / 1024, 2).alias("size_mb"),
-            "last_modified",
+            F.lit(0).cast("bigint").alias("size_bytes"),
+            F.lit(None).cast("timestamp").alias("last_modified"),
+        )
+
+    def files(name: str, path: str) -> DataFrame:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return listing.option("pathGlobFilter", "*.parquet").load(path).select(
+            F.lit(name).alias("table_id"),
+            F.lit(0).cast("bigint").alias("row_count"),
+            F.col("length").alias("size_bytes"),
+            F.col("modificationTime").alias("last_modified"),
         )
 
-    described = [describe(name, path) for name, path in tables.items()]
-    return reduce(DataFrame.unionByName, described).orderBy("table_id")
+    parts = [part(name, path) for name, path in tables.items() for part in (rows, files)]
+    return (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("table_id")
+        .agg(
+            F.sum("row_count").alias("row_count"),
+            F.sum("size_bytes").alias("size_bytes"),
+            F.round(F.sum("size_bytes") / 1024 / 1024, 2).alias("size_mb"),
+            F.max("last_modified").alias("last_modified"),
+        )
+        .orderBy("table_id")
+    )

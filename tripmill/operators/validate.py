@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -39,7 +40,7 @@ def validate_events(
     as_of: datetime | None = None,
     payload: str = "value",
     strict: bool = False,
-    metrics: str = ROUTING_METRICS,
+    metrics: str | None = None,
 ) -> DataFrame:
     """Check every payload of ``df`` and convert it to typed columns.
 
@@ -49,11 +50,15 @@ def validate_events(
     it. ``strict`` adds the contract checks that the running pipeline leaves
     out (extra keys, UUID ids, JSON types).
 
-    The rows are counted on the way under the observation ``metrics``. That
-    node also keeps a later filter on ``error_code`` from being pushed below
-    the parse, where Catalyst would repeat the parse for every rule.
+    The rows are counted on the way under the observation ``metrics`` (by
+    default ``event_routing`` on a stream and a name of its own on a batch, as
+    one plan cannot hold two observations of one name). That node also keeps a
+    later filter on ``error_code`` from being pushed below the parse, where
+    Catalyst would repeat the parse for every rule.
     """
     spec = spec or EventSpec()
+    if metrics is None:
+        metrics = ROUTING_METRICS if df.isStreaming else f"{ROUTING_METRICS}_{uuid.uuid4().hex}"
     configure(df.sparkSession)
     parsed = df.select(utf8_text(F.col(payload)).alias("raw_payload")).withColumn(
         "doc", strict_json(F.col("raw_payload"))
