@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from tripmill.functions.numeric import half_even
 from tripmill.functions.text import rfc3339_timestamp, strict_json, utf8_text
 from tripmill.session import clock, configure
 
-# What counts as the text of a number. Spark's cast would also take Java
-# spellings such as 1.5d or 0x1p3, and the words NaN and Infinity.
-NUMBER_TEXT = r"^(true|false|[\s0-9.eE+-]+)$"
+# What counts as the text of a number. Spark's cast would also take the Java
+# spellings 1.5d and 0x1p3, and the words NaN and Infinity.
+NUMBER_TEXT = r"^[\s0-9.eE+-]+$"
 UUID_TEXT = r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 # The order in which conversions are tried decides which field is reported.
@@ -63,12 +63,7 @@ def validate_events(
     parsed = df.select(utf8_text(F.col(payload)).alias("raw_payload")).withColumn(
         "doc", strict_json(F.col("raw_payload"))
     )
-    extracted = parsed.withColumns(
-        {
-            "event": F.try_variant_get("doc", "$.p", _ddl(spec)),
-            "number_text": F.try_variant_get("doc", "$.p", _ddl(spec, "number", "string")),
-        }
-    )
+    extracted = parsed.withColumn("event", F.try_variant_get("doc", "$.p", _ddl(spec)))
     typed = extracted.select(
         "raw_payload",
         F.col("doc").isNotNull().alias("is_json"),
@@ -79,19 +74,11 @@ def validate_events(
         clock(as_of).alias("processing_time"),
     )
     rules = _rules(spec) + ([_contract_rule()] if strict else [])
-    checked = typed.withColumn(
-        "error",
-        F.coalesce(
-            *[
-                F.when(fails, F.struct(code.alias("code"), reason.alias("reason")))
-                for code, fails, reason in rules
-            ]
-        ),
-    )
+    checked = typed.withColumn("broken", _first_broken(rules))
     return checked.select(
         "raw_payload",
-        F.col("error.code").alias("error_code"),
-        F.col("error.reason").alias("error_reason"),
+        _of_rule([code for code, _, _ in rules]).alias("error_code"),
+        _of_rule([reason for _, _, reason in rules]).alias("error_reason"),
         *spec.names,
         "processing_time",
     ).observe(
@@ -130,11 +117,11 @@ def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid_events(validated), rejected_events(validated)
 
 
-def _ddl(spec: EventSpec, only: str | None = None, as_type: str | None = None) -> str:
+def _ddl(spec: EventSpec) -> str:
     """Struct type read from the document in one pass; a bad field alone becomes NULL."""
-    wire = {"string": "string", "timestamp": "string", "integer": "bigint", "number": "double"}
-    fields = spec.of_kind(only) if only else spec.fields
-    return "struct<" + ",".join(f"{f.name}:{as_type or wire[f.kind]}" for f in fields) + ">"
+    return "struct<" + ",".join(
+        f"{f.name}:{'bigint' if f.kind == 'integer' else 'string'}" for f in spec.fields
+    ) + ">"
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -142,8 +129,13 @@ def _typed(name: str, kind: str) -> Column:
     if kind == "timestamp":
         return rfc3339_timestamp(value)
     if kind == "number":
-        plain = F.col("number_text")[name].rlike(NUMBER_TEXT)
-        return F.when(plain & (F.abs(value) < F.lit(float("inf"))), value)
+        number = value.try_cast("double")
+        finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+        # The boolean true is the number 1, the string "true" is none.
+        boolean = F.try_variant_get("doc", f"$.p.{name}", "double")
+        return F.when(value.rlike(NUMBER_TEXT), finite).when(
+            value.isin("true", "false"), boolean
+        )
     return value.cast(SPARK_TYPES[kind])
 
 
@@ -157,7 +149,25 @@ def _missing(spec: EventSpec) -> Column:
     return F.when(F.col("event").isNotNull() & any_null, absent)
 
 
-def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
+Rule = tuple[str | Column, Column, str | Column]
+
+
+def _first_broken(rules: list[Rule]) -> Column:
+    """Position of the first rule that fails, NULL for a valid event."""
+    return F.coalesce(*[F.when(fails, i) for i, (_, fails, _) in enumerate(rules)])
+
+
+def _of_rule(texts: list[str | Column]) -> Column:
+    """The broken rule's entry of ``texts``: looked up if constant, else computed."""
+    constant = F.array(*[F.lit(t) if isinstance(t, str) else F.lit("") for t in texts])
+    value = F.get(constant, F.col("broken"))
+    for i, text in enumerate(texts):
+        if not isinstance(text, str):
+            value = F.when(F.col("broken") == i, text).otherwise(value)
+    return value
+
+
+def _rules(spec: EventSpec) -> list[Rule]:
     """(code, failure predicate, reason) in order of evaluation.
 
     A predicate must not be NULL for a failing row, so each relies on the
@@ -167,12 +177,11 @@ def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     components = [f.name for f in spec.of_kind("number") if f.minimum == 0]
     source = spec["source_type"].allowed[0]
-    as_text = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
     rules = [
-        _rule("INVALID_JSON", ~F.col("is_json"), "payload is not one complete JSON document"),
-        _rule("NOT_AN_OBJECT", ~F.col("is_object"), "payload must be an object"),
-        _rule(
+        ("INVALID_JSON", ~F.col("is_json"), "payload is not one complete JSON document"),
+        ("NOT_AN_OBJECT", ~F.col("is_object"), "payload must be an object"),
+        (
             "MISSING_FIELDS",
             F.coalesce(F.size("missing"), F.lit(0)) > 0,
             F.concat(F.lit("missing fields: "), F.array_join("missing", ", ")),
@@ -180,34 +189,30 @@ def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
     ]
     for name in ("pickup_datetime", "dropoff_datetime", "event_time", "ingestion_time"):
         rules.append(
-            _rule(
+            (
                 f"BAD_{name.upper()}",
                 F.col(name).isNull(),
                 f"{name} must be a timestamp string with a zone offset",
             )
         )
     rules += [
-        _rule(
+        (
             "EVENT_TIME_MISMATCH",
             F.col("event_time") != pickup,
             "event_time must equal pickup_datetime",
         ),
-        _rule(
+        (
             "INGESTION_IN_FUTURE",
             F.col("ingestion_time") > F.col("processing_time"),
             "ingestion_time must not lie in the future",
         ),
-        _rule(
+        (
             "OUTSIDE_EVENT_PERIOD",
             ~((pickup >= start) & (pickup < end)),
-            F.concat(
-                F.lit("pickup_datetime is outside the period from "),
-                F.date_format(start, as_text),
-                F.lit(" to before "),
-                F.date_format(end, as_text),
-            ),
+            f"pickup_datetime is outside the period from {_zulu(spec.start)}"
+            f" to before {_zulu(spec.end)}",
         ),
-        _rule(
+        (
             "BAD_DROPOFF_ORDER",
             ~((pickup < dropoff) & (dropoff < end)),
             "dropoff_datetime must lie after pickup_datetime and inside the period",
@@ -215,7 +220,7 @@ def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
     ]
     for name in CONVERSION_ORDER:
         kind = "an integer" if spec[name].kind == "integer" else "a finite number"
-        rules.append(_rule(f"BAD_TYPE:{name}", F.col(name).isNull(), f"{name} is not {kind}"))
+        rules.append((f"BAD_TYPE:{name}", F.col(name).isNull(), f"{name} is not {kind}"))
     for code, name in (
         ("BAD_PICKUP_LOCATION", "pickup_location_id"),
         ("BAD_DROPOFF_LOCATION", "dropoff_location_id"),
@@ -223,36 +228,36 @@ def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
     ):
         low, high = spec[name].minimum, spec[name].maximum
         rules.append(
-            _rule(code, ~F.col(name).between(low, high), f"{name} must lie in {low} to {high}")
+            (code, ~F.col(name).between(low, high), f"{name} must lie in {low} to {high}")
         )
     codes = spec["payment_type"].allowed
     rules += [
-        _rule(
+        (
             "BAD_PAYMENT_TYPE",
             ~F.col("payment_type").isin(*codes),
             "payment_type must be one of " + ", ".join(map(str, codes)),
         ),
-        _rule(
+        (
             "NON_POSITIVE_DISTANCE",
             F.col("trip_distance") <= spec["trip_distance"].above,
             "trip_distance must be positive",
         ),
-        _rule(
+        (
             "NEGATIVE_COMPONENT",
             F.least(*components) < 0,
             "none of " + ", ".join(components) + " may be negative",
         ),
-        _rule(
+        (
             "NON_POSITIVE_TOTAL",
             F.col("total_amount") <= spec["total_amount"].above,
             "total_amount must be positive",
         ),
-        _rule(
+        (
             "BAD_SOURCE_TYPE",
             ~F.col("source_type").eqNullSafe(source),
             f"source_type must be {source}",
         ),
-        _rule(
+        (
             "BAD_EVENT_ID",
             F.col("event_id").isNull(),
             "event_id is null, but the valid table requires it",
@@ -261,8 +266,8 @@ def _rules(spec: EventSpec) -> list[tuple[Column, Column, Column]]:
     return rules
 
 
-def _rule(code: str, fails: Column, reason: str | Column) -> tuple[Column, Column, Column]:
-    return F.lit(code), fails, F.lit(reason) if isinstance(reason, str) else reason
+def _zulu(instant: datetime) -> str:
+    return instant.astimezone(timezone.utc).isoformat().replace("+00:00", "Z")
 
 
 def _contract_error(spec: EventSpec) -> Column:
@@ -285,6 +290,6 @@ def _contract_error(spec: EventSpec) -> Column:
     return F.coalesce(*checks)
 
 
-def _contract_rule() -> tuple[Column, Column, Column]:
+def _contract_rule() -> Rule:
     error = F.col("contract_error")
-    return error, error.isNotNull(), F.lit("event breaks the written contract")
+    return error, error.isNotNull(), "event breaks the written contract"

@@ -12,10 +12,16 @@ from pyspark.sql import functions as F
 # UTC: every stored instant and every business date is UTC.
 # allowDuplicateKeys: in a JSON object with a repeated key the last value wins.
 # adaptive: skewed joins and skewed table writes are split at run time.
+# minPartitionSize: writing many small dates is bound by file creation, so even
+# a small write should be spread over the cores.
+# hugeMethodLimit: the JVM does not compile methods above 8000 bytes. The wide
+# validation projections are faster as several methods than as one such stage.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
