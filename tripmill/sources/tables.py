@@ -111,9 +111,15 @@ def replace_table(
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}/run={run_id}"
     write_run(df, path, partition_by, cluster_by)
-    columns = ", ".join(f"`{c}`" for c in df.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT {columns} FROM parquet.`{path}`")
-    return read_table(spark, path, df.schema)
+    written = read_table(spark, path, df.schema)
+    if written.isEmpty():  # a partitioned write of no rows leaves no file to read a schema from
+        columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema]
+        source = f"SELECT {', '.join(columns)} WHERE false"
+    else:
+        columns = [f"`{c}`" for c in df.columns]
+        source = f"SELECT {', '.join(columns)} FROM parquet.`{path}`"
+    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS {source}")
+    return written
 
 
 def append_batch(
