@@ -9,10 +9,11 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.contract import BATCH_SCHEMA, EventSpec, PipelineConfig, utc
+from tripmill.functions.text import sql_text
 from tripmill.operators.validate import valid_events, validate_events
 from tripmill.session import configure
 from tripmill.sources.tables import to_schema
@@ -26,13 +27,16 @@ CONFIG = PipelineConfig(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; one too small to give every core a split is spread over the cores."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def deliveries(again: Column) -> Column:
+def deliveries(again: str) -> str:
     """0 for the first delivery of a row, and 1 as well for rows delivered again."""
-    return F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return f"explode(CASE WHEN {again} THEN array(0, 1) ELSE array(0) END) AS delivery"
 
 
 def batch_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,29 +47,83 @@ def batch_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    key, price = F.col("l_orderkey"), F.col("l_extendedprice")
-    copies = lines.withColumn("delivery", deliveries(key % 10 == 0))
-    trips = copies.select(
-        F.col("o_orderdate").alias("lpep_pickup_datetime"),
-        F.col("l_shipdate").alias("lpep_dropoff_datetime"),
-        (F.col("l_partkey") % 270).alias("PULocationID"),
-        (key % 270).alias("DOLocationID"),
-        F.nullif(F.col("l_linenumber"), F.lit(7)).alias("passenger_count"),
-        (F.col("l_quantity") - 1).alias("trip_distance"),
-        F.when(key % 97 == 0, -price).otherwise(price).alias("fare_amount"),
-        (F.floor(price * F.col("l_discount")) + F.col("delivery")).alias("tip_amount"),
-        F.floor(price * F.col("l_tax")).alias("tolls_amount"),
-        F.when(key % 101 == 0, 0.0)
-        .otherwise(price + F.floor(price * F.col("l_tax")))
-        .alias("total_amount"),
-        F.when(F.col("l_returnflag") == "A", 1)
-        .when(F.col("l_returnflag") == "N", 2)
-        .otherwise(3)
-        .alias("payment_type"),
+    trips = lines.selectExpr("*", deliveries("l_orderkey % 10 = 0")).selectExpr(
+        "o_orderdate AS lpep_pickup_datetime",
+        "l_shipdate AS lpep_dropoff_datetime",
+        "l_partkey % 270 AS PULocationID",
+        "l_orderkey % 270 AS DOLocationID",
+        "nullif(l_linenumber, 7) AS passenger_count",
+        "l_quantity - 1 AS trip_distance",
+        "CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
+        " AS fare_amount",
+        "floor(l_extendedprice * l_discount) + delivery AS tip_amount",
+        "floor(l_extendedprice * l_tax) AS tolls_amount",
+        "CASE WHEN l_orderkey % 101 = 0 THEN 0D"
+        " ELSE l_extendedprice + floor(l_extendedprice * l_tax) END AS total_amount",
+        "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS payment_type",
     )
     return to_schema(trips, BATCH_SCHEMA)
 
 
+# SQL of each payload field's JSON text, and of the text that replaces it in a
+# payload with the defect of that number.
+PERIOD_END = sql_text(CONFIG.event.end.strftime('"%Y-%m-%dT%H:%M:%SZ"'))
+PAYLOAD_FIELDS: dict[str, tuple[str, dict[int, str]]] = {
+    "event_id": (
+        """concat('"00000000-0000-4000-8000-', hex_id, '"')""",
+        {32: """concat('"trip-', hex_id, '"')"""},
+    ),
+    "event_time": (
+        """concat('"', pickup_text, 'Z"')""",
+        {
+            6: "unix_seconds(pickup)",
+            8: """concat('"', date_format(pickup + INTERVAL 1 SECOND, iso), 'Z"')""",
+            10: PERIOD_END,
+        },
+    ),
+    "ingestion_time": (
+        """concat('"', date_format(ingestion, iso), 'Z"')""",
+        {7: "'null'", 9: """'"2030-01-01T00:00:00Z"'"""},
+    ),
+    "pickup_datetime": (
+        """concat('"', pickup_text, 'Z"')""",
+        {
+            4: """concat('"', pickup_text, '"')""",
+            10: PERIOD_END,
+            36: """concat('"', date_format(pickup + INTERVAL 7 HOURS, iso), '+07:00"')""",
+        },
+    ),
+    "dropoff_datetime": (
+        """concat('"', date_format(dropoff, iso), 'Z"')""",
+        {
+            5: """concat('"', date_format(pickup, 'yyyy-MM-dd'), '"')""",
+            11: """concat('"', pickup_text, 'Z"')""",
+        },
+    ),
+    "pickup_location_id": ("pu", {12: """'"abc"'""", 21: "'266'"}),
+    "dropoff_location_id": ("do", {13: "'[1]'", 22: "'0'"}),
+    "passenger_count": (
+        "passengers",
+        {
+            14: "'null'",
+            23: "'7'",
+            33: """concat('"', passengers, '"')""",
+            34: "concat(passengers, '.7')",
+        },
+    ),
+    "trip_distance": (
+        "distance",
+        {16: """'"NaN"'""", 25: "'0'", 35: """concat('"', distance, '"')"""},
+    ),
+    "fare_amount": ("fare", {18: """'"ten"'"""}),
+    "tip_amount": ("tip", {3: "NULL", 19: """'"Infinity"'""", 26: "'-0.01'"}),
+    "tolls_amount": ("tolls", {20: "'null'"}),
+    "total_amount": ("total", {17: "'{}'", 27: "'0'"}),
+    "payment_type": ("payment", {15: """'"3.7"'""", 24: "'5'", 30: "'9'"}),
+    "source_type": ("""'"stream"'""", {28: """'"batch"'""", 30: """'"batch"'"""}),
+}
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload bytes, one JSON event per row of ``events``; every seventh comes twice.
 
@@ -74,120 +132,45 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     the order of the rules (29: text after the object, 30: two defects). From
     31 to 36 the event is valid at run time in an unusual spelling.
     """
-    events = table(spark, sf_dir, "events")
-    eid, uid = F.col("event_id"), F.col("user_id")
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    tip = cents % 500 + 100 * F.col("delivery")
-    tolls = F.when(uid % 4 == 0, 694).otherwise(0)
-    base = events.withColumn("delivery", deliveries(eid % 7 == 0)).select(
-        (eid % 50).alias("defect"),
-        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("pickup"),
-        (60 + uid * 37 % 5400).alias("seconds"),
-        F.lpad(F.lower(F.hex(eid)), 12, "0").alias("hex_id"),
-        (1 + eid % 265).alias("pu"),
-        (1 + uid % 265).alias("do"),
-        (1 + eid % 6).alias("passengers"),
-        (1 + eid % 4).alias("payment"),
-        ((F.floor(cents / 10) + 20) / 100).alias("distance"),
-        (cents / 100).alias("fare"),
-        (tip / 100).alias("tip"),
-        (tolls / 100).alias("tolls"),
-        ((cents + tip + tolls + 100) / 100).alias("total"),
-        "delivery",
-    )
-
-    def quoted(text: Column) -> Column:
-        return F.concat(F.lit('"'), text, F.lit('"'))
-
-    def instant(seconds: Column | int) -> Column:
-        at = F.timestamp_seconds(F.unix_seconds("pickup") + seconds)
-        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
-
-    pickup = instant(0)
-    dropoff = instant(F.col("seconds"))
-    end = F.lit(CONFIG.event.end.strftime("%Y-%m-%dT%H:%M:%S"))
-    zulu = F.lit("Z")
-
-    def field(name: str, right: Column, defects: dict[int, Column | str]) -> Column:
-        value = right.cast("string")
-        for number, text in defects.items():
-            wrong = F.lit(text) if isinstance(text, str) else text.cast("string")
-            value = F.when(F.col("defect") == number, wrong).otherwise(value)
-        return F.concat(F.lit(f'"{name}":'), value)
-
-    fields = [
-        field(
-            "event_id",
-            quoted(F.concat(F.lit("00000000-0000-4000-8000-"), "hex_id")),
-            {32: quoted(F.concat(F.lit("trip-"), "hex_id"))},
-        ),
-        field(
-            "event_time",
-            quoted(F.concat(pickup, zulu)),
-            {
-                6: F.unix_seconds("pickup"),
-                8: quoted(F.concat(instant(1), zulu)),
-                10: quoted(F.concat(end, zulu)),
-            },
-        ),
-        field(
-            "ingestion_time",
-            quoted(F.concat(instant(3600 * (1 + F.col("delivery"))), zulu)),
-            {7: "null", 9: '"2030-01-01T00:00:00Z"'},
-        ),
-        field(
-            "pickup_datetime",
-            quoted(F.concat(pickup, zulu)),
-            {
-                4: quoted(pickup),
-                10: quoted(F.concat(end, zulu)),
-                36: quoted(F.concat(instant(7 * 3600), F.lit("+07:00"))),
-            },
-        ),
-        field(
-            "dropoff_datetime",
-            quoted(F.concat(dropoff, zulu)),
-            {5: quoted(F.date_format("pickup", "yyyy-MM-dd")), 11: quoted(F.concat(pickup, zulu))},
-        ),
-        field("pickup_location_id", F.col("pu"), {12: '"abc"', 21: "266"}),
-        field("dropoff_location_id", F.col("do"), {13: "[1]", 22: "0"}),
-        field(
-            "passenger_count",
-            F.col("passengers"),
-            {
-                14: "null",
-                23: "7",
-                33: quoted(F.col("passengers").cast("string")),
-                34: F.concat(F.col("passengers").cast("string"), F.lit(".7")),
-            },
-        ),
-        field(
-            "trip_distance",
-            F.col("distance"),
-            {16: '"NaN"', 25: "0", 35: quoted(F.col("distance").cast("string"))},
-        ),
-        field("fare_amount", F.col("fare"), {18: '"ten"'}),
-        field("tip_amount", F.col("tip"), {19: '"Infinity"', 26: "-0.01"}),
-        field("tolls_amount", F.col("tolls"), {20: "null"}),
-        field("total_amount", F.col("total"), {17: "{}", 27: "0"}),
-        field("payment_type", F.col("payment"), {15: '"3.7"', 24: "5", 30: "9"}),
-        field("source_type", F.lit('"stream"'), {28: '"batch"', 30: '"batch"'}),
-    ]
-    names = EventSpec().names
-    kept = [
-        F.when(F.col("defect") == 3, F.lit(None)).otherwise(text) if name == "tip_amount" else text
-        for name, text in zip(names, fields, strict=True)
-    ]
-    extra = F.when(F.col("defect") == 31, F.lit('"vendor":2'))
-    body = F.concat_ws(",", *kept, extra)
-    document = F.concat(F.lit("{"), body, F.lit("}"))
-    text = (
-        F.when(F.col("defect") == 1, F.concat(F.lit("{"), body))
-        .when(F.col("defect") == 2, F.concat(F.lit("["), document, F.lit("]")))
-        .when(F.col("defect") == 29, F.concat(document, F.lit(" x")))
-        .otherwise(document)
+    delivered = table(spark, sf_dir, "events").selectExpr("*", deliveries("event_id % 7 = 0"))
+    cents = delivered.selectExpr(
+        "*",
+        "CAST(round(value * 100) AS BIGINT) AS cents",
+        "date_trunc('second', CAST(ts AS TIMESTAMP)) AS pickup",
+        "CASE WHEN user_id % 4 = 0 THEN 694 ELSE 0 END AS toll_cents",
+    ).selectExpr("*", "cents % 500 + 100 * delivery AS tip_cents")
+    values = cents.selectExpr(
+        "event_id % 50 AS defect",
+        "pickup",
+        "timestamp_seconds(unix_seconds(pickup) + 60 + user_id * 37 % 5400) AS dropoff",
+        "timestamp_seconds(unix_seconds(pickup) + 3600 * (1 + delivery)) AS ingestion",
+        "lpad(lower(hex(event_id)), 12, '0') AS hex_id",
+        "1 + event_id % 265 AS pu",
+        "1 + user_id % 265 AS do",
+        "1 + event_id % 6 AS passengers",
+        "1 + event_id % 4 AS payment",
+        "(floor(cents / 10) + 20) / 100 AS distance",
+        "cents / 100 AS fare",
+        "tip_cents / 100 AS tip",
+        "toll_cents / 100 AS tolls",
+        "(cents + tip_cents + toll_cents + 100) / 100 AS total",
+        r"'yyyy-MM-dd\'T\'HH:mm:ss' AS iso",
+    ).selectExpr("*", "date_format(pickup, iso) AS pickup_text")
+
+    def field(name: str, right: str, defects: dict[int, str]) -> str:
+        cases = " ".join(f"WHEN {n} THEN CAST({text} AS STRING)" for n, text in defects.items())
+        return f"concat('\"{name}\":', CASE defect {cases} ELSE CAST({right} AS STRING) END)"
+
+    fields = ", ".join(field(name, *entry) for name, entry in PAYLOAD_FIELDS.items())
+    extra = """CASE WHEN defect = 31 THEN '"vendor":2' END"""
+    bodies = values.selectExpr("defect", f"concat_ws(',', {fields}, {extra}) AS body")
+    return bodies.selectExpr(
+        """encode(CASE defect
+             WHEN 1 THEN concat('{', body)
+             WHEN 2 THEN concat('[{', body, '}]')
+             WHEN 29 THEN concat('{', body, '} x')
+             ELSE concat('{', body, '}') END, 'UTF-8') AS value"""
     )
-    return base.select(F.encode(text, "UTF-8").alias("value"))
 
 
 def validated_events(spark: SparkSession, sf_dir: str, strict: bool = False) -> DataFrame:

@@ -31,14 +31,14 @@ def rounded_ratio(total: Column, count: Column, scale: int = 2) -> Column:
     return F.coalesce(F.round(exact, scale).cast("double"), F.round(binary, scale))
 
 
-def half_even(column: Column, scale: int = 2) -> Column:
+def half_even(column: str, scale: int = 2) -> Column:
     """Round the exact binary value, ties to even, as event enrichment does.
 
     ``round`` and ``bround`` round the shortest decimal text instead: for them
-    2.675 is a tie, while the stored double lies below it.
+    2.675 is a tie, while the stored double lies below it. ``column`` is a
+    name or an SQL expression.
     """
-    text = F.call_function("format_number", column, F.lit("0." + "0" * scale))
-    return text.try_cast("double")
+    return F.expr(f"try_cast(format_number({column}, '0.{'0' * scale}') AS DOUBLE)")
 
 
 def to_integer(column: Column) -> Column:

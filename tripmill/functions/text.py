@@ -1,4 +1,9 @@
-"""Column builders for wire text: UTF-8, strict JSON, RFC 3339 and fingerprints."""
+"""Column builders for wire text: UTF-8, strict JSON, RFC 3339 and fingerprints.
+
+Arguments are column names or SQL expressions. The columns are written as SQL
+text: built piece by piece through the Python API, expressions of this size
+would spend longer on the way to the JVM than small queries run.
+"""
 
 from __future__ import annotations
 
@@ -20,44 +25,54 @@ ISO_VARIANT = (
 )
 
 
-def utf8_text(payload: Column) -> Column:
+def sql_text(text: str) -> str:
+    """``text`` as an SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def utf8_text(payload: str) -> Column:
     """Text of a payload; bytes that are not UTF-8 become U+FFFD, NULL becomes ''."""
-    return F.coalesce(F.make_valid_utf8(payload.cast("string")), F.lit(""))
+    return F.expr(f"coalesce(make_valid_utf8(CAST({payload} AS STRING)), '')")
 
 
-def strict_json(text: Column) -> Column:
+def strict_json(text: str) -> Column:
     """Variant ``{"p": <document>}``, or NULL unless the whole text is one JSON document.
 
     Spark's JSON readers ignore what follows the first document. The text is
     therefore read inside an object and inside an array: only a text that is
     exactly one document closes both wrappers.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    return F.when(alone, F.try_parse_json(F.concat(F.lit('{"p":'), text, F.lit("}"))))
+    return F.expr(
+        f"CASE WHEN json_array_length(concat('[', {text}, ']')) = 1"
+        f" THEN try_parse_json(concat('{{\"p\":', {text}, '}}')) END"
+    )
 
 
-def rfc3339_timestamp(text: Column) -> Column:
+def rfc3339_timestamp(text: str) -> Column:
     """Instant of an ISO timestamp with offset; NULL for any other text."""
-    respelled = F.regexp_replace(text, ISO_VARIANT, "$1-$3-$4T$5:$7:$8.$9$10")
-    respelled = F.regexp_replace(respelled, r":(?=[:.])", ":00")
-    respelled = F.regexp_replace(respelled, r"\.(?=[Z+-])", "")
-    return (
-        F.when(text.rlike(RFC3339), text.try_cast("timestamp"))
-        .when(text.rlike(ISO_VARIANT), respelled.try_cast("timestamp"))
+    respelled = f"regexp_replace({text}, r'{ISO_VARIANT}', '$1-$3-$4T$5:$7:$8.$9$10')"
+    respelled = f"regexp_replace({respelled}, ':(?=[:.])', ':00')"
+    respelled = rf"regexp_replace({respelled}, r'\.(?=[Z+-])', '')"
+    return F.expr(
+        f"CASE WHEN {text} RLIKE r'{RFC3339}' THEN try_cast({text} AS TIMESTAMP)"
+        f" WHEN {text} RLIKE r'{ISO_VARIANT}' THEN try_cast({respelled} AS TIMESTAMP) END"
     )
 
 
-def rfc3339_text(instant: Column) -> Column:
+def rfc3339_text(instant: str) -> Column:
     """UTC text with ``Z``; a zero fraction is left out, any other has six digits."""
-    whole = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    fraction = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.when(F.unix_micros(instant) % 1_000_000 == 0, whole).otherwise(fraction)
+    return F.expr(
+        f"date_format({instant}, CASE WHEN unix_micros({instant}) % 1000000 = 0"
+        r" THEN 'yyyy-MM-dd\'T\'HH:mm:ss\'Z\''"
+        r" ELSE 'yyyy-MM-dd\'T\'HH:mm:ss.SSSSSS\'Z\'' END)"
+    )
+
+
+def fingerprint_sql(columns: Sequence[str]) -> str:
+    texts = ", '|', ".join(f"CAST({c} AS STRING)" for c in columns)
+    return f"sha2(concat({texts}), 256)"
 
 
-def fingerprint(columns: Sequence[str | Column]) -> Column:
+def fingerprint(columns: Sequence[str]) -> Column:
     """SHA-256 hex of the columns' text joined by ``|``; NULL if any of them is NULL."""
-    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
-    parts = texts[:1]
-    for text in texts[1:]:
-        parts += [F.lit("|"), text]
-    return F.sha2(F.concat(*parts), 256)
+    return F.expr(fingerprint_sql(columns))

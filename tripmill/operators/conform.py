@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -18,12 +18,12 @@ from tripmill.contract import (
     PipelineConfig,
 )
 from tripmill.functions.numeric import to_integer
-from tripmill.functions.text import fingerprint
+from tripmill.functions.text import fingerprint_sql
 from tripmill.session import clock, configure
 
-# Trip column -> batch column, SQL expression, or function giving a Column.
-BATCH_MAPPING: dict[str, str | Callable[[], Column]] = {
-    "trip_id": lambda: fingerprint(FINGERPRINT_COLUMNS),
+# Trip column -> batch column or SQL expression.
+BATCH_MAPPING = {
+    "trip_id": fingerprint_sql(FINGERPRINT_COLUMNS),
     "pickup_datetime": "lpep_pickup_datetime",
     "dropoff_datetime": "lpep_dropoff_datetime",
     "pickup_date": "to_date(lpep_pickup_datetime)",
@@ -39,7 +39,7 @@ BATCH_MAPPING: dict[str, str | Callable[[], Column]] = {
 }
 
 # The validated stream has the trip columns already, under one other name.
-STREAM_MAPPING: dict[str, str | Callable[[], Column]] = {
+STREAM_MAPPING = {
     **{name: name for name in TRIP_SCHEMA.names if name != "source_type"},
     "trip_id": "event_id",
 }
@@ -47,7 +47,7 @@ STREAM_MAPPING: dict[str, str | Callable[[], Column]] = {
 
 def conform(
     df: DataFrame,
-    mapping: Mapping[str, str | Callable[[], Column]],
+    mapping: Mapping[str, str],
     source_label: str,
     as_of: datetime | None = None,
 ) -> DataFrame:
@@ -63,8 +63,7 @@ def conform(
             return F.lit(source_label)
         if name == "ingestion_time" and name not in mapping:
             return clock(as_of)
-        entry = mapping[name]
-        return entry() if callable(entry) else F.expr(entry)
+        return F.expr(mapping[name])
 
     found = df.select(*[source(name).alias(name) for name in TRIP_SCHEMA.names])
     return found.select(

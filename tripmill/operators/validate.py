@@ -8,10 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.contract import DEAD_LETTER_SCHEMA, SPARK_TYPES, VALID_SCHEMA, EventSpec
+from tripmill.contract import DEAD_LETTER_SCHEMA, VALID_SCHEMA, EventSpec, Field
 from tripmill.functions.numeric import half_even
-from tripmill.functions.text import rfc3339_timestamp, strict_json, utf8_text
-from tripmill.session import clock, configure
+from tripmill.functions.text import rfc3339_timestamp, sql_text, strict_json, utf8_text
+from tripmill.session import clock, configure, sql_instant
 
 # What counts as the text of a number. Spark's cast would also take the Java
 # spellings 1.5d and 0x1p3, and the words NaN and Infinity.
@@ -60,43 +60,43 @@ def validate_events(
     if metrics is None:
         metrics = ROUTING_METRICS if df.isStreaming else f"{ROUTING_METRICS}_{uuid.uuid4().hex}"
     configure(df.sparkSession)
-    parsed = df.select(utf8_text(F.col(payload)).alias("raw_payload")).withColumn(
-        "doc", strict_json(F.col("raw_payload"))
+    parsed = df.select(utf8_text(payload).alias("raw_payload")).withColumn(
+        "doc", strict_json("raw_payload")
     )
     extracted = parsed.withColumn("event", F.try_variant_get("doc", "$.p", _ddl(spec)))
     typed = extracted.select(
         "raw_payload",
-        F.col("doc").isNotNull().alias("is_json"),
-        F.col("event").isNotNull().alias("is_object"),
+        F.expr("doc IS NOT NULL AS is_json"),
+        F.expr("event IS NOT NULL AS is_object"),
         _missing(spec).alias("missing"),
-        *[_typed(f.name, f.kind).alias(f.name) for f in spec.fields],
+        *[_typed(f).alias(f.name) for f in spec.fields],
         *([_contract_error(spec).alias("contract_error")] if strict else []),
         clock(as_of).alias("processing_time"),
     )
-    rules = _rules(spec) + ([_contract_rule()] if strict else [])
+    rules = _rules(spec) + ([CONTRACT_RULE] if strict else [])
     checked = typed.withColumn("broken", _first_broken(rules))
     return checked.select(
         "raw_payload",
-        _of_rule([code for code, _, _ in rules]).alias("error_code"),
-        _of_rule([reason for _, _, reason in rules]).alias("error_reason"),
+        _of_broken([code for code, _, _ in rules]).alias("error_code"),
+        _of_broken([reason for _, _, reason in rules]).alias("error_reason"),
         *spec.names,
         "processing_time",
     ).observe(
         metrics,
-        F.count(F.lit(1)).alias("consumed"),
-        F.count_if(F.col("error_code").isNull()).alias("valid"),
-        F.count_if(F.col("error_code").isNotNull()).alias("rejected"),
+        F.expr("count(1) AS consumed"),
+        F.expr("count_if(error_code IS NULL) AS valid"),
+        F.expr("count_if(error_code IS NOT NULL) AS rejected"),
     )
 
 
 def enrich(df: DataFrame) -> DataFrame:
     """Add business date, duration and fare per mile to valid events."""
-    micros = F.unix_micros("dropoff_datetime") - F.unix_micros("pickup_datetime")
+    seconds = "(unix_micros(dropoff_datetime) - unix_micros(pickup_datetime)) / 1e6D"
     return df.withColumns(
         {
             "pickup_date": F.to_date("pickup_datetime"),
-            "trip_duration_minutes": half_even(micros / F.lit(1e6) / F.lit(60.0)),
-            "fare_per_mile": half_even(F.try_divide("fare_amount", "trip_distance")),
+            "trip_duration_minutes": half_even(f"{seconds} / 60D"),
+            "fare_per_mile": half_even("try_divide(fare_amount, trip_distance)"),
         }
     ).select(*VALID_SCHEMA.names)
 
@@ -124,172 +124,173 @@ def _ddl(spec: EventSpec) -> str:
     ) + ">"
 
 
-def _typed(name: str, kind: str) -> Column:
-    value = F.col("event")[name]
-    if kind == "timestamp":
+def _typed(field: Field) -> Column:
+    value = f"event.{field.name}"
+    if field.kind == "timestamp":
         return rfc3339_timestamp(value)
-    if kind == "number":
-        number = value.try_cast("double")
-        finite = F.when(F.abs(number) < F.lit(float("inf")), number)
+    if field.kind == "number":
         # The boolean true is the number 1, the string "true" is none.
-        boolean = F.try_variant_get("doc", f"$.p.{name}", "double")
-        return F.when(value.rlike(NUMBER_TEXT), finite).when(
-            value.isin("true", "false"), boolean
+        return F.expr(
+            f"CASE WHEN {value} RLIKE r'{NUMBER_TEXT}'"
+            f" THEN CASE WHEN abs(try_cast({value} AS DOUBLE)) < double('inf')"
+            f" THEN try_cast({value} AS DOUBLE) END"
+            f" WHEN {value} IN ('true', 'false')"
+            f" THEN try_variant_get(doc, '$.p.{field.name}', 'double') END"
         )
-    return value.cast(SPARK_TYPES[kind])
+    return F.expr(value)
 
 
 def _missing(spec: EventSpec) -> Column:
     """Absent required keys, sorted. Keys are listed again only if some field is NULL."""
-    any_null = F.lit(False)
-    for name in spec.names:
-        any_null = any_null | F.col("event")[name].isNull()
-    required = F.array(*[F.lit(name) for name in sorted(spec.names)])
-    absent = F.array_except(required, F.json_object_keys("raw_payload"))
-    return F.when(F.col("event").isNotNull() & any_null, absent)
+    any_null = " OR ".join(f"event.{name} IS NULL" for name in spec.names)
+    required = ", ".join(sql_text(name) for name in sorted(spec.names))
+    return F.expr(
+        f"CASE WHEN event IS NOT NULL AND ({any_null})"
+        f" THEN array_except(array({required}), json_object_keys(raw_payload)) END"
+    )
 
 
-Rule = tuple[str | Column, Column, str | Column]
+# Code, SQL condition under which the rule is broken, SQL text of the reason.
+Rule = tuple[str, str, str]
 
 
 def _first_broken(rules: list[Rule]) -> Column:
     """Position of the first rule that fails, NULL for a valid event."""
-    return F.coalesce(*[F.when(fails, i) for i, (_, fails, _) in enumerate(rules)])
+    cases = " ".join(f"WHEN {fails} THEN {i}" for i, (_, fails, _) in enumerate(rules))
+    return F.expr(f"CASE {cases} END")
 
 
-def _of_rule(texts: list[str | Column]) -> Column:
-    """The broken rule's entry of ``texts``: looked up if constant, else computed."""
-    constant = F.array(*[F.lit(t) if isinstance(t, str) else F.lit("") for t in texts])
-    value = F.get(constant, F.col("broken"))
-    for i, text in enumerate(texts):
-        if not isinstance(text, str):
-            value = F.when(F.col("broken") == i, text).otherwise(value)
-    return value
+def _of_broken(texts: list[str]) -> Column:
+    """The broken rule's entry of ``texts``: looked up if a literal, else computed."""
+    constant = ", ".join(t if t.startswith("'") else "''" for t in texts)
+    cases = " ".join(
+        f"WHEN broken = {i} THEN {t}" for i, t in enumerate(texts) if not t.startswith("'")
+    )
+    return F.expr(f"CASE WHEN broken IS NULL THEN NULL {cases} ELSE get(array({constant}), broken) END")
 
 
 def _rules(spec: EventSpec) -> list[Rule]:
-    """(code, failure predicate, reason) in order of evaluation.
+    """The rules in order of evaluation.
 
-    A predicate must not be NULL for a failing row, so each relies on the
+    A condition must not be NULL for a failing row, so each relies on the
     earlier rules having caught the NULL operands.
     """
-    start, end = clock(spec.start), clock(spec.end)
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    start, end = sql_instant(spec.start), sql_instant(spec.end)
     components = [f.name for f in spec.of_kind("number") if f.minimum == 0]
+    payments = ", ".join(map(str, spec["payment_type"].allowed))
     source = spec["source_type"].allowed[0]
 
+    def rule(code: str, fails: str, reason: str) -> Rule:
+        return sql_text(code), fails, sql_text(reason)
+
     rules = [
-        ("INVALID_JSON", ~F.col("is_json"), "payload is not one complete JSON document"),
-        ("NOT_AN_OBJECT", ~F.col("is_object"), "payload must be an object"),
+        rule("INVALID_JSON", "NOT is_json", "payload is not one complete JSON document"),
+        rule("NOT_AN_OBJECT", "NOT is_object", "payload must be an object"),
         (
-            "MISSING_FIELDS",
-            F.coalesce(F.size("missing"), F.lit(0)) > 0,
-            F.concat(F.lit("missing fields: "), F.array_join("missing", ", ")),
+            sql_text("MISSING_FIELDS"),
+            "coalesce(size(missing), 0) > 0",
+            "concat('missing fields: ', array_join(missing, ', '))",
         ),
     ]
     for name in ("pickup_datetime", "dropoff_datetime", "event_time", "ingestion_time"):
-        rules.append(
-            (
-                f"BAD_{name.upper()}",
-                F.col(name).isNull(),
-                f"{name} must be a timestamp string with a zone offset",
-            )
-        )
+        reason = f"{name} must be a timestamp string with a zone offset"
+        rules.append(rule(f"BAD_{name.upper()}", f"{name} IS NULL", reason))
     rules += [
-        (
+        rule(
             "EVENT_TIME_MISMATCH",
-            F.col("event_time") != pickup,
+            "event_time <> pickup_datetime",
             "event_time must equal pickup_datetime",
         ),
-        (
+        rule(
             "INGESTION_IN_FUTURE",
-            F.col("ingestion_time") > F.col("processing_time"),
+            "ingestion_time > processing_time",
             "ingestion_time must not lie in the future",
         ),
-        (
+        rule(
             "OUTSIDE_EVENT_PERIOD",
-            ~((pickup >= start) & (pickup < end)),
+            f"NOT (pickup_datetime >= {start} AND pickup_datetime < {end})",
             f"pickup_datetime is outside the period from {_zulu(spec.start)}"
             f" to before {_zulu(spec.end)}",
         ),
-        (
+        rule(
             "BAD_DROPOFF_ORDER",
-            ~((pickup < dropoff) & (dropoff < end)),
+            f"NOT (pickup_datetime < dropoff_datetime AND dropoff_datetime < {end})",
             "dropoff_datetime must lie after pickup_datetime and inside the period",
         ),
     ]
     for name in CONVERSION_ORDER:
         kind = "an integer" if spec[name].kind == "integer" else "a finite number"
-        rules.append((f"BAD_TYPE:{name}", F.col(name).isNull(), f"{name} is not {kind}"))
+        rules.append(rule(f"BAD_TYPE:{name}", f"{name} IS NULL", f"{name} is not {kind}"))
     for code, name in (
         ("BAD_PICKUP_LOCATION", "pickup_location_id"),
         ("BAD_DROPOFF_LOCATION", "dropoff_location_id"),
         ("BAD_PASSENGER_COUNT", "passenger_count"),
     ):
         low, high = spec[name].minimum, spec[name].maximum
-        rules.append(
-            (code, ~F.col(name).between(low, high), f"{name} must lie in {low} to {high}")
-        )
-    codes = spec["payment_type"].allowed
+        outside = f"{name} < {low} OR {name} > {high}"
+        rules.append(rule(code, outside, f"{name} must lie in {low} to {high}"))
     rules += [
-        (
+        rule(
             "BAD_PAYMENT_TYPE",
-            ~F.col("payment_type").isin(*codes),
-            "payment_type must be one of " + ", ".join(map(str, codes)),
+            f"payment_type NOT IN ({payments})",
+            f"payment_type must be one of {payments}",
         ),
-        (
+        rule(
             "NON_POSITIVE_DISTANCE",
-            F.col("trip_distance") <= spec["trip_distance"].above,
+            f"trip_distance <= {spec['trip_distance'].above}",
             "trip_distance must be positive",
         ),
-        (
+        rule(
             "NEGATIVE_COMPONENT",
-            F.least(*components) < 0,
-            "none of " + ", ".join(components) + " may be negative",
+            f"least({', '.join(components)}) < 0",
+            f"none of {', '.join(components)} may be negative",
         ),
-        (
+        rule(
             "NON_POSITIVE_TOTAL",
-            F.col("total_amount") <= spec["total_amount"].above,
+            f"total_amount <= {spec['total_amount'].above}",
             "total_amount must be positive",
         ),
-        (
+        rule(
             "BAD_SOURCE_TYPE",
-            ~F.col("source_type").eqNullSafe(source),
+            f"NOT (source_type <=> {sql_text(source)})",
             f"source_type must be {source}",
         ),
-        (
+        rule(
             "BAD_EVENT_ID",
-            F.col("event_id").isNull(),
+            "event_id IS NULL",
             "event_id is null, but the valid table requires it",
         ),
     ]
     return rules
 
 
-def _zulu(instant: datetime) -> str:
-    return instant.astimezone(timezone.utc).isoformat().replace("+00:00", "Z")
+CONTRACT_RULE: Rule = (
+    "contract_error",
+    "contract_error IS NOT NULL",
+    "'event breaks the written contract'",
+)
 
 
 def _contract_error(spec: EventSpec) -> Column:
     """First breach of the written contract that the running rules do not check."""
-    required = F.array(*[F.lit(name) for name in spec.names])
-    extras = F.array_except(F.json_object_keys("raw_payload"), required)
+    required = ", ".join(sql_text(name) for name in spec.names)
     checks = [
-        F.when(F.size(extras) > 0, F.lit("CONTRACT_EXTRA_FIELDS")),
-        F.when(~F.col("event.event_id").rlike(UUID_TEXT), F.lit("CONTRACT_EVENT_ID")),
+        f"WHEN size(array_except(json_object_keys(raw_payload), array({required}))) > 0"
+        " THEN 'CONTRACT_EXTRA_FIELDS'",
+        f"WHEN NOT event.event_id RLIKE r'{UUID_TEXT}' THEN 'CONTRACT_EVENT_ID'",
     ]
     for f in spec.of_kind("integer", "number"):
-        json_type = F.schema_of_variant(F.try_variant_get("doc", f"$.p.{f.name}", "variant"))
-        number = F.try_variant_get("doc", f"$.p.{f.name}", "double")
-        fits = json_type.rlike("^(BIGINT|DECIMAL|DOUBLE)")
-        if f.kind == "integer":
-            fits = fits & (number == F.floor(number))
-        checks.append(
-            F.when(~F.coalesce(fits, F.lit(False)), F.lit(f"CONTRACT_TYPE:{f.name}"))
+        path = f"'$.p.{f.name}'"
+        fits = (
+            f"schema_of_variant(try_variant_get(doc, {path}, 'variant'))"
+            " RLIKE '^(BIGINT|DECIMAL|DOUBLE)'"
         )
-    return F.coalesce(*checks)
+        if f.kind == "integer":
+            number = f"try_variant_get(doc, {path}, 'double')"
+            fits += f" AND {number} = floor({number})"
+        checks.append(f"WHEN NOT coalesce({fits}, false) THEN 'CONTRACT_TYPE:{f.name}'")
+    return F.expr(f"CASE {' '.join(checks)} END")
 
 
-def _contract_rule() -> Rule:
-    error = F.col("contract_error")
-    return error, error.isNotNull(), "event breaks the written contract"
+def _zulu(instant: datetime) -> str:
+    return instant.astimezone(timezone.utc).isoformat().replace("+00:00", "Z")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +37,12 @@ def clock(as_of: datetime | None) -> Column:
     """The run's clock as a column: a fixed instant, or the start of the query."""
     if as_of is None:
         return F.current_timestamp()
-    return F.timestamp_micros(F.lit(round(as_of.timestamp() * 1_000_000)))
+    return F.expr(sql_instant(as_of))
+
+
+def sql_instant(instant: datetime) -> str:
+    """An instant as an SQL literal."""
+    return f"TIMESTAMP '{instant.astimezone(timezone.utc).isoformat()}'"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -43,7 +43,7 @@ def encode_events(events: DataFrame) -> DataFrame:
     """
     configure(events.sparkSession)
     fields = [
-        (rfc3339_text(F.col(f.name)) if f.dataType.typeName() == "timestamp" else F.col(f.name))
+        (rfc3339_text(f.name) if f.dataType.typeName() == "timestamp" else F.col(f.name))
         .alias(f.name)
         for f in EVENT_SCHEMA.fields
     ]
