@@ -1,0 +1,101 @@
+"""One key, date or id holding a third of all rows must not end in one task."""
+
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.adapters import CONFIG, batch_trips
+from tripmill.operators.conform import conform_batch
+from tripmill.operators.dedup import dedup_latest
+
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+    # With 8 partitions one third of the rows is only about five times the median.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def small_partitions(spark):
+    before = {k: spark.conf.get(k, None) for k in SMALL}
+    for k, v in SMALL.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def explained(df) -> str:
+    shown = io.StringIO()
+    with contextlib.redirect_stdout(shown):
+        df.explain()
+    return shown.getvalue()
+
+
+def lake(spark, path):
+    """Order lines of which every third belongs to one order."""
+    lines = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 900).alias("l_orderkey"),
+        F.col("id").alias("l_partkey"),
+        F.lit(1).cast("bigint").alias("l_suppkey"),
+        (1 + F.col("id") % 7).cast("int").alias("l_linenumber"),
+        (2 + F.col("id") % 40).cast("double").alias("l_quantity"),
+        (F.col("id") / 4).alias("l_extendedprice"),
+        F.lit(0.05).alias("l_discount"),
+        F.lit(0.02).alias("l_tax"),
+        F.lit("A").alias("l_returnflag"),
+        F.lit("O").alias("l_linestatus"),
+        F.lit("1997-06-01").cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    orders = spark.range(900).select(
+        F.col("id").alias("o_orderkey"),
+        F.lit("1997-05-01").cast("timestamp_ntz").alias("o_orderdate"),
+    )
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    orders.write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def test_hot_order_is_split_in_the_join(spark, tmp_path, small_partitions):
+    sf_dir = lake(spark, tmp_path)
+    trips = conform_batch(batch_trips(spark, sf_dir), CONFIG)
+    rows = trips.collect()
+    assert "skew=true" in explained(trips)
+    hot = spark.range(0, 60_000, 3).filter("id % 270 BETWEEN 1 AND 265").count()
+    assert sum(r.dropoff_location_id == 7 for r in rows) >= hot
+
+
+def test_hot_trip_sends_one_row_per_task(spark, small_partitions):
+    """A third of the rows are deliveries of one trip; the shuffle carries one per map task."""
+    rows = spark.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("trip"),
+        F.col("id").alias("seen"),
+    )
+    latest = dedup_latest(rows, ["trip"], ["seen"])
+    found = latest.collect()
+    assert len(found) == 60_001
+    assert next(r.seen for r in found if r.trip == -1) == 89_997
+    metrics = _metric(latest, "Exchange", "shuffleRecordsWritten")
+    assert metrics == 60_000 + 8
+
+
+def _metric(df, node: str, name: str) -> int:
+    """An SQL metric of the plan that ran, looked up by node and metric name."""
+    plan = df._jdf.queryExecution().executedPlan().executedPlan()
+    queue = [plan]
+    while queue:
+        current = queue.pop()
+        if current.nodeName() == node and current.metrics().contains(name):
+            return current.metrics().apply(name).value()
+        if current.nodeName().startswith(("ShuffleQueryStage", "AQEShuffleRead", "ResultQuery")):
+            inner = getattr(current, "plan", None) or current.child
+            queue.append(inner())
+        children = current.children()
+        queue += [children.apply(i) for i in range(children.size())]
+    raise AssertionError(f"no {name} on {node}")
