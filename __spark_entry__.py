@@ -128,12 +128,12 @@ def gates_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gates_intermediate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = trips(spark, sf_dir)
-    stream_gate = [quality.stream_present(CONFIG)]
+    events = stream_trips(spark, sf_dir)
+    built = build_intermediate(batch_trips(spark, sf_dir), events, CONFIG)
     return (
         quality.schema_gate(built)
         .unionByName(quality.run_gates(built, quality.intermediate_gates(CONFIG.event)))
-        .unionByName(quality.run_gates(stream_trips(spark, sf_dir), stream_gate))
+        .unionByName(quality.run_gates(events, [quality.stream_present(CONFIG)]))
     )
 
 
@@ -146,7 +146,7 @@ def gates_raw_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gates_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = trips(spark, sf_dir)
     daily = daily_mart(built)
-    reconciled = quality.reconciliation_gate(audit.reconcile(built, daily))
+    reconciled = quality.reconciliation_gate(audit.reconcile(built, daily, how="full"))
     return quality.run_gates(daily, quality.MART_GATES).unionByName(reconciled)
 
 

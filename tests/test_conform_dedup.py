@@ -33,7 +33,8 @@ def staged(spark, *changes):
 def test_batch_rules_drop_false_and_null(spark):
     dropped = [
         {"lpep_pickup_datetime": datetime(2025, 3, 31, 23, 59, 59)},
-        {"lpep_pickup_datetime": datetime(2025, 6, 1), "lpep_dropoff_datetime": datetime(2025, 6, 2)},
+        {"lpep_pickup_datetime": datetime(2025, 6, 1),
+         "lpep_dropoff_datetime": datetime(2025, 6, 2)},
         {"lpep_dropoff_datetime": GOOD["lpep_pickup_datetime"]},
         {"lpep_dropoff_datetime": None},
         {"PULocationID": 0}, {"PULocationID": 266}, {"DOLocationID": 0}, {"DOLocationID": None},
@@ -52,7 +53,8 @@ def test_batch_rules_drop_false_and_null(spark):
 
 def test_batch_conform_casts_and_defaults(spark):
     frame = conform_batch(
-        staged(spark, {"passenger_count": None}, {"passenger_count": 2.5, "payment_type": None}), CFG
+        staged(spark, {"passenger_count": None}, {"passenger_count": 2.5, "payment_type": None}),
+        CFG,
     )
     assert frame.schema.names == TRIP_SCHEMA.names
     assert [f.dataType for f in frame.schema] == [f.dataType for f in TRIP_SCHEMA]
@@ -100,8 +102,8 @@ def test_latest_delivery_wins_and_ties_are_settled(spark):
     )
     batch = staged(spark, {"tip_amount": 4.0}, {"tip_amount": 3.0})
     for parts in (1, 2, 5):
-        rows = build_intermediate(batch.repartition(parts), stream.repartition(parts), CFG).collect()
-        assert sorted((r.source_type, r.tip_amount) for r in rows) == [
+        rows = build_intermediate(batch.repartition(parts), stream.repartition(parts), CFG)
+        assert sorted((r.source_type, r.tip_amount) for r in rows.collect()) == [
             ("batch", 3.0), ("stream", 9.0)
         ]
 

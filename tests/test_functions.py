@@ -39,14 +39,16 @@ def test_exact_sum_keeps_what_lies_beyond_four_decimals(spark):
 
 
 def test_rounded_ratio(spark):
-    rows = [(246.90, 20, 12.35), (24.69, 2, 12.35), (1.0, 3, 0.33), (5.0, 0, None), (1e30, 3, 1e30 / 3)]
+    rows = [(246.90, 20, 12.35), (24.69, 2, 12.35), (1.0, 3, 0.33), (5.0, 0, None),
+            (1e30, 3, 1e30 / 3)]
     frame = spark.createDataFrame(rows, "total double, n long, want double")
     got = frame.select(rounded_ratio(F.col("total"), F.col("n")).alias("got"), "want").collect()
     assert all(r.got == r.want for r in got)
 
 
 def test_to_integer_rounds_half_away_from_zero(spark):
-    frame = spark.createDataFrame([(2.5, 3), (-2.5, -3), (1.4, 1), (None, None)], "x double, y long")
+    rows = [(2.5, 3), (-2.5, -3), (1.4, 1), (None, None)]
+    frame = spark.createDataFrame(rows, "x double, y long")
     assert all(r.i == r.y for r in frame.select(to_integer(F.col("x")).alias("i"), "y").collect())
 
 

@@ -86,15 +86,24 @@ def test_stream_gates(spark):
 
 def test_reconciliation(spark):
     frame = trips(spark, {}, {"trip_id": "b"}, {"source_type": "batch"})
-    daily = spark.createDataFrame([("stream", 2), ("batch", 1)], "source_type string, trip_count long")
+    daily = spark.createDataFrame(
+        [("stream", 2), ("batch", 1)], "source_type string, trip_count long"
+    )
     rows = audit.reconcile(frame, daily).collect()
     assert [(r.source_type, r.intermediate_rows, r.mart_rows, r.reconciled) for r in rows] == [
         ("batch", 1, 1, True), ("stream", 2, 2, True)
     ]
     off = daily.withColumn("trip_count", daily.trip_count + 1)
-    gate = quality.reconciliation_gate(audit.reconcile(frame, off))
+    gate = quality.reconciliation_gate(audit.reconcile(frame, off, how="full"))
     assert outcome(gate) == {"mart_reconciles": (False, 2)}
-    none = quality.reconciliation_gate(audit.reconcile(frame.limit(0), daily))
+    # A source that one side lacks must not pass unseen.
+    lost = daily.filter("source_type = 'batch'")
+    assert audit.reconcile(frame, lost).count() == 1
+    gate = quality.reconciliation_gate(audit.reconcile(frame, lost, how="full"))
+    assert outcome(gate) == {"mart_reconciles": (False, 1)}
+    none = quality.reconciliation_gate(
+        audit.reconcile(frame.limit(0), daily.limit(0), how="full")
+    )
     assert outcome(none) == {"mart_reconciles": (False, 0)}
 
 

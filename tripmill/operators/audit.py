@@ -48,16 +48,19 @@ def invalid_rows(trips: DataFrame, spec: EventSpec | None = None) -> DataFrame:
     return trips.filter(invalid_trip(spec)).agg(F.count("*").alias("invalid_rows"))
 
 
-def reconcile(trips: DataFrame, daily: DataFrame) -> DataFrame:
+def reconcile(trips: DataFrame, daily: DataFrame, how: str = "inner") -> DataFrame:
     """Trip counts of the intermediate table against those of the daily mart, per source.
 
     Both sides are aggregated to one row per source before they are joined.
+    With ``how="full"`` a source that only one side has is listed as well, as
+    not reconciled.
     """
     counted = trips.groupBy("source_type").agg(F.count("*").alias("intermediate_rows"))
     summed = daily.groupBy("source_type").agg(F.sum("trip_count").alias("mart_rows"))
+    same = F.col("intermediate_rows").eqNullSafe(F.col("mart_rows"))
     return (
-        counted.join(summed, "source_type")
-        .withColumn("reconciled", F.col("intermediate_rows") == F.col("mart_rows"))
+        counted.join(summed, "source_type", how)
+        .withColumn("reconciled", same)
         .orderBy("source_type")
     )
 

@@ -79,9 +79,13 @@ def _cast(found: T.DataType, wanted: T.StructField) -> Column:
     return column.cast(wanted.dataType)
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Column]) -> DataFrame:
-    """Keep the rows for which every rule is true; false and NULL both drop the row."""
-    return df.filter(reduce(lambda a, b: a & b, rules))
+def apply_rules(df: DataFrame, rules: Sequence[Column | str]) -> DataFrame:
+    """Keep the rows for which every rule is true; false and NULL both drop the row.
+
+    A rule is a condition as a Column or as SQL text.
+    """
+    conditions = [F.expr(rule) if isinstance(rule, str) else rule for rule in rules]
+    return df.filter(reduce(lambda a, b: a & b, conditions))
 
 
 def batch_period(cfg: PipelineConfig) -> list[Column]:

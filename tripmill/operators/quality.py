@@ -137,7 +137,7 @@ def freshness_gate(df: DataFrame, as_of: datetime | None, within: timedelta) ->
 def reconciliation_gate(reconciled: DataFrame) -> DataFrame:
     """Every source has as many trips in the mart as in the intermediate table.
 
-    ``every`` over no rows is NULL, which must not pass.
+    Takes the rows of ``reconcile(..., how="full")``; no rows at all must not pass.
     """
     return reconciled.agg(
         F.coalesce(F.every("reconciled"), F.lit(False)).alias("passed"),

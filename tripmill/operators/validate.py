@@ -166,7 +166,8 @@ def _of_broken(texts: list[str]) -> Column:
     cases = " ".join(
         f"WHEN broken = {i} THEN {t}" for i, t in enumerate(texts) if not t.startswith("'")
     )
-    return F.expr(f"CASE WHEN broken IS NULL THEN NULL {cases} ELSE get(array({constant}), broken) END")
+    looked_up = f"get(array({constant}), broken)"
+    return F.expr(f"CASE WHEN broken IS NULL THEN NULL {cases} ELSE {looked_up} END")
 
 
 def _rules(spec: EventSpec) -> list[Rule]:

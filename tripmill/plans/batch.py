@@ -87,6 +87,6 @@ def run_batch(
     )
     monthly = replace_table(monthly_mart(trips), "mart_monthly", root, run_id)
     gates += require(
-        run_gates(daily, MART_GATES), reconciliation_gate(reconcile(trips, daily))
+        run_gates(daily, MART_GATES), reconciliation_gate(reconcile(trips, daily, how="full"))
     )
     return BatchTables(staging, trips, daily, monthly, gates)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # UTC: every stored instant and every business date is UTC.
 # allowDuplicateKeys: in a JSON object with a repeated key the last value wins.
+# ansi: a batch value that does not fit its type fails the run, it is not replaced.
 # adaptive: skewed joins and skewed table writes are split at run time.
 # minPartitionSize: writing many small dates is bound by file creation, so even
 # a small write should be spread over the cores.
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.codegen.hugeMethodLimit": "8000",
