@@ -20,7 +20,7 @@ RFC3339 = r"^(?!0000)\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}(
 # seconds, comma fraction, any one separator between date and time.
 ISO_VARIANT = (
     r"^(?!0000)(\d{4})(-?)(\d{2})\2(\d{2})"
-    r"[^0-9](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
+    r"[^0-9Z](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d+))?)?)?"
     r"(Z|[+-]\d{2}(?::?\d{2})?)$"
 )
 
