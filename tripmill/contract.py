@@ -126,6 +126,8 @@ MONTHLY_MART_SCHEMA = schema_of(
     ("average_trip_distance", "number"),
 )
 
+# Source labels, the default for an unknown passenger count, and
+# the columns a trip is identified by.
 SOURCE_TYPES = ("batch", "stream")
 DEFAULT_PASSENGERS = 1
 
@@ -144,6 +146,7 @@ def utc(year: int, month: int, day: int) -> datetime:
     return datetime(year, month, day, tzinfo=timezone.utc)
 
 
+# Fixed values in the two classes below: the default periods.
 @dataclass(frozen=True)
 class EventSpec:
     """What a valid event looks like: the field table and the half-open event period."""
