@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from datetime import timedelta
 from functools import reduce
 from pathlib import Path
@@ -238,6 +239,24 @@ def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_vs_stream_report(built.daily)
 
 
+def corpus_queries() -> tuple[dict, dict]:
+    """Queries and oracles of the llm subpackage and its pipeline, if they are there."""
+    found, oracles = {}, {}
+    if find_spec("tripmill.llm"):
+        from tripmill.llm import oracle_sql as corpus_sql
+        from tripmill.llm import queries as corpus
+
+        found |= corpus.QUERIES
+        oracles |= corpus_sql.ORACLES
+        if find_spec("corpus_pipeline"):
+            import corpus_pipeline
+
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, oracles
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the daily mart of unified, deduplicated trips."""
     return daily_mart(trips(spark, "/root/testdata/sf0.001"))
@@ -289,8 +308,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_etl_accounting": stream_etl_accounting,
         "pipeline_tables": pipeline_tables,
         "pipeline_report": pipeline_report,
+        **corpus_queries()[0],
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | corpus_queries()[1]
