@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = UPPER.lower()
 #: A word is a run of characters other than ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -36,11 +34,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lowered(text: Column) -> Column:
-    """A-Z in lower case, all other characters as they are; null becomes empty."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-
-
 def words(text: Column) -> Column:
     """The words of a text, as an array without empty strings."""
     return F.filter(F.split(text, SPACE), lambda w: w != "")
