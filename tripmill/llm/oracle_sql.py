@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-from tripmill.llm import line_quality
+from tripmill.llm import license_scan, line_quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,4 +61,84 @@ def line_quality_sql(source: str = "documents") -> str:
     FROM verdicts"""
 
 
-ORACLES = {"op3_line_quality": line_quality_sql()}
+LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+
+def shingles_sql(source: str, key: str, text: str = "lower(coalesce(text, ''))") -> str:
+    """All five-word shingles of a table's texts: the key, the position from 0, the words."""
+    return f"""
+      SELECT {key}, i - 1 AS position, list_slice(words, i, i + 4) AS shingle
+      FROM (SELECT {key}, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+            FROM (SELECT {key}, regexp_extract_all({text}, '{WORD}') AS words FROM {source})
+            WHERE len(words) > 0)"""
+
+
+def decontaminate_sql(documents: str = "documents") -> str:
+    """Operator 2: items of which a document has 75 percent of the shingles."""
+    return f"""
+    WITH items AS (SELECT DISTINCT item_id, shingle FROM ({shingles_sql("benchmark", "item_id")})),
+    sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+    found AS (SELECT DISTINCT doc_id, shingle FROM ({shingles_sql(documents, "doc_id")})),
+    shared AS (
+      SELECT doc_id, item_id, count(*) AS n_shared FROM found JOIN items USING (shingle)
+      GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n AS n_item_shingles, n_shared
+    FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= 75 * n"""
+
+
+def license_sql() -> str:
+    """Operator 6: notices of which a window of the document has 75 percent of the shingles."""
+    values = ", ".join(
+        "('{}', {}, '{}')".format(name, i, text.replace("'", "''"))
+        for name, texts in license_scan.NOTICES.items()
+        for i, text in enumerate(texts)
+    )
+    return f"""
+    WITH templates AS (
+      SELECT struct_pack(license := license, notice := CAST(notice AS BIGINT)) AS id, text
+      FROM (VALUES {values}) AS t(license, notice, text)),
+    parts AS (SELECT DISTINCT id, shingle FROM ({shingles_sql("templates", "id")})),
+    sizes AS (
+      SELECT id, count(*) AS n, CAST(floor(log2(count(*))) AS INTEGER) AS class
+      FROM parts GROUP BY id),
+    wanted AS (SELECT DISTINCT shingle, class FROM parts JOIN sizes USING (id)),
+    hits AS (
+      SELECT doc_id, position, shingle, class,
+        unnest([position // (2 << class) - 1, position // (2 << class)]) AS part
+      FROM ({shingles_sql("documents", "doc_id")}) JOIN wanted USING (shingle)),
+    firsts AS (SELECT doc_id, class, part, min(position) AS first FROM hits GROUP BY ALL),
+    shared AS (
+      SELECT doc_id, part, id, class, n, count(DISTINCT shingle) AS n_shared
+      FROM hits JOIN sizes USING (class) JOIN parts USING (id, shingle) GROUP BY ALL)
+    SELECT doc_id, id.license AS license, id.notice AS notice, max(n) AS n_shingles,
+      max(n_shared) AS n_shared, min(first) AS first_word
+    FROM shared JOIN firsts USING (doc_id, class, part) WHERE 100 * n_shared >= 75 * n
+    GROUP BY doc_id, id"""
+
+
+def components_sql(source: str = "documents") -> str:
+    """Operator 7: components of documents whose shingle sets have a Jaccard similarity of 75 percent."""
+    return f"""
+    WITH RECURSIVE sets AS (SELECT DISTINCT doc_id, shingle FROM ({shingles_sql(source, "doc_id", LOWERED)})),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+      FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+      SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+    reached(doc_id, other) AS (
+      SELECT a, a FROM links UNION SELECT doc_id, b FROM reached JOIN links ON a = other),
+    least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+    FROM (SELECT doc_id FROM {source}) LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+
+ORACLES = {
+    "op2_decontaminate": decontaminate_sql(),
+    "op3_line_quality": line_quality_sql(),
+    "op6_license_scan": license_sql(),
+    "op7_jaccard_join": components_sql(),
+}

@@ -4,16 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmill.llm import line_quality
+from tripmill.llm import (
+    decontaminate,
+    jaccard_join,
+    license_scan,
+    line_quality,
+    mixture_pack,
+    secret_scan,
+)
 from tripmill.llm.common import table
 
 
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(documents, benchmark)
+
+
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_mixture_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    return mixture_pack.pack(table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op3_line_quality": op3_line_quality,
+    "op6_license_scan": op6_license_scan,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_secret_scan": op8_secret_scan,
+    "op10_mixture_pack": op10_mixture_pack,
 }
