@@ -136,9 +136,20 @@ def components_sql(source: str = "documents") -> str:
     FROM (SELECT doc_id FROM {source}) LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 
+WARC_SQL = """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    facts AS (
+      SELECT page_id, strlen(payload) AS n, sha1(payload) AS digest,
+        max(page_id) OVER (PARTITION BY payload) AS latest FROM payloads)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+      CASE WHEN n >= 1000 AND page_id <> latest THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN n >= 1000 AND page_id <> latest THEN latest END AS refers_to
+    FROM facts"""
+
 ORACLES = {
     "op2_decontaminate": decontaminate_sql(),
     "op3_line_quality": line_quality_sql(),
+    "op5_warc_shards": WARC_SQL,
     "op6_license_scan": license_sql(),
     "op7_jaccard_join": components_sql(),
 }

@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm import (
+    corpus_score,
     decontaminate,
     jaccard_join,
     license_scan,
     line_quality,
     mixture_pack,
     secret_scan,
+    style_tree,
+    warc,
 )
 from tripmill.llm.common import table
 
@@ -30,6 +33,14 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_report(table(spark, sf_dir, "documents"))
 
 
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op5_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("file")
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.find_licenses(table(spark, sf_dir, "documents"))
 
@@ -42,6 +53,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_score.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_mixture_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path(VOCABULARY)
     return mixture_pack.pack(table(spark, sf_dir, "documents"), vocabulary)
@@ -50,8 +65,11 @@ def op10_mixture_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_line_quality": op3_line_quality,
+    "op4_style_tree": op4_style_tree,
+    "op5_warc_shards": op5_warc_shards,
     "op6_license_scan": op6_license_scan,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_secret_scan": op8_secret_scan,
+    "op9_context_mixing": op9_context_mixing,
     "op10_mixture_pack": op10_mixture_pack,
 }
