@@ -16,6 +16,7 @@ from tripmill.llm import (
     mixture_pack,
     secret_scan,
     style_tree,
+    suffix_dedup,
     warc,
 )
 from tripmill.llm.common import table
@@ -24,6 +25,10 @@ from tripmill.llm.common import table
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.contained_items(documents, benchmark)
@@ -63,6 +68,7 @@ def op10_mixture_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_line_quality": op3_line_quality,
     "op4_style_tree": op4_style_tree,
