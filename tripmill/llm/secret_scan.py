@@ -147,15 +147,22 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
+    return with_spans(texts, "doc_id")
+
+
+def with_spans(texts: DataFrame, *kept: str) -> DataFrame:
+    """The ``kept`` columns, and the spans found in the column ``text``, which has no nulls."""
     low = F.lower("text")
     keyed = F.lit(False)
     for word in KEYWORDS:
         keyed = keyed | F.contains(low, F.lit(word))
-    flagged = texts.select("*", keyed.alias("keyed"), F.expr(f"text RLIKE {sql(RUN)}").alias("long"))
+    flagged = texts.select(
+        *kept, F.col("text"), keyed.alias("keyed"), F.expr(f"text RLIKE {sql(RUN)}").alias("long")
+    )
     none = f"CAST(array() AS ARRAY<{SPAN}>)"
     value = f"char_length(regexp_extract(m.found, {sql(ASSIGN)}, 2)) >= {MIN_VALUE}"
     base = flagged.selectExpr(
-        "doc_id",
+        *kept,
         f"IF(keyed, {spans(matches(ASSIGN), 'assign', 0, value)}, {none}) AS assign",
         f"IF(long, {spans(matches(ACCESS), 'access', 1)}, {none}) AS access",
         f"IF(long, {spans(matches(HEX), 'hex', 2)}, {none}) AS hex",
@@ -163,7 +170,7 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             CAST(array() AS ARRAY<STRUCT<start: BIGINT, end: BIGINT, found: STRING>>)) AS runs""",
     )
     listed = base.selectExpr(
-        "doc_id",
+        *kept,
         "CAST(size(assign) AS BIGINT) AS n_assign",
         "CAST(size(access) AS BIGINT) AS n_access",
         "CAST(size(hex) AS BIGINT) AS n_hex",
@@ -172,7 +179,7 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     own = "filter(runs, r -> NOT exists(base, b -> b.start < r.end AND r.start < b.end))"
     return listed.selectExpr(
-        "doc_id", "n_assign", "n_access", "n_hex", "base",
+        *kept, "n_assign", "n_access", "n_hex", "base",
         f"""transform({own}, r -> named_struct('start', r.start, 'end', r.end,
             'hash', xxhash64(r.found), 'p', {battery("r.found")},
             'class', {length_class("r.end - r.start")})) AS runs""",
@@ -207,18 +214,52 @@ def joined(array: str) -> Column:
     return F.expr(f"array_join({parts}, ',')")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: counts of the fixed kinds, their digest, and all spans."""
-    found = stored(found_spans(docs, id_col, text_col), "secret-spans")
+def every_span(bins: dict[int, int]) -> str:
+    """SQL for the spans of the fixed patterns and of the runs that pass as random."""
     least = {i: 0.0 for i in range(len(CLASSES))}
-    for kind, first in thresholds(found).items():
+    for kind, first in bins.items():
         least[kind] = 2.0 ** (-first / BINS_PER_HALVING)
     bound = "CASE r.class " + " ".join(f"WHEN {i} THEN {p!r}D" for i, p in least.items()) + " END"
     random = f"""transform(filter(runs, r -> r.p > 0 AND r.p > {bound}),
         r -> named_struct('start', r.start, 'rank', 3, 'end', r.end, 'kind', 'random'))"""
-    every = found.selectExpr("*", f"array_sort(concat(base, {random})) AS every")
+    return f"array_sort(concat(base, {random}))"
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: counts of the fixed kinds, their digest, and all spans."""
+    found = stored(found_spans(docs, id_col, text_col), "secret-spans")
+    every = found.selectExpr("*", f"{every_span(thresholds(found))} AS every")
     return every.select(
         "doc_id", "n_assign", "n_access", "n_hex",
         F.sha2(joined("base"), 256).alias("base_sha256"),
         joined("every").alias("spans"),
     )
+
+
+def redact(
+    docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", mark: str = "[SECRET]"
+) -> DataFrame:
+    """The documents with ``mark`` in place of every span, and all their columns.
+
+    ``chars_col``, where there is one, gets the length of a text that has changed.
+    """
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    found = stored(with_spans(docs.select(text)).select("runs").where("size(runs) > 0"), "secret-runs")
+    rows = with_spans(docs.select(text, F.struct(*docs.columns).alias("doc")), "doc", "text")
+    rows = rows.selectExpr("doc", "text", f"{every_span(thresholds(found))} AS every")
+    cut = f"""aggregate(every, named_struct('at', 0L, 'out', ''), (acc, s) -> IF(s.start < acc.at,
+            named_struct('at', greatest(acc.at, s.end), 'out', acc.out),
+            named_struct('at', s.end, 'out', concat(acc.out,
+                substring(text, CAST(acc.at AS INT) + 1, CAST(s.start - acc.at AS INT)), '{mark}'))),
+        acc -> concat(acc.out, substring(text, CAST(acc.at AS INT) + 1)))"""
+    rows = rows.selectExpr("doc", f"IF(size(every) = 0, NULL, {cut}) AS changed")
+    columns = []
+    for field in docs.schema:
+        old = F.col("doc").getField(field.name)
+        if field.name == text_col:
+            old = F.coalesce("changed", old)
+        elif field.name == chars_col:
+            new = F.char_length("changed").cast(field.dataType)
+            old = F.when(F.col("changed").isNotNull(), new).otherwise(old)
+        columns.append(old.alias(field.name))
+    return rows.select(*columns)
