@@ -1,0 +1,142 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tripmill.llm import mixture_pack
+from tripmill.llm.mixture_pack import Schedule, pack, pieces_of
+
+from .conftest import clashing, rows
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def slow_schedule(totals, shares, seq_len, serve):
+    """The round-robin, one round after the other: the stream as (queue, token) pairs."""
+    deficit, served, stream = [0] * len(totals), [0] * len(totals), []
+    whole = sum(shares)
+    while any(s < t for s, t in zip(served, totals)):
+        for q in range(len(totals)):
+            # Deficits are counted in tokens times the sum of the shares.
+            deficit[q] += shares[q] * seq_len
+            while deficit[q] >= serve * whole:
+                deficit[q] -= serve * whole
+                more = min(serve, totals[q] - served[q])
+                stream += [(q, served[q] + i) for i in range(max(0, more))]
+                served[q] += max(0, more)
+    return stream
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_pieces_follow_the_round_robin(data):
+    n = data.draw(st.integers(1, 4))
+    seq_len = data.draw(st.integers(1, 12))
+    serve = data.draw(st.integers(1, seq_len))
+    shares = data.draw(st.lists(st.integers(1, 9), min_size=n, max_size=n))
+    sizes = [data.draw(st.lists(st.integers(1, 20), min_size=1, max_size=4)) for _ in range(n)]
+    totals = [sum(s) for s in sizes]
+    stream = slow_schedule(totals, shares, seq_len, serve)
+    queue, first, count = [], [], []
+    for q, own in enumerate(sizes):
+        at = 0
+        for size in own:
+            queue.append(q)
+            first.append(at)
+            count.append(size)
+            at += size
+    schedule = Schedule(np.array(totals), np.array(shares), seq_len, serve)
+    doc, start, length, place = pieces_of(schedule, *map(np.array, (queue, first, count)))
+    seen = {}
+    for d, s, n_, p in zip(doc, start, length, place):
+        assert p // seq_len == (p + n_ - 1) // seq_len
+        for i in range(n_):
+            assert p + i not in seen
+            seen[p + i] = (queue[d], first[d] + s + i)
+    assert [seen[i] for i in range(len(stream))] == stream
+
+
+def check_packing(df, docs, seq_len=mixture_pack.SEQ_LEN):
+    bpe = Tokenizer.from_file(VOCABULARY)
+    bpe.encode_special_tokens = True
+    want = sorted(
+        (repr(d), tuple(bpe.encode(t or "", add_special_tokens=False).ids) + (0,)) for d, t in docs
+    )
+    found = [r.asDict() for r in df.collect()]
+    by_sequence = defaultdict(list)
+    for r in found:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    last = max(by_sequence, default=-1)
+    for number, own in by_sequence.items():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at and length > 0
+            at += length
+        assert at == seq_len or number == last
+    # Each document's ids lie in exactly one piece each.
+    ids = defaultdict(list)
+    for d, t in want:
+        ids[d].append(t)
+    for r in found:
+        crcs = {
+            zlib.crc32(np.array(t[r["start"] : r["start"] + r["length"]], "<u4").tobytes())
+            for t in ids[repr(r["doc_id"])] if len(t) == r["doc_tokens"]
+        }
+        assert r["ids_crc32"] in crcs
+    assert sum(r["length"] for r in found) == sum(len(t) for _, t in want)
+    for d, texts in ids.items():
+        spans = sorted((r["start"], r["length"]) for r in found if repr(r["doc_id"]) == d)
+        assert sum(n for _, n in spans) == sum(map(len, texts))
+        if len(texts) == 1:
+            at = 0
+            for start, n in spans:
+                assert start == at
+                at += n
+    return found
+
+
+def test_edge_documents(documents):
+    docs = [(r.doc_id, r.text) for r in documents.collect()]
+    check_packing(pack(clashing(documents), VOCABULARY), docs)
+
+
+def test_no_documents(no_documents):
+    assert pack(no_documents, VOCABULARY).collect() == []
+
+
+def test_tokens_are_those_of_the_vocabulary_file(documents):
+    bpe = Tokenizer.from_file(VOCABULARY)
+    fast, kind = mixture_pack.encoding(VOCABULARY)
+    for r in documents.collect():
+        assert fast.encode_ordinary(r.text or "") == bpe.encode(r.text or "", add_special_tokens=False).ids
+    assert kind == np.dtype("<u2")
+
+
+def test_windows_hold_the_wanted_shares(spark):
+    data = [(i, "word " * 300, "big" if i % 3 else "small") for i in range(120)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(6)
+    found = pack(docs, VOCABULARY, shares={"big": 0.5, "small": 0.5}, seq_len=512, serve=32)
+    per_window = defaultdict(lambda: [0, 0])
+    for r in found.collect():
+        per_window[r.sequence_id][r.doc_id % 3 > 0] += r.length
+    total = 120 * 301
+    mixed = [per_window[i] for i in range(total // 3 * 2 // 512 - 1)]
+    assert all(abs(a - 256) <= 64 and abs(b - 256) <= 64 for a, b in mixed)
+
+
+def test_many_sources_share_queues(spark, monkeypatch):
+    monkeypatch.setattr(mixture_pack, "MAX_QUEUES", 3)
+    monkeypatch.setattr(mixture_pack, "BROADCAST_ROWS", 0)
+    data = [(i, "some words " * (i + 1), f"source {i}") for i in range(40)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(4)
+    check_packing(pack(docs, VOCABULARY, seq_len=64, serve=16), [d[:2] for d in data], 64)
+
+
+def test_serve_must_fit(documents):
+    with pytest.raises(ValueError):
+        pack(documents, VOCABULARY, seq_len=8, serve=9)
