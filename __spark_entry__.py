@@ -49,6 +49,7 @@ from tripmill.plans.marts import daily_mart, monthly_mart  # noqa: E402
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report  # noqa: E402
 from tripmill.session import configure, shared_dir  # noqa: E402
 from tripmill.sources.events import encode_events, file_events  # noqa: E402
+from tripmill.sources.tables import load_trips, write_candidate  # noqa: E402
 from tripmill.streaming.etl import StreamTables, stream_etl  # noqa: E402
 
 TABLES = (
@@ -74,9 +75,17 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replace the staging table, then read it back."""
+    """Load monthly files of differing types, replace the staging table, read it back."""
     root = shared_dir(spark, "staging")
-    return replace_staging(batch_trips(spark, sf_dir), root, "run").select(*BATCH_SCHEMA.names)
+    months = batch_trips(spark, sf_dir)
+    even = F.col("DOLocationID") % 2 == 0
+    months.filter(even).write.parquet(f"{root}/months/a")
+    others = months.filter(even.isNull() | ~even)
+    others.withColumn("payment_type", F.col("payment_type").cast("bigint")).write.parquet(
+        f"{root}/months/b"
+    )
+    loaded = load_trips(spark, [f"{root}/months"])
+    return replace_staging(loaded, root, "run").select(*BATCH_SCHEMA.names)
 
 
 def batch_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,9 +153,15 @@ def gates_raw_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_gates(unified, quality.intermediate_gates(CONFIG.event))
 
 
+def written_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The trips and the daily mart, written one after the other as a batch run does."""
+    root = shared_dir(spark, "tables")
+    built = write_candidate(trips(spark, sf_dir), "int_trips", root, "run")
+    return built, write_candidate(daily_mart(built), "mart_daily", root, "run")
+
+
 def gates_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = trips(spark, sf_dir)
-    daily = daily_mart(built)
+    built, daily = written_tables(spark, sf_dir)
     reconciled = quality.reconciliation_gate(audit.reconcile(built, daily, how="full"))
     return quality.run_gates(daily, quality.MART_GATES).unionByName(reconciled)
 
@@ -157,8 +172,7 @@ def gate_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = trips(spark, sf_dir)
-    return audit.reconcile(built, daily_mart(built))
+    return audit.reconcile(*written_tables(spark, sf_dir))
 
 
 def publish_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,13 +182,11 @@ def publish_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_events(events).select("key", text, source)
 
 
-def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    return audit.table_inventory(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
-
-
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_inventory(spark, sf_dir).select("table_id", "row_count")
+    """The part of the inventory that the tables' content determines."""
+    configure(spark)
+    inventory = audit.table_inventory(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
+    return inventory.select("table_id", "row_count")
 
 
 def run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, StreamTables]:
@@ -193,6 +205,20 @@ def stream_etl_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_valid(spark)
 
 
+def stream_etl_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream stops, late events arrive, it goes on from its checkpoint, and is compacted."""
+    root = shared_dir(spark, "stream")
+    payloads = raw_events(spark, sf_dir).withColumn("late", F.crc32("value") % 3 == 0)
+    tables = StreamTables(f"{root}/valid", f"{root}/dead_letter")
+    for part, late in (("1", False), ("2", True)):
+        chosen = payloads.filter(F.col("late") == late).select("value").repartition(6, "value")
+        chosen.write.parquet(f"{root}/landing/{part}")
+        source = file_events(spark, f"{root}/landing/*", files_per_trigger=2)
+        stream_etl(source, tables, f"{root}/checkpoint", CONFIG.event, CONFIG.as_of).awaitTermination()
+    tables.compact(spark)
+    return tables.read_valid(spark)
+
+
 def stream_etl_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, tables = run_stream(spark, sf_dir)
     return audit.reject_profile(tables.read_dead_letter(spark))
@@ -301,9 +327,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "invalid_rows": on(trips, audit.invalid_rows),
         "recent_valid": on(stream_trips, audit.recent_valid),
         "publish_payload": publish_payload,
-        "table_inventory": table_inventory,
         "table_row_counts": table_row_counts,
         "stream_etl_valid": stream_etl_valid,
+        "stream_etl_restart": stream_etl_restart,
         "stream_etl_rejects": stream_etl_rejects,
         "stream_etl_accounting": stream_etl_accounting,
         "pipeline_tables": pipeline_tables,

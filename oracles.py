@@ -24,11 +24,13 @@ stg_batch AS (
     l_partkey % 270 AS "PULocationID",
     l_orderkey % 270 AS "DOLocationID",
     CAST(nullif(l_linenumber, 7) AS DOUBLE) AS passenger_count,
-    l_quantity - 1 AS trip_distance,
-    CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS fare_amount,
+    CASE WHEN l_orderkey % 103 = 0 THEN 'NaN'::DOUBLE ELSE l_quantity - 1 END AS trip_distance,
+    CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice
+         WHEN l_orderkey % 107 = 0 THEN 'NaN'::DOUBLE ELSE l_extendedprice END AS fare_amount,
     floor(l_extendedprice * l_discount) + delivery AS tip_amount,
     floor(l_extendedprice * l_tax) AS tolls_amount,
     CASE WHEN l_orderkey % 101 = 0 THEN 0.0::DOUBLE
+         WHEN l_orderkey % 109 = 0 THEN 'NaN'::DOUBLE
          ELSE l_extendedprice + floor(l_extendedprice * l_tax) END AS total_amount,
     CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS DOUBLE) AS payment_type
   FROM delivered_lines
@@ -37,13 +39,17 @@ stg_batch AS (
 IN_PERIOD = "CAST(lpep_pickup_datetime AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'"
 IN_ORDER = "lpep_dropoff_datetime > lpep_pickup_datetime"
 IN_ZONES = '"PULocationID" BETWEEN 1 AND 265 AND "DOLocationID" BETWEEN 1 AND 265'
-IN_AMOUNTS = "trip_distance > 0 AND fare_amount >= 0 AND total_amount > 0"
+IN_AMOUNTS = (
+    "trip_distance > 0 AND fare_amount >= 0 AND total_amount > 0"
+    " AND NOT isnan(trip_distance) AND NOT isnan(fare_amount) AND NOT isnan(total_amount)"
+)
 BATCH_RULES = f"{IN_PERIOD} AND {IN_ORDER} AND {IN_ZONES} AND {IN_AMOUNTS}"
 
 TRIP_ID = """sha256(
       CAST(lpep_pickup_datetime AS VARCHAR) || '|' || CAST(lpep_dropoff_datetime AS VARCHAR) || '|'
       || CAST("PULocationID" AS VARCHAR) || '|' || CAST("DOLocationID" AS VARCHAR) || '|'
-      || CAST(trip_distance AS VARCHAR) || '|' || CAST(total_amount AS VARCHAR))"""
+      || replace(CAST(trip_distance AS VARCHAR), 'nan', 'NaN') || '|'
+      || replace(CAST(total_amount AS VARCHAR), 'nan', 'NaN'))"""
 
 BATCH = f"""
 batch_branch AS (
@@ -135,7 +141,8 @@ event_values AS (
       || lpad(lower(to_hex(event_id)), 12, '0') AS event_id,
     date_trunc('second', ts) AS pickup,
     date_trunc('second', ts) + to_seconds(60 + (user_id * 37) % 5400) AS dropoff,
-    date_trunc('second', ts) + to_hours(CAST(1 + delivery AS INTEGER)) AS ingestion,
+    date_trunc('second', ts) + to_hours(CAST(1 + delivery AS INTEGER))
+      + to_milliseconds(CASE WHEN event_id % 50 = 38 THEN 500 ELSE 0 END) AS ingestion,
     1 + event_id % 265 AS pu,
     1 + user_id % 265 AS do_id,
     1 + event_id % 6 AS passengers,
@@ -157,7 +164,7 @@ event_amounts AS (
 judged AS (
   SELECT *,
     CASE
-      WHEN defect IN (1, 29) THEN 'INVALID_JSON'
+      WHEN defect IN (1, 29, 37) THEN 'INVALID_JSON'
       WHEN defect = 2 THEN 'NOT_AN_OBJECT'
       WHEN defect = 3 THEN 'MISSING_FIELDS'
       WHEN defect = 4 THEN 'BAD_PICKUP_DATETIME'
@@ -217,6 +224,7 @@ bodies AS (
       '"ingestion_time":' || CASE defect
         WHEN 7 THEN 'null'
         WHEN 9 THEN '"2030-01-01T00:00:00Z"'
+        WHEN 38 THEN '"' || {_ingestion} || '.500Z"'
         ELSE '"' || {_ingestion} || 'Z"' END,
       '"pickup_datetime":"' || CASE defect
         WHEN 4 THEN {_pickup}
@@ -257,6 +265,7 @@ payloads AS (
       WHEN 1 THEN '{{' || body
       WHEN 2 THEN '[{{' || body || '}}]'
       WHEN 29 THEN '{{' || body || '}} x'
+      WHEN 37 THEN '{{' || body || '}}' || chr(65533)
       ELSE '{{' || body || '}}' END AS raw_payload
   FROM bodies
 )"""
@@ -513,6 +522,7 @@ ORACLES: dict[str, str] = {
           '{{"event_id":"' || event_id
           || '","event_time":"' || {ISO.format("event_time")}
           || 'Z","ingestion_time":"' || {ISO.format("ingestion_time")}
+          || CASE WHEN microsecond(ingestion_time) % 1000000 = 0 THEN '' ELSE '.500000' END
           || 'Z","pickup_datetime":"' || {ISO.format("pickup_datetime")}
           || 'Z","dropoff_datetime":"' || {ISO.format("dropoff_datetime")}
           || 'Z","pickup_location_id":' || pickup_location_id
@@ -532,6 +542,7 @@ ORACLES: dict[str, str] = {
     )
     + "\nORDER BY table_id",
     "stream_etl_valid": query(EVENTS, then="SELECT * FROM valid_events"),
+    "stream_etl_restart": query(EVENTS, then="SELECT * FROM valid_events"),
     "pipeline_tables": query(
         *TRIPS,
         MARTS,

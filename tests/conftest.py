@@ -43,6 +43,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tripmill-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        # Tables of many small dates: file creation takes the time, so spread it.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -10,10 +10,11 @@ from tripmill.contract import (
     TRIP_SCHEMA,
     PipelineConfig,
 )
-from tripmill.operators.quality import GateFailure
+from tripmill.operators.quality import GateFailure, stored_schema_gate
 from tripmill.operators.validate import split_valid, validate_events
 from tripmill.plans.batch import run_batch
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report
+from tripmill.sources.tables import current_table
 
 CFG = PipelineConfig(as_of=AS_OF)
 
@@ -66,8 +67,8 @@ def test_whole_run(spark, tmp_path):
     # A rerun replaces every table instead of adding to it.
     rerun = run_batch(spark, batch(spark), events, str(tmp_path), "r2", CFG)
     assert rerun.trips.count() == 5
-    assert spark.table("int_trips").count() == 5
-    assert spark.table("mart_daily").count() == 3
+    assert current_table(spark, "int_trips", str(tmp_path)).count() == 5
+    assert current_table(spark, "mart_daily", str(tmp_path)).count() == 3
 
 
 def test_failed_gate_stops_the_run(spark, tmp_path):
@@ -83,6 +84,23 @@ def test_failed_gate_stops_the_run(spark, tmp_path):
         run_batch(spark, batch(spark).limit(0), stream(spark, event()), str(root), "r3", CFG)
 
 
+def test_readers_see_the_last_good_version(spark, tmp_path):
+    root = str(tmp_path)
+    run_batch(spark, batch(spark), stream(spark, event()), root, "r1", CFG)
+    with pytest.raises(GateFailure, match="stream_present"):
+        run_batch(spark, batch(spark).limit(2), stream(spark, "[]"), root, "r2", CFG)
+    assert current_table(spark, "int_trips", root).count() == 4
+
+
+def test_stored_columns_are_checked(spark, tmp_path):
+    full = spark.createDataFrame([], TRIP_SCHEMA)
+    rows = full.unionByName(spark.range(1).selectExpr("'x' AS trip_id"), allowMissingColumns=True)
+    rows.write.parquet(str(tmp_path / "whole"))
+    rows.drop("tolls_amount").write.parquet(str(tmp_path / "lacking"))
+    found = [stored_schema_gate(spark, str(tmp_path / n)).first() for n in ("whole", "lacking", "none")]
+    assert [(r.passed, r.observed) for r in found] == [(True, 15), (False, 14), (False, 0)]
+
+
 def test_run_from_paths(spark, tmp_path):
     batch(spark).write.parquet(str(tmp_path / "month"))
     events = stream(spark, event())

@@ -7,9 +7,15 @@ from tripmill.contract import BATCH_SCHEMA
 from tripmill.sources.tables import (
     SchemaMismatch,
     append_batch,
+    compact,
+    current_table,
+    drop_replaced,
     load_trips,
+    publish,
+    read_loads,
     read_table,
     replace_table,
+    write_candidate,
     write_run,
 )
 
@@ -42,6 +48,16 @@ def test_load_trips_across_type_drift(spark, tmp_path):
     assert loaded.agg(F.sum("passenger_count")).first()[0] == 18.0
 
 
+def test_load_trips_from_one_folder_and_a_glob(spark, tmp_path):
+    """Months of one folder may differ in type, whether named by the folder or by a glob."""
+    for name, kind in (("m=04", "bigint"), ("m=05", "double"), ("m=06", "int")):
+        month(spark, str(tmp_path / "months" / name), kind)
+    for path in (str(tmp_path / "months"), str(tmp_path / "months" / "m=*")):
+        loaded = load_trips(spark, [path])
+        assert loaded.schema == BATCH_SCHEMA and loaded.count() == 12
+        assert loaded.agg(F.sum("passenger_count")).first()[0] == 18.0
+
+
 def test_load_trips_names_missing_columns(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "bad"))
     with pytest.raises(SchemaMismatch, match="lpep_pickup_datetime"):
@@ -54,10 +70,10 @@ def test_replace_table_swaps_whole_runs(spark, tmp_path):
     assert replace_table(first, "t_swap", root, "r1", ["d"]).count() == 10
     second = first.filter("id < 3")
     replace_table(second, "t_swap", root, "r2", ["d"])
-    assert spark.table("t_swap").columns == ["id", "d"]
-    assert spark.table("t_swap").count() == 3
+    assert current_table(spark, "t_swap", root).columns == ["id", "d"]
+    assert current_table(spark, "t_swap", root).count() == 3
     replace_table(second, "t_swap", root, "r2", ["d"])  # a rerun replaces itself
-    assert spark.table("t_swap").count() == 3
+    assert current_table(spark, "t_swap", root).count() == 3
 
 
 def test_failed_write_leaves_the_old_table(spark, tmp_path):
@@ -66,22 +82,23 @@ def test_failed_write_leaves_the_old_table(spark, tmp_path):
     failing = spark.range(5).withColumn("id", F.raise_error(F.lit("boom")).cast("long"))
     with pytest.raises(Exception, match="boom"):
         replace_table(failing, "t_keep", root, "r2")
-    assert spark.table("t_keep").count() == 5
+    assert current_table(spark, "t_keep", root).count() == 5
 
 
 def test_replacing_a_table_from_itself(spark, tmp_path):
     root = str(tmp_path)
     replace_table(spark.range(5), "t_self", root, "r1")
-    replace_table(spark.table("t_self").filter("id > 1"), "t_self", root, "r2")
-    assert spark.table("t_self").count() == 3
+    replace_table(current_table(spark, "t_self", root).filter("id > 1"), "t_self", root, "r2")
+    assert current_table(spark, "t_self", root).count() == 3
 
 
 def test_replacing_by_no_rows(spark, tmp_path):
+    root = str(tmp_path)
     rows = spark.range(5).withColumn("d", F.current_date())
-    replace_table(rows, "t_none", str(tmp_path), "r1", ["d"])
-    assert replace_table(rows.limit(0), "t_none", str(tmp_path), "r2", ["d"]).count() == 0
-    assert spark.table("t_none").count() == 0
-    assert spark.table("t_none").dtypes == rows.dtypes
+    replace_table(rows, "t_none", root, "r1", ["d"])
+    assert replace_table(rows.limit(0), "t_none", root, "r2", ["d"]).count() == 0
+    assert current_table(spark, "t_none", root).count() == 0
+    assert current_table(spark, "t_none", root).dtypes == rows.dtypes
 
 
 def test_append_batch_is_replay_safe(spark, tmp_path):
@@ -130,3 +147,59 @@ def test_hot_date_is_split(spark, tmp_path):
         (F.array_sort(F.collect_list("zone")) == F.collect_list("zone")).alias("ok")
     )
     assert ordered.filter("NOT ok").count() == 0
+
+
+def test_another_session_reads_the_published_version(spark, tmp_path):
+    root = str(tmp_path)
+    replace_table(spark.range(7), "t_far", root, "r1")
+    write_candidate(spark.range(2), "t_far", root, "r2")  # written, not published
+    fresh = spark.newSession()
+    assert current_table(fresh, "t_far", root).count() == 7
+    with pytest.raises(LookupError):
+        current_table(fresh, "t_other", root)
+
+
+def test_tables_of_two_roots_do_not_mix(spark, tmp_path):
+    roots = [str(tmp_path / "a"), str(tmp_path / "b")]
+    for n, root in enumerate(roots):
+        replace_table(spark.range(n + 1), "t_same", root, "r1")
+    assert [current_table(spark, "t_same", root).count() for root in roots] == [1, 2]
+
+
+def test_old_runs_are_dropped(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(4):
+        replace_table(spark.range(n), "t_old", root, f"r{n}", keep=2)
+    assert sorted(p.name for p in (tmp_path / "t_old").glob("run=*")) == ["run=r2", "run=r3"]
+    publish(current_table(spark, "t_old", root), "t_old", root, "r2")  # back to an older run
+    assert current_table(spark, "t_old", root).count() == 2
+
+
+def test_compaction(spark, tmp_path):
+    path = str(tmp_path / "stream")
+    rows = spark.range(60).select("id", F.date_add(F.lit("2025-06-01").cast("date"), F.col("id").cast("int") % 3).alias("d"))
+    for n in range(6):
+        append_batch(rows.filter(F.col("id") % 6 == n), path, f"q-{n}", ["d"])
+    assert compact(spark, str(tmp_path / "nothing"), rows.schema) is None
+    new = compact(spark, path, rows.schema, ["d"])
+
+    def ids():
+        return sorted(r.id for r in read_loads(spark, path, rows.schema).collect())
+
+    assert ids() == list(range(60))
+    append_batch(rows.filter("id % 6 = 5"), path, "q-5", ["d"])  # the last batch is replayed
+    assert ids() == list(range(60))
+    assert drop_replaced(spark, path) == 5
+    assert ids() == list(range(60))
+    loads = {p.name for p in (tmp_path / "stream").glob("load_id=*")}
+    assert loads == {f"load_id={new}", "load_id=q-5"}
+    for folder in (tmp_path / "stream" / f"load_id={new}").glob("d=*"):
+        assert len(list(folder.glob("*.parquet"))) == 1
+    assert compact(spark, path, rows.schema, ["d"]) is None
+
+
+def test_an_unfinished_compaction_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append_batch(spark.range(5), path, "q-0")
+    append_batch(spark.range(5), path, "compact-broken")
+    assert read_loads(spark, path, spark.range(1).schema).count() == 5

@@ -23,7 +23,16 @@ from tripmill.plans.marts import daily_mart, monthly_mart
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report
 from tripmill.session import configure
 from tripmill.sources.events import encode_events, file_events, kafka_events, text_events
-from tripmill.sources.tables import append_batch, load_trips, read_table, replace_table
+from tripmill.sources.tables import (
+    append_batch,
+    compact,
+    current_table,
+    drop_replaced,
+    load_trips,
+    read_loads,
+    read_table,
+    replace_table,
+)
 from tripmill.streaming.etl import StreamTables, stream_etl
 
 __all__ = [name for name in dir() if not name.startswith("_")]

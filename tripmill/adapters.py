@@ -27,11 +27,9 @@ CONFIG = PipelineConfig(
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; one too small to give every core a split is spread over the cores."""
+    """A driver table, as it is stored."""
     configure(spark)
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def deliveries(again: str) -> str:
@@ -43,6 +41,7 @@ def batch_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch staging rows: a trip per order line; lines of every tenth order come twice.
 
     The second copy has another tip, which is not part of a trip's identity.
+    Some orders have NaN as distance, fare or total.
     """
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
@@ -53,12 +52,13 @@ def batch_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey % 270 AS PULocationID",
         "l_orderkey % 270 AS DOLocationID",
         "nullif(l_linenumber, 7) AS passenger_count",
-        "l_quantity - 1 AS trip_distance",
-        "CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice ELSE l_extendedprice END"
-        " AS fare_amount",
+        "CASE WHEN l_orderkey % 103 = 0 THEN double('NaN') ELSE l_quantity - 1 END"
+        " AS trip_distance",
+        "CASE WHEN l_orderkey % 97 = 0 THEN -l_extendedprice"
+        " WHEN l_orderkey % 107 = 0 THEN double('NaN') ELSE l_extendedprice END AS fare_amount",
         "floor(l_extendedprice * l_discount) + delivery AS tip_amount",
         "floor(l_extendedprice * l_tax) AS tolls_amount",
-        "CASE WHEN l_orderkey % 101 = 0 THEN 0D"
+        "CASE WHEN l_orderkey % 101 = 0 THEN 0D WHEN l_orderkey % 109 = 0 THEN double('NaN')"
         " ELSE l_extendedprice + floor(l_extendedprice * l_tax) END AS total_amount",
         "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS payment_type",
     )
@@ -83,7 +83,11 @@ PAYLOAD_FIELDS: dict[str, tuple[str, dict[int, str]]] = {
     ),
     "ingestion_time": (
         """concat('"', date_format(ingestion, iso), 'Z"')""",
-        {7: "'null'", 9: """'"2030-01-01T00:00:00Z"'"""},
+        {
+            7: "'null'",
+            9: """'"2030-01-01T00:00:00Z"'""",
+            38: """concat('"', date_format(ingestion, iso), '.500Z"')""",
+        },
     ),
     "pickup_datetime": (
         """concat('"', pickup_text, 'Z"')""",
@@ -130,7 +134,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second delivery was ingested an hour later and has a higher tip.
     ``event_id % 50`` from 1 to 30 plants a defect, one per validation rule in
     the order of the rules (29: text after the object, 30: two defects). From
-    31 to 36 the event is valid at run time in an unusual spelling.
+    31 to 36 the event is valid at run time in an unusual spelling. At 37 a byte
+    that is not UTF-8 follows the object, at 38 a time has a fraction of a second.
     """
     delivered = table(spark, sf_dir, "events").selectExpr("*", deliveries("event_id % 7 = 0"))
     cents = delivered.selectExpr(
@@ -143,7 +148,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id % 50 AS defect",
         "pickup",
         "timestamp_seconds(unix_seconds(pickup) + 60 + user_id * 37 % 5400) AS dropoff",
-        "timestamp_seconds(unix_seconds(pickup) + 3600 * (1 + delivery)) AS ingestion",
+        "timestamp_millis(1000 * (unix_seconds(pickup) + 3600 * (1 + delivery))"
+        " + CASE WHEN event_id % 50 = 38 THEN 500 ELSE 0 END) AS ingestion",
         "lpad(lower(hex(event_id)), 12, '0') AS hex_id",
         "1 + event_id % 265 AS pu",
         "1 + user_id % 265 AS do",
@@ -169,7 +175,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN 1 THEN concat('{', body)
              WHEN 2 THEN concat('[{', body, '}]')
              WHEN 29 THEN concat('{', body, '} x')
-             ELSE concat('{', body, '}') END, 'UTF-8') AS value"""
+             ELSE concat('{', body, '}') END, 'UTF-8')
+           || CASE WHEN defect = 37 THEN X'FF' ELSE X'' END AS value"""
     )
 
 

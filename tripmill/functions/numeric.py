@@ -6,18 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNITS = 10_000.0
+FINER = 1e12
 
 
 def exact_sum(column: Column) -> Column:
     """Sum of doubles that does not depend on the order of the rows.
 
-    Values are added as whole ten-thousandths, which doubles hold and add
-    exactly up to 2**53, so reruns and other partitionings give the same bits.
-    What a value has beyond four decimals is summed apart and added back.
+    Values are added as whole ten-thousandths, and what they have beyond four
+    decimals as whole trillionths, both in 64-bit integers. Reruns and other
+    partitionings give the same bits; a value or sum beyond 9.2e14, an infinite
+    one or NaN is an error.
     """
-    units = F.rint(column * UNITS)
-    rest = F.when(column == units / UNITS, 0.0).otherwise(column - units / UNITS)
-    return F.sum(units) / UNITS + F.sum(rest)
+    units = F.rint(column * UNITS).cast("bigint")
+    rest = F.rint((column - units / UNITS) * FINER).cast("bigint")
+    return F.sum(units) / UNITS + F.sum(rest) / FINER
 
 
 def rounded_ratio(total: Column, count: Column, scale: int = 2) -> Column:
@@ -25,10 +27,10 @@ def rounded_ratio(total: Column, count: Column, scale: int = 2) -> Column:
 
     Divides as decimals, one division per group, because a mean of cents often
     lies exactly between two cents and a binary quotient falls on either side.
+    Totals of 1e24 and more are an error.
     """
-    exact = F.try_divide(total.try_cast("decimal(30,6)"), count.cast("decimal(20,0)"))
-    binary = F.try_divide(total, count)
-    return F.coalesce(F.round(exact, scale).cast("double"), F.round(binary, scale))
+    exact = F.try_divide(total.cast("decimal(30,6)"), count.cast("decimal(20,0)"))
+    return F.round(exact, scale).cast("double")
 
 
 def half_even(column: str, scale: int = 2) -> Column:

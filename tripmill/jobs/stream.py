@@ -6,7 +6,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tripmill.session import configure
+from tripmill.contract import EventSpec
+from tripmill.jobs.options import event_period
+from tripmill.session import tune
 from tripmill.sources.events import file_events, kafka_events, text_events
 from tripmill.streaming.etl import StreamTables, stream_etl
 
@@ -22,6 +24,7 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--dead-letter", required=True, help="path of the dead letter table")
     parser.add_argument("--checkpoint", required=True, help="checkpoint folder of this query")
     parser.add_argument("--every", help="run on, with this trigger interval, e.g. '1 minute'")
+    event_period(parser)
     parser.add_argument("--per-trigger", type=int, help="bound a micro-batch: offsets or files")
     parsed = parser.parse_args(args)
     if parsed.topic and not parsed.servers:
@@ -31,7 +34,7 @@ def arguments(args: list[str] | None = None) -> argparse.Namespace:
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> None:
     options = arguments(args)
-    spark = configure(spark or SparkSession.builder.appName("tripmill-stream").getOrCreate())
+    spark = tune(spark or SparkSession.builder.appName("tripmill-stream").getOrCreate())
     if options.topic:
         bound = {"maxOffsetsPerTrigger": str(options.per_trigger)} if options.per_trigger else {}
         events = kafka_events(spark, options.servers, options.topic, **bound)
@@ -43,6 +46,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> No
         events,
         StreamTables(options.valid, options.dead_letter),
         options.checkpoint,
+        EventSpec(options.event_start, options.event_end),
         trigger={"processingTime": options.every} if options.every else None,
     )
     query.awaitTermination()

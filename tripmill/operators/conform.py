@@ -108,10 +108,12 @@ def batch_zones(spec: EventSpec | None = None) -> list[Column]:
 
 
 def batch_amounts() -> list[Column]:
+    """Positive distance and total, no negative fare; NaN, which Spark ranks highest, is none."""
     return [
         F.col("trip_distance") > 0,
         F.col("fare_amount") >= 0,
         F.col("total_amount") > 0,
+        *[~F.isnan(name) for name in ("trip_distance", "fare_amount", "total_amount")],
     ]
 
 

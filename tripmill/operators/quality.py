@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.contract import SOURCE_TYPES, TRIP_SCHEMA, EventSpec, PipelineConfig
@@ -60,6 +61,7 @@ def invalid_trip(spec: EventSpec | None = None) -> str:
             "trip_distance <= 0",
             "fare_amount < 0",
             "total_amount <= 0",
+            *[f"isnan({name})" for name in ("trip_distance", "fare_amount", "total_amount")],
             zone("pickup_location_id", spec["pickup_location_id"]),
             zone("dropoff_location_id", spec["dropoff_location_id"]),
             "source_type NOT IN ({})".format(", ".join(f"'{s}'" for s in SOURCE_TYPES)),
@@ -124,6 +126,17 @@ def schema_gate(df: DataFrame, required: Sequence[str] = tuple(TRIP_SCHEMA.names
     )
 
 
+def stored_schema_gate(
+    spark: SparkSession, path: str, required: Sequence[str] = tuple(TRIP_SCHEMA.names)
+) -> DataFrame:
+    """As ``schema_gate``, on the columns that written files have; no files have no columns."""
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException:
+        stored = spark.createDataFrame([], "none int")
+    return schema_gate(stored, required)
+
+
 def freshness_gate(df: DataFrame, as_of: datetime | None, within: timedelta) -> DataFrame:
     """Something arrived lately: the count of rows whose ingestion is recent enough."""
     configure(df.sparkSession)

@@ -177,9 +177,16 @@ def _rules(spec: EventSpec) -> list[Rule]:
     earlier rules having caught the NULL operands.
     """
     start, end = sql_instant(spec.start), sql_instant(spec.end)
-    components = [f.name for f in spec.of_kind("number") if f.minimum == 0]
+    components = [f for f in spec.of_kind("number") if f.minimum is not None]
+    listed = ", ".join(f.name for f in components)
+    too_low = " OR ".join(f"{f.name} < {f.minimum}" for f in components) or "false"
+    least = {f.minimum for f in components}
+    bound = "may be negative" if least <= {0} else "may lie below its minimum"
     payments = ", ".join(map(str, spec["payment_type"].allowed))
     source = spec["source_type"].allowed[0]
+    converted = [f.name for f in spec.of_kind("integer", "number")]
+    order = [n for n in CONVERSION_ORDER if n in converted]
+    order += [n for n in converted if n not in order]
 
     def rule(code: str, fails: str, reason: str) -> Rule:
         return sql_text(code), fails, sql_text(reason)
@@ -219,7 +226,7 @@ def _rules(spec: EventSpec) -> list[Rule]:
             "dropoff_datetime must lie after pickup_datetime and inside the period",
         ),
     ]
-    for name in CONVERSION_ORDER:
+    for name in order:
         kind = "an integer" if spec[name].kind == "integer" else "a finite number"
         rules.append(rule(f"BAD_TYPE:{name}", f"{name} IS NULL", f"{name} is not {kind}"))
     for code, name in (
@@ -243,8 +250,8 @@ def _rules(spec: EventSpec) -> list[Rule]:
         ),
         rule(
             "NEGATIVE_COMPONENT",
-            f"least({', '.join(components)}) < 0",
-            f"none of {', '.join(components)} may be negative",
+            too_low,
+            f"none of {listed} {bound}",
         ),
         rule(
             "NON_POSITIVE_TOTAL",

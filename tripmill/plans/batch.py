@@ -17,13 +17,20 @@ from tripmill.operators.quality import (
     reconciliation_gate,
     require,
     run_gates,
-    schema_gate,
+    stored_schema_gate,
     stream_present,
 )
 from tripmill.plans.intermediate import INT_CLUSTER, INT_PARTITION, build_intermediate
 from tripmill.plans.marts import DAILY_CLUSTER, DAILY_PARTITION, daily_mart, monthly_mart
 from tripmill.session import configure
-from tripmill.sources.tables import load_trips, read_table, replace_table
+from tripmill.sources.tables import (
+    load_trips,
+    publish,
+    read_loads,
+    replace_table,
+    run_path,
+    write_candidate,
+)
 
 BATCH_CLUSTER = ("PULocationID", "payment_type")
 
@@ -40,10 +47,17 @@ class BatchTables:
 
 
 def replace_staging(loaded: DataFrame, root: str, run_id: str) -> DataFrame:
-    """Replace the batch staging table, partitioned by pickup day."""
-    dated = loaded.withColumn("pickup_date", F.to_date("lpep_pickup_datetime"))
-    written = replace_table(dated, "stg_batch", root, run_id, ["pickup_date"], BATCH_CLUSTER)
-    return written.drop("pickup_date")
+    """Replace the batch staging table, partitioned by pickup day (column ``pickup_date``)."""
+    return replace_table(dated(loaded), "stg_batch", root, run_id, ["pickup_date"], BATCH_CLUSTER)
+
+
+def dated(loaded: DataFrame) -> DataFrame:
+    return loaded.withColumn("pickup_date", F.to_date("lpep_pickup_datetime"))
+
+
+def in_period(staging: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The day folders of the batch period; the others are not even listed by the scan."""
+    return staging.filter(F.col("pickup_date").between(cfg.batch_start, cfg.batch_end))
 
 
 def run_batch(
@@ -53,40 +67,40 @@ def run_batch(
     root: str,
     run_id: str,
     cfg: PipelineConfig,
+    keep: int | None = None,
 ) -> BatchTables:
     """Build all tables below ``root``; a failed gate stops before the next layer.
 
     ``batch`` is the monthly file paths or a loaded frame; ``stream`` the path
     of the valid-event table or a frame of it. Every layer is written before
     the next one reads it, so nothing is computed twice and a lost executor
-    costs only the layer in progress.
+    costs only the layer in progress. A table is published when its gates have
+    passed; until then readers see its last version.
     """
     configure(spark)
     loaded = batch if isinstance(batch, DataFrame) else load_trips(spark, batch)
-    events = stream if isinstance(stream, DataFrame) else read_table(spark, stream, VALID_SCHEMA)
+    events = stream if isinstance(stream, DataFrame) else read_loads(spark, stream, VALID_SCHEMA)
+
+    def write(df: DataFrame, name: str, by: Sequence[str] = (), cluster: Sequence[str] = ()):
+        return write_candidate(df, name, root, run_id, by, cluster)
 
-    staging = replace_staging(loaded, root, run_id)
+    staging = write(dated(loaded), "stg_batch", ["pickup_date"], BATCH_CLUSTER)
     gates = require(run_gates(staging, STAGING_GATES))
+    publish(staging, "stg_batch", root, run_id, keep)
 
-    trips = replace_table(
-        build_intermediate(staging, events, cfg),
-        "int_trips",
-        root,
-        run_id,
-        INT_PARTITION,
-        INT_CLUSTER,
-    )
+    built = build_intermediate(in_period(staging, cfg), events, cfg)
+    trips = write(built, "int_trips", INT_PARTITION, INT_CLUSTER)
     gates += require(
-        schema_gate(trips),
-        run_gates(trips, intermediate_gates(cfg.event)),
-        run_gates(events, [stream_present(cfg)]),
+        stored_schema_gate(spark, run_path(root, "int_trips", run_id)),
+        run_gates(trips, [*intermediate_gates(cfg.event), stream_present(cfg)]),
     )
+    publish(trips, "int_trips", root, run_id, keep)
 
-    daily = replace_table(
-        daily_mart(trips), "mart_daily", root, run_id, DAILY_PARTITION, DAILY_CLUSTER
-    )
-    monthly = replace_table(monthly_mart(trips), "mart_monthly", root, run_id)
+    daily = write(daily_mart(trips), "mart_daily", DAILY_PARTITION, DAILY_CLUSTER)
+    monthly = write(monthly_mart(trips), "mart_monthly")
     gates += require(
         run_gates(daily, MART_GATES), reconciliation_gate(reconcile(trips, daily, how="full"))
     )
+    publish(daily, "mart_daily", root, run_id, keep)
+    publish(monthly, "mart_monthly", root, run_id, keep)
     return BatchTables(staging, trips, daily, monthly, gates)

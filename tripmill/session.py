@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import datetime, timezone
 
@@ -12,20 +11,17 @@ from pyspark.sql import functions as F
 # UTC: every stored instant and every business date is UTC.
 # allowDuplicateKeys: in a JSON object with a repeated key the last value wins.
 # ansi: a batch value that does not fit its type fails the run, it is not replaced.
-# adaptive: skewed joins and skewed table writes are split at run time.
-# minPartitionSize: writing many small dates is bound by file creation, so even
-# a small write should be spread over the cores.
-# hugeMethodLimit: the JVM does not compile methods above 8000 bytes. The wide
-# validation projections are faster as several methods than as one such stage.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# What jobs and the bench set besides. hugeMethodLimit: the JVM does not compile
+# methods above 8000 bytes; the wide validation projections are faster as
+# several methods than as one such stage.
+JOB_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the results depend on to an existing session."""
@@ -35,6 +31,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings of a job that owns its session."""
+    for key, value in JOB_SETTINGS.items():
+        spark.conf.set(key, value)
+    return configure(spark)
+
+
 def clock(as_of: datetime | None) -> Column:
     """The run's clock as a column: a fixed instant, or the start of the query."""
     if as_of is None:
@@ -48,14 +51,10 @@ def sql_instant(instant: datetime) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new directory, readable by every executor, below ``spark.checkpoint.dir``.
+    """A new directory below ``spark.checkpoint.dir``, else below the warehouse folder.
 
-    Where the setting is absent a temporary folder is used, in local mode only:
-    on a cluster a folder of one machine is not visible to the others.
+    Both settings name folders that all executors share.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tripmill-")
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,10 +1,14 @@
-"""Parquet tables: schema-checked load, full replace, replay-safe append."""
+"""Parquet tables: schema-checked load, full replace by versions, replay-safe append, compaction."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +18,9 @@ from tripmill.functions.numeric import to_integer
 from tripmill.session import configure
 
 
+FOOTERS = 16
+
+
 class SchemaMismatch(ValueError):
     """A source lacks a column the schema asks for."""
 
@@ -24,16 +31,24 @@ def load_trips(
     """Load monthly Parquet files, directories or globs as one table of ``schema``.
 
     Months may store a column with different numeric types, which one Parquet
-    read cannot merge. Each path is typed by its own footer and cast; paths
-    that agree are read by one scan.
+    read cannot merge, also within one directory. Each file is typed by its own
+    footer and cast; files that agree are read by one scan. The footers
+    are read by one small job per file, ``FOOTERS`` of them at a time.
     """
     configure(spark)
     if not paths:
         raise ValueError("no paths given")
+
+    def types(file: str) -> T.StructType:
+        return assert_schema(spark.read.parquet(file), schema).schema
+
+    files = data_files(spark, paths)
+    if not files:
+        raise ValueError("no Parquet files found")
     same_types: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        found = assert_schema(spark.read.parquet(path), schema).schema
-        same_types.setdefault(found.json(), (found, []))[1].append(path)
+    with ThreadPool(FOOTERS) as pool:
+        for file, found in zip(files, pool.map(types, files), strict=True):
+            same_types.setdefault(found.json(), (found, []))[1].append(file)
     parts = [
         to_schema(spark.read.schema(found).parquet(*group), schema)
         for found, group in same_types.values()
@@ -41,6 +56,13 @@ def load_trips(
     return reduce(DataFrame.unionByName, parts)
 
 
+def data_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The Parquet files below files, directories and globs: a listing, no content is read."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    found = listing.option("pathGlobFilter", "*.parquet").load(list(paths)).select("path")
+    return sorted(row.path for row in found.distinct().collect())
+
+
 def assert_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``df`` narrowed to the columns of ``schema``; more columns are fine, fewer are not."""
     absent = [name for name in schema.names if name not in df.columns]
@@ -94,6 +116,66 @@ def write_run(
     writer.parquet(path)
 
 
+VERSIONS = "version bigint, run_id string, columns string"
+
+
+def run_path(root: str, name: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/{name}/run={run_id}"
+
+
+def write_candidate(
+    df: DataFrame,
+    name: str,
+    root: str,
+    run_id: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+) -> DataFrame:
+    """Write a new content of table ``name`` and read it back; readers do not see it yet."""
+    path = run_path(root, name, run_id)
+    write_run(df, path, partition_by, cluster_by)
+    return read_table(df.sparkSession, path, df.schema)
+
+
+def versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table's versions: number, run and columns. A table never published has none."""
+    path = f"{root.rstrip('/')}/{name}/versions"
+    try:
+        return spark.read.schema(VERSIONS).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], VERSIONS)
+
+
+def publish(written: DataFrame, name: str, root: str, run_id: str, keep: int | None = None) -> None:
+    """Make a run's rows the content of table ``name``, for this and all other sessions.
+
+    A version is one row in one file, which appears at once or not at all. With
+    ``keep``, runs that none of the last ``keep`` versions name are deleted.
+    """
+    spark = written.sparkSession
+    last = versions(spark, root, name).agg(F.max("version")).first()[0] or 0
+    row = [(last + 1, run_id, written.schema.json())]
+    path = f"{root.rstrip('/')}/{name}/versions"
+    spark.createDataFrame(row, VERSIONS).coalesce(1).write.mode("append").parquet(path)
+    if keep is not None:
+        recent = versions(spark, root, name).orderBy(F.desc("version")).limit(max(1, keep))
+        kept = {f"run={r.run_id}" for r in recent.collect()}
+        for folder in folders(spark, f"{root.rstrip('/')}/{name}"):
+            if folder.startswith("run=") and folder not in kept:
+                delete(spark, f"{root.rstrip('/')}/{name}/{folder}")
+
+
+def current_table(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The published content of table ``name`` below ``root``."""
+    newest = versions(spark, root, name).orderBy(F.desc("version"), F.desc("run_id")).first()
+    if newest is None:
+        raise LookupError(f"table {name} below {root} has not been published")
+    schema = T.StructType.fromJson(json.loads(newest.columns))
+    return read_table(spark, run_path(root, name, newest.run_id), schema)
+
+
 def replace_table(
     df: DataFrame,
     name: str,
@@ -101,27 +183,38 @@ def replace_table(
     run_id: str,
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    keep: int | None = None,
 ) -> DataFrame:
     """Replace table ``name`` by the rows of ``df`` and read it back.
 
-    Rows go to a directory of this run; only then is the name pointed at it.
+    Rows go to a directory of this run; only then is a version naming it added.
     Readers see the old table or the new one, a failed write leaves the old
     one in place, and a rerun with the same ``run_id`` writes the same place.
     """
-    spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{name}/run={run_id}"
-    write_run(df, path, partition_by, cluster_by)
-    written = read_table(spark, path, df.schema)
-    if written.isEmpty():  # a partitioned write of no rows leaves no file to read a schema from
-        columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema]
-        source = f"SELECT {', '.join(columns)} WHERE false"
-    else:
-        columns = [f"`{c}`" for c in df.columns]
-        source = f"SELECT {', '.join(columns)} FROM parquet.`{path}`"
-    spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS {source}")
+    written = write_candidate(df, name, root, run_id, partition_by, cluster_by)
+    publish(written, name, root, run_id, keep)
     return written
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a path, in whatever file system it is."""
+    found, system = _file_system(spark, path)
+    if not system.exists(found):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(found)]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    found, system = _file_system(spark, path)
+    system.delete(found, True)
+
+
 def append_batch(
     df: DataFrame,
     path: str,
@@ -131,3 +224,79 @@ def append_batch(
 ) -> None:
     """Add the rows of one load to a table. Repeating a load replaces its own rows."""
     write_run(df, f"{path.rstrip('/')}/load_id={load_id}", partition_by, cluster_by)
+
+
+REPLACED = "new_load string, old_load string"
+COMPACTED = "compact-"
+
+
+def replaced_loads(spark: SparkSession, path: str) -> DataFrame:
+    """Which loads of an appended table later loads stand for."""
+    try:
+        return spark.read.schema(REPLACED).parquet(f"{path.rstrip('/')}_compactions")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REPLACED)
+
+
+def read_loads(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An appended table: all loads but those that a compaction has replaced or not finished."""
+    listed = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+    try:
+        rows = spark.read.schema(listed).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    # A few rows per compaction, in the driver's memory like the listing of the loads itself.
+    found = replaced_loads(spark, path).collect()
+    gone, done = {r.old_load for r in found}, {r.new_load for r in found}
+    load = F.col("load_id")
+    if gone:
+        rows = rows.where(~load.isin(*gone))
+    finished = load.startswith(COMPACTED)
+    rows = rows.where(~finished | load.isin(*done) if done else ~finished)
+    return rows.select(*schema.names)
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    leave: int = 1,
+) -> str | None:
+    """Rewrite an appended table's finished loads as one load; its name, or None if few are there.
+
+    The last ``leave`` loads of every query stay, as a restarted stream may write
+    them again. Rows appear in the new load and vanish from the old ones at
+    once, when the compaction is noted; ``drop_replaced`` deletes the old files later.
+    """
+    gone = {r.old_load for r in replaced_loads(spark, path).collect()}
+    names = [f.removeprefix("load_id=") for f in folders(spark, path) if f.startswith("load_id=")]
+    queries: dict[str, list[tuple[int, str]]] = {}
+    for name in names:
+        query, _, number = name.rpartition("-")
+        if name not in gone and not name.startswith(COMPACTED) and number.isdigit():
+            queries.setdefault(query, []).append((int(number), name))
+    old = [name for own in queries.values() for _, name in sorted(own)[: -leave or None]]
+    if len(old) < 2:
+        return None
+    new = COMPACTED + uuid.uuid4().hex
+    listed = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+    rows = spark.read.schema(listed).parquet(path).where(F.col("load_id").isin(*old))
+    append_batch(rows.select(*schema.names), path, new, partition_by, cluster_by)
+    note = spark.createDataFrame([(new, name) for name in old], REPLACED).coalesce(1)
+    note.write.mode("append").parquet(f"{path.rstrip('/')}_compactions")
+    return new
+
+
+def drop_replaced(spark: SparkSession, path: str) -> int:
+    """Delete the files of loads that compactions have replaced; how many there were."""
+    gone = {f"load_id={r.old_load}" for r in replaced_loads(spark, path).collect()}
+    found = [name for name in folders(spark, path) if name in gone]
+    for name in found:
+        delete(spark, f"{path.rstrip('/')}/{name}")
+    return len(found)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.contract import DEAD_LETTER_SCHEMA, VALID_SCHEMA, EventSpec
 from tripmill.operators.validate import split_valid, validate_events
-from tripmill.sources.tables import append_batch, read_table
+from tripmill.sources.tables import append_batch, compact, read_loads
 
 STREAM_PARTITION = ("pickup_date",)
 STREAM_CLUSTER = ("pickup_location_id", "payment_type")
@@ -26,10 +26,15 @@ class StreamTables:
     dead_letter: str
 
     def read_valid(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.valid, VALID_SCHEMA)
+        return read_loads(spark, self.valid, VALID_SCHEMA)
 
     def read_dead_letter(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.dead_letter, DEAD_LETTER_SCHEMA)
+        return read_loads(spark, self.dead_letter, DEAD_LETTER_SCHEMA)
+
+    def compact(self, spark: SparkSession) -> None:
+        """Merge the finished micro-batches of both tables; safe while the stream runs."""
+        compact(spark, self.valid, VALID_SCHEMA, STREAM_PARTITION, STREAM_CLUSTER)
+        compact(spark, self.dead_letter, DEAD_LETTER_SCHEMA)
 
 
 def stream_etl(
@@ -53,9 +58,12 @@ def stream_etl(
     off what is there and stops. ``{"processingTime": "1 minute"}`` runs on.
     """
     validated = validate_events(events, spec, as_of, payload=events.columns[0])
+    query_id: list[str] = []
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"{_query_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        if not query_id:  # known once the query has started
+            query_id.append(_query_id(batch.sparkSession, checkpoint))
+        load_id = f"{query_id[0]}-{batch_id}"
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, rejected = split_valid(rows)
