@@ -17,8 +17,9 @@ come last in the order, so that common passages make no long lists.
 Components do not need all links. In each round every list names a few pivots, members
 are compared with the pivots of their lists, and lists whose members are all
 connected are done. When few pairs are left in open lists, or rounds find nothing
-new, all pairs across components in these lists are compared. Every comparison is
-exact on whole sets (of 64-bit hashes).
+new, all pairs across components in these lists are compared. A bit map of each set
+first gives a lower bound of how many elements only one of a pair has; pairs that may
+still link are compared exactly, on whole sets (of 64-bit hashes).
 
 Null or empty texts have the empty set and stand alone. Equal rows are linked by
 their equal sets; a null id never becomes a component's name while there is another. An
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, stored
+from tripmill.llm.common import columns_here, in_batches, stored
 from tripmill.llm.components import connected
 from tripmill.llm.wordhash import mixed, shingle_arrays
 
@@ -49,7 +50,7 @@ MOST_LIGHT = 12
 #: order, and the results are the same for all orders.
 COMMON = 500_000
 MIN_COMMON = 8
-PIVOTS = (4, 8, 8, 8, 8, 8, 8, 8)
+PIVOTS = (1, 4, 8, 8, 8, 8, 8, 8)
 #: Pairs across components are compared all at once when there are fewer than so many
 #: times the members of open lists.
 FEW = 4
@@ -99,18 +100,44 @@ def set_of(shingles: np.ndarray) -> tuple[np.ndarray, int]:
     return elements, int(mixed(total).view(np.int64)[0])
 
 
-SETS = "doc_id bigint, n_shingles bigint, set_id bigint, few array<bigint>, common array<bigint>"
+def bit_map(elements: np.ndarray) -> bytes:
+    """One bit per element at its hash, in at least four times as many bits."""
+    bits = max(64, 1 << int(4 * len(elements) - 1).bit_length())
+    at = elements & np.uint64(bits - 1)
+    out = np.zeros(bits, dtype=bool)
+    out[at.astype(np.int64)] = True
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def may_link(left: bytes, n_left: int, right: bytes, n_right: int) -> bool:
+    """False if the bit maps show that two sets share too little."""
+    a, b = (np.frombuffer(x, dtype=np.uint64) for x in (left, right))
+    # A bit of a shorter map stands for all bits of the longer one with its number's end.
+    if len(a) > len(b):
+        a = np.bitwise_or.reduce(a.reshape(-1, len(b)), axis=0)
+    elif len(b) > len(a):
+        b = np.bitwise_or.reduce(b.reshape(-1, len(a)), axis=0)
+    only_a, only_b = int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
+    return min(n_left - only_a, n_right - only_b) >= needed(n_left, n_right)
+
+
+SETS = (
+    "doc_id bigint, n_shingles bigint, set_id bigint, bits binary, few array<bigint>,"
+    " common array<bigint>"
+)
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """One row per document; elements that a batch has in two sets or more ride on its first row."""
+    """One row per document, the bit map on the first row of a set in a batch; elements that a
+    batch has in two sets or more ride on its first row."""
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        sizes, ids, few, seen = [], [], [], {}
+        sizes, ids, bits, few, seen = [], [], [], [], {}
         for shingles in shingle_arrays(batch.column(1)):
             elements, set_id = set_of(shingles)
             sizes.append(len(elements))
             ids.append(set_id)
+            bits.append(bit_map(elements) if set_id not in seen else None)
             few.append(elements.view(np.int64) if 0 < len(elements) <= MOST_LIGHT else None)
             if set_id not in seen:
                 seen[set_id] = elements
@@ -121,7 +148,8 @@ def document_sets(docs: DataFrame) -> DataFrame:
             # An element of k sets is listed k - 1 times.
             common[0] = every[1:][again].view(np.int64)
         return {
-            "doc_id": batch.column(0), "n_shingles": sizes, "set_id": ids, "few": few, "common": common
+            "doc_id": batch.column(0), "n_shingles": sizes, "set_id": ids, "bits": bits, "few": few,
+            "common": common,
         }
 
     return in_batches(docs, SETS, work)
@@ -248,37 +276,75 @@ def cross_pairs(members: DataFrame) -> tuple[int, int]:
     return int(n or 0), int(pairs or 0)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
-    pairs = stored(pairs, "join-pairs")
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    sources = stored(wanted.join(owners, "set_id"), "join-sources")
-    ids = sources.select(F.col("owner").alias("owner")).distinct()
-    ids = F.broadcast(ids) if sources.count() <= BROADCAST_ROWS else ids
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["owner"]), "left_semi")
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if it has few rows, else left to a shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that the bit maps do not rule out."""
+    wanted = stored(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "join-ids")
+    maps = sets.where("bits IS NOT NULL").select("set_id", "bits", "n_shingles").join(small(wanted), "set_id")
+    maps = stored(maps.dropDuplicates(["set_id"]), "join-maps")
+    a, b = (
+        maps.select(F.col("set_id").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n_shingles").alias(f"{c}_n"))
+        for c in "ab"
+    )
+
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        a_bits, a_n, b_bits, b_n = (batch.column(k).to_pylist() for k in range(2, 6))
+        keep = pa.array([may_link(*four) for four in zip(a_bits, a_n, b_bits, b_n)], pa.bool_())
+        return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "a_bits", "a_n", "b_bits", "b_n")
+    return in_batches(both, "a bigint, b bigint", work)
+
+
+def elements_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(hub, set_id, elements) for every place (owner, set_id, hubs) of a set."""
+    places = small(stored(places, "join-places"))
+    rows = docs.join(places, docs["doc_id"].eqNullSafe(places["owner"])).select("text", "set_id", "hubs")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        found = [set_of(shingles) for shingles in shingle_arrays(batch.column(1))]
-        return {"set_id": [i for _, i in found], "elements": [e.view(np.int64) for e, _ in found]}
+        out: dict[str, list] = {"hub": [], "set_id": [], "elements": []}
+        sets, hubs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        for shingles, set_id, own in zip(shingle_arrays(batch.column(0)), sets, hubs):
+            elements, found = set_of(shingles)
+            if found == set_id:  # another text may have the same document id
+                for hub in own:
+                    out["hub"].append(hub)
+                    out["set_id"].append(set_id)
+                    out["elements"].append(elements.view(np.int64))
+        return out
 
-    every = in_batches(texts, "set_id bigint, elements array<bigint>", work)
-    needed_sets = every.join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"])
-    needed_sets = stored(needed_sets, "join-sets")
-    a = needed_sets.select(F.col("set_id").alias("a"), F.col("elements").alias("left"))
-    b = needed_sets.select(F.col("set_id").alias("b"), F.col("elements").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    both = F.size("left") + F.size("right")
-    met = pairs.join(a, "a").join(b, "b").withColumn("shared", shared).withColumn("both", both)
-    return met.where(f"100 * shared >= {MIN_PCT} * (both - shared)").select("a", "b")
+    return in_batches(rows, "hub bigint, set_id bigint, elements array<bigint>", work)
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, owners: DataFrame) -> DataFrame:
+    """The pairs whose whole sets are similar enough.
+
+    A set travels once for every pair in which it is the second, and once if it is the first.
+    """
+    pairs = stored(possible(stored(pairs, "join-pairs"), sets), "join-possible")
+    seconds = pairs.groupBy(F.col("b").alias("set_id")).agg(F.collect_list("a").alias("hubs"))
+    firsts = pairs.select(F.col("a").alias("set_id")).distinct().select("set_id", F.array("set_id").alias("hubs"))
+    left = elements_at(docs, firsts.join(owners, "set_id")).select("hub", F.col("elements").alias("first"))
+    right = elements_at(docs, seconds.join(owners, "set_id"))
+    met = right.join(left, "hub")
+    met = met.withColumn("shared", F.size(F.array_intersect("elements", "first")))
+    met = met.withColumn("both", F.size("elements") + F.size("first"))
+    found = met.where(f"100 * shared >= {MIN_PCT} * (both - shared)")
+    return found.select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
 
 
 def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
     """(id, component) of the sets that link with another set; None if there are none."""
     counts = sets.select(F.explode("common").alias("e")).groupBy("e").agg(F.count("*").alias("n"))
-    top = counts.where(F.col("n") >= MIN_COMMON).orderBy(F.desc("n"), "e").limit(COMMON).toPandas()
-    common = top["e"].to_numpy(dtype=np.int64).view(np.uint64)
+    top = counts.where(F.col("n") >= MIN_COMMON).orderBy(F.desc("n"), "e").limit(COMMON)
+    common, times = columns_here(top)
+    common = common.view(np.uint64)
     by = np.argsort(common)
-    order = (common[by], top["n"].to_numpy(dtype=np.int64)[by])
+    order = (common[by], times[by])
     keyed = keyed_sets(docs, light_boundary(sets), order)
     lists = Window.partitionBy("key", "salt")
     met = keyed.withColumn("low", F.min("set_id").over(lists)).withColumn(
@@ -296,10 +362,10 @@ def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
         if pairs == 0 or few or pairs == before or not pivots:
             break
         before = pairs
-        links = with_links(links, verified(pivot_pairs(current, pivots, seed), docs, owners))
+        links = with_links(links, verified(pivot_pairs(current, pivots, seed), docs, sets, owners))
         component = stored(connected(links), "join-components")
     if pairs:
-        links = with_links(links, verified(all_pairs_across(current), docs, owners))
+        links = with_links(links, verified(all_pairs_across(current), docs, sets, owners))
         component = connected(links)
     return component
 
@@ -328,7 +394,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without those that a document of smaller id stands for; all columns stay."""
     found = stored(components(docs), "join-result")
     gone = found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    gone = small(stored(gone, "join-gone"))
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
     ids = found.where("doc_id <=> component_id AND n_shingles > 0").groupBy("doc_id").count()
     if ids.where("count > 1").limit(1).count():
