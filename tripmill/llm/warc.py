@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import stored, work_dir
+from tripmill.llm.common import columns_here, stored, work_dir
 
 MIN_REVISIT = 1000
 #: Bytes of payload in a shard, and compressed bytes at which a file is closed.
@@ -158,7 +158,7 @@ def shard_of(pages: DataFrame, shards: int, rows: int) -> Column:
     every = max(1, rows // (SAMPLES_PER_SHARD * shards))
     ids = F.col("page_id")
     picked = pages.where(ids.isNotNull() & (F.pmod(F.xxhash64(ids), F.lit(every)) == 0))
-    sample = np.sort(picked.select(ids).distinct().toPandas()["page_id"].to_numpy(dtype=np.int64))
+    sample = np.sort(columns_here(picked.select(ids).distinct())[0])
     splitters = sample[len(sample) * np.arange(1, shards) // shards] if len(sample) else sample
 
     @F.pandas_udf("bigint")
@@ -194,7 +194,8 @@ def write_archive(
             null.cast("bigint").alias("winner"), "url", "payload",
         )
     )
-    dealt = both.withColumn("shard", shard_of(facts, shards, rows)).repartition(shards, "shard")
+    dealt = both.withColumn("shard", shard_of(facts, shards, rows))
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int"))
     dealt = dealt.sortWithinPartitions("shard", "page_id", "kind", "digest", "url", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
