@@ -39,6 +39,7 @@ def test_batch_rules_drop_false_and_null(spark):
         {"lpep_dropoff_datetime": None},
         {"PULocationID": 0}, {"PULocationID": 266}, {"DOLocationID": 0}, {"DOLocationID": None},
         {"trip_distance": 0.0}, {"fare_amount": -0.01}, {"total_amount": 0.0},
+        *[{n: float("nan")} for n in ("trip_distance", "fare_amount", "total_amount")],
     ]
     kept = [
         {}, {"fare_amount": 0.0}, {"passenger_count": 9.0}, {"payment_type": 5.0},
@@ -46,7 +47,7 @@ def test_batch_rules_drop_false_and_null(spark):
         {"lpep_pickup_datetime": datetime(2025, 5, 31, 23, 0),
          "lpep_dropoff_datetime": datetime(2025, 6, 1)},
     ]
-    assert len(batch_rules(CFG)) == 7
+    assert len(batch_rules(CFG)) == 10
     assert conform_batch(staged(spark, *dropped), CFG).count() == 0
     assert conform_batch(staged(spark, *kept), CFG).count() == len(kept)
 

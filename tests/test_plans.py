@@ -3,15 +3,19 @@
 import contextlib
 import io
 import re
+from datetime import datetime
+from pathlib import Path
 
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
+from tripmill.adapters import batch_trips, raw_events, stream_trips
 from tripmill.contract import BATCH_SCHEMA, VALID_SCHEMA, PipelineConfig
 from tripmill.operators.conform import conform_batch, conform_stream
 from tripmill.operators.dedup import dedup_latest
 from tripmill.operators.quality import STAGING_GATES, intermediate_gates, run_gates
 from tripmill.operators.validate import split_valid, validate_events
+from tripmill.plans.batch import in_period, replace_staging
 from tripmill.plans.intermediate import build_intermediate
 from tripmill.plans.marts import daily_mart
 
@@ -107,3 +111,22 @@ def test_mart_reads_only_its_columns(spark, tmp_path):
         "source_type",
     }
     assert shuffles(text) == 1 and "partial_" in text[text.index("(1) Scan"):]
+
+
+def test_staging_reads_only_the_days_of_the_period(spark, tmp_path):
+    rows = [(datetime(2025, m, 10, 8), datetime(2025, m, 10, 9), 1, 2, 1.0, 3.0, 5.0, 0.0, 0.0, 6.0, 1.0)
+            for m in range(1, 9)]
+    staging = replace_staging(spark.createDataFrame(rows, BATCH_SCHEMA), str(tmp_path), "r1")
+    events = spark.createDataFrame([], VALID_SCHEMA)
+    built = build_intermediate(in_period(staging, CFG), events, CFG)
+    assert re.search(r"PartitionFilters: \[[^]]*pickup_date", plan(built))
+    assert built.count() == 2
+    read = in_period(staging, CFG).select(F.input_file_name().alias("f")).distinct().collect()
+    assert len(read) == 2
+
+
+def test_no_registered_input_is_dealt_round_robin(spark):
+    at = "/root/testdata/sf0.001"
+    if Path(at).exists():
+        for source in (batch_trips, raw_events, stream_trips):
+            assert "RoundRobin" not in plan(source(spark, at))

@@ -112,3 +112,31 @@ def test_only_rejects_leaves_an_empty_valid_table(spark, tmp_path, lake):
     finish(start(spark, tmp_path, lake))
     assert lake.read_valid(spark).count() == 0
     assert lake.read_dead_letter(spark).count() == 1
+
+
+def test_running_on_with_a_trigger_interval(spark, tmp_path, lake):
+    land(spark, tmp_path / "in", [event().encode()], "a")
+    source = file_events(spark, str(tmp_path / "in" / "*"))
+    query = stream_etl(source, lake, str(tmp_path / "checkpoint"), as_of=AS_OF,
+                       trigger={"processingTime": "200 milliseconds"})
+    try:
+        query.processAllAvailable()
+        assert query.isActive and lake.read_valid(spark).count() == 1
+        land(spark, tmp_path / "in", [event(event_id="late").encode(), b"{"], "b")
+        query.processAllAvailable()
+        assert lake.read_valid(spark).count() == 2 and lake.read_dead_letter(spark).count() == 1
+    finally:
+        query.stop()
+    assert not query.isActive
+
+
+def test_compaction_between_restarts(spark, tmp_path, lake):
+    for n in range(5):
+        land(spark, tmp_path / "in", [event(event_id=f"e{n}").encode(), b"{"], f"f{n}")
+        finish(start(spark, tmp_path, lake))
+    before = rows(lake.read_valid(spark)), rows(lake.read_dead_letter(spark))
+    lake.compact(spark)
+    assert (rows(lake.read_valid(spark)), rows(lake.read_dead_letter(spark))) == before
+    land(spark, tmp_path / "in", [event(event_id="last").encode()], "f9")
+    finish(start(spark, tmp_path, lake))
+    assert lake.read_valid(spark).count() == 6

@@ -1,10 +1,11 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
 from conftest import AS_OF, GOOD, event
 
-from tripmill.contract import DEAD_LETTER_SCHEMA, EVENT_FIELDS, VALID_SCHEMA
+from tripmill.contract import DEAD_LETTER_SCHEMA, EVENT_FIELDS, VALID_SCHEMA, EventSpec, Field
 from tripmill.operators.validate import split_valid, validate_events
 
 
@@ -265,3 +266,16 @@ def test_random_events_are_valid_and_keep_their_bounds(spark):
     bad = ~F.col("passenger_count").between(1, 6) | ~F.col("payment_type").isin(1, 2, 3, 4)
     late = F.col("dropoff_datetime") >= F.lit("2025-08-01").cast("timestamp")
     assert valid.filter(bad | late | (F.col("total_amount") < F.col("fare_amount"))).count() == 0
+
+
+def test_rules_follow_the_field_table(spark):
+    changed = tuple(
+        replace(f, minimum=5) if f.name == "fare_amount" else f
+        for f in EVENT_FIELDS if f.name != "tolls_amount"
+    )
+    spec = EventSpec(fields=(*changed, Field("tax", "number", minimum=0)))
+    body = {k: v for k, v in json.loads(event()).items() if k != "tolls_amount"}
+    payloads = [{**body, "tax": 1}, {**body, "tax": 1, "fare_amount": 4.5}, {**body, "tax": "x"}, body]
+    frame = spark.createDataFrame([(json.dumps(p).encode(),) for p in payloads], "value binary")
+    found = [r.error_code for r in validate_events(frame, spec, AS_OF).collect()]
+    assert found == [None, "NEGATIVE_COMPONENT", "BAD_TYPE:tax", "MISSING_FIELDS"]

@@ -252,7 +252,7 @@ def read_loads(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     # A few rows per compaction, in the driver's memory like the listing of the loads itself.
     found = replaced_loads(spark, path).collect()
     gone, done = {r.old_load for r in found}, {r.new_load for r in found}
-    load = F.col("load_id")
+    load = F.coalesce("load_id", F.lit(""))  # a table that no stream wrote has no loads
     if gone:
         rows = rows.where(~load.isin(*gone))
     finished = load.startswith(COMPACTED)
