@@ -76,10 +76,11 @@ def test_edge_documents(documents, no_documents):
     assert found(no_documents) == []
 
 
-@pytest.mark.parametrize("seed,pivots", [(1, (1, 4)), (2, ()), (3, (1, 1, 1))])
+@pytest.mark.parametrize("seed,pivots", [(1, (1, 4)), (2, ()), (3, (2,))])
 def test_near_copies(spark, monkeypatch, seed, pivots):
     monkeypatch.setattr(jaccard_join, "PIVOTS", pivots)
-    monkeypatch.setattr(jaccard_join, "FEW", 0)
+    monkeypatch.setattr(jaccard_join, "LONG", 3 + seed)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
     monkeypatch.setattr(jaccard_join, "MIN_COMMON", 2)
     if seed == 3:
         monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)

@@ -14,12 +14,12 @@ more than scanning lists, judged by the mean length of the lists that small sets
 Elements seen twice or more in a block of documents are counted over all blocks and
 come last in the order, so that common passages make no long lists.
 
-Components do not need all links. In each round every list names a few pivots, members
-are compared with the pivots of their lists, and lists whose members are all
-connected are done. When few pairs are left in open lists, or rounds find nothing
-new, all pairs across components in these lists are compared. A bit map of each set
-first gives a lower bound of how many elements only one of a pair has; pairs that may
-still link are compared exactly, on whole sets (of 64-bit hashes).
+Components do not need all links. In two rounds every list names pivots, those of its
+members that are in most lists and so have been changed least; members are compared with
+the pivots, and lists whose members are all connected are done. In lists that stay open
+all pairs across components are compared, in long ones block against block. A bit map of
+each set first gives a lower bound of how many elements only one of a pair has; pairs that
+may still link are compared exactly, on whole sets (of 64-bit hashes).
 
 Null or empty texts have the empty set and stand alone. Equal rows are linked by
 their equal sets; a null id never becomes a component's name while there is another. An
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import columns_here, in_batches, stored
+from tripmill.llm.common import columns_here, in_batches, in_tasks, stored
 from tripmill.llm.components import connected
 from tripmill.llm.wordhash import mixed, shingle_arrays
 
@@ -49,11 +49,13 @@ MOST_LIGHT = 12
 #: The order of elements knows the counts of at most so many common ones; it is any
 #: order, and the results are the same for all orders.
 COMMON = 500_000
-MIN_COMMON = 8
-PIVOTS = (1, 4, 8, 8, 8, 8, 8, 8)
-#: Pairs across components are compared all at once when there are fewer than so many
-#: times the members of open lists.
-FEW = 4
+MIN_COMMON = 4
+PIVOTS = (1, 4)
+#: Lists of more members are long; their members are compared in blocks of up to so many.
+LONG = 64
+BLOCK = 4096
+#: Members, pairs and whole sets that a task takes on.
+MEMBERS, PAIRS, WHOLE = 500_000, 50_000, 10_000
 SALTS = 64
 BROADCAST_ROWS = 1_000_000
 
@@ -224,7 +226,7 @@ def keyed_sets(docs: DataFrame, boundary: int, order: tuple[np.ndarray, np.ndarr
 
 
 def open_members(members: DataFrame, component: DataFrame | None) -> DataFrame:
-    """(key, set_id, size, component) of the lists whose members are not all connected."""
+    """The members, with their components, of the lists whose members are not all connected."""
     if component is None:
         return members.withColumn("component", F.col("set_id"))
     named = members.join(component.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn(
@@ -232,7 +234,7 @@ def open_members(members: DataFrame, component: DataFrame | None) -> DataFrame:
     )
     spread = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return named.join(spread.where("low <> high").select("key"), "key").select(
-        "key", "set_id", "size", "component"
+        "key", "set_id", "size", "lists", "component"
     )
 
 
@@ -240,11 +242,17 @@ def alike_in_size(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {MIN_PCT} * greatest({a}, {b})"
 
 
-def pivot_pairs(members: DataFrame, pivots: int, seed: int) -> DataFrame:
-    """Distinct (a, b) of list members and the pivots of the list, across components."""
-    order = [F.xxhash64("set_id", F.lit(seed * 100 + i)) for i in range(pivots)]
+def pivot_pairs(members: DataFrame, pivots: int) -> DataFrame:
+    """Distinct (a, b) of list members and the pivots of the list, across components.
+
+    The first pivot is the member that is in most lists; chance has a part in the choice of others.
+    """
+    chance = ["1.0D"] + [f"(0.5D + pmod(xxhash64(set_id, {i}), 1000) / 2000D)" for i in range(1, pivots)]
     picked = members.groupBy("key").agg(
-        *[F.min(F.struct(o, "set_id", "size", "component")).alias(f"p{i}") for i, o in enumerate(order)]
+        *[
+            F.max(F.struct(F.expr(f"lists * {c}"), "set_id", "size", "component")).alias(f"p{i}")
+            for i, c in enumerate(chance)
+        ]
     )
     each = F.array(*[
         F.struct(*[F.col(f"p{i}.{c}").alias(f"p_{c}") for c in ("set_id", "size", "component")])
@@ -257,23 +265,81 @@ def pivot_pairs(members: DataFrame, pivots: int, seed: int) -> DataFrame:
     return met.selectExpr("least(set_id, p_set_id) AS a", "greatest(set_id, p_set_id) AS b").distinct()
 
 
-def all_pairs_across(members: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a key in common, of different components."""
-    other = members.select(
-        "key", *[F.col(c).alias(f"o_{c}") for c in ("set_id", "size", "component")]
-    )
-    met = members.join(other, "key").where("set_id < o_set_id AND component <> o_component").where(
+def pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct (a, b) with a key in common, of different components, that may link."""
+    sized = members.groupBy("key").agg(F.count("*").alias("n"))
+    sized = members.join(sized, "key")
+    short = sized.where(F.col("n") <= LONG)
+    other = short.select("key", *[F.col(c).alias(f"o_{c}") for c in ("set_id", "size", "component")])
+    met = short.join(other, "key").where("set_id < o_set_id AND component <> o_component").where(
         alike_in_size("size", "o_size")
     )
-    return met.select(F.col("set_id").alias("a"), F.col("o_set_id").alias("b")).distinct()
-
-
-def cross_pairs(members: DataFrame) -> tuple[int, int]:
-    """How many members open lists have, and how many pairs across components."""
-    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    lists = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
-    n, pairs = lists.agg(F.sum("n"), F.sum(F.expr("(n * n - s) / 2"))).first()
-    return int(n or 0), int(pairs or 0)
+    pairs = met.select(F.col("set_id").alias("a"), F.col("o_set_id").alias("b")).distinct()
+    return possible(pairs, sets).unionByName(pairs_of_blocks(sized.where(F.col("n") > LONG), sets)).distinct()
+
+
+def pairs_of_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """As ``pairs_across`` for long lists: blocks of members meet in one task each, where pairs are
+    made and judged by their bit maps without ever becoming rows."""
+    members = stored(members, "join-long")
+    maps = with_maps(members.select("set_id").distinct(), sets)
+    cells = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    cells = cells.withColumn("mine", F.expr("CAST(pmod(xxhash64(set_id), blocks) AS INT)"))
+    cells = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cells = cells.select(
+        "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine",
+        "set_id", "component",
+    ).join(maps, "set_id")
+    cells = cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def met(rows: list[dict]) -> pa.RecordBatch:
+        """Pairs of one cell; longer bit maps are folded to the shortest."""
+        ids = np.array([r["set_id"] for r in rows])
+        size = np.array([r["n_shingles"] for r in rows])
+        part = np.array([r["component"] for r in rows])
+        mine = np.array([r["mine"] for r in rows])
+        within = rows[0]["low"] == rows[0]["high"]
+        raw = [np.frombuffer(r["bits"], dtype=np.uint64) for r in rows]
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        # Sets whose sizes are alike enough to link have maps of the same length or half of it.
+        lengths = np.array([len(x) for x in raw])
+        for words in np.unique(lengths):
+            near = np.flatnonzero((lengths == words) | (lengths == 2 * words))
+            maps = np.stack([np.bitwise_or.reduce(raw[k].reshape(-1, words), axis=0) for k in near])
+            for i in np.flatnonzero(lengths[near] == words):
+                k = near[i]
+                j = np.flatnonzero(
+                    (part[near] != part[k])
+                    & ((lengths[near] > words) | (ids[near] > ids[k]))
+                    & (within | (mine[near] != mine[k]))
+                    & (100 * np.minimum(size[near], size[k]) >= MIN_PCT * np.maximum(size[near], size[k]))
+                )
+                if not len(j):
+                    continue
+                only_i = np.bitwise_count(maps[i] & ~maps[j]).sum(1, dtype=np.int64)
+                only_j = np.bitwise_count(maps[j] & ~maps[i]).sum(1, dtype=np.int64)
+                need = -(-MIN_PCT * (size[k] + size[near][j]) // (100 + MIN_PCT))
+                j = near[j[np.minimum(size[k] - only_i, size[near][j] - only_j) >= need]]
+                left.append(np.full(len(j), ids[k]))
+                right.append(ids[j])
+        a, b = np.concatenate(left), np.concatenate(right)
+        columns = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    def run(batches):
+        now, rows = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                cell = (row["key"], row["low"], row["high"])
+                if cell != now and rows:
+                    yield met(rows)
+                    rows = []
+                now = cell
+                rows.append(row)
+        if rows:
+            yield met(rows)
+
+    return cells.mapInArrow(run, "a bigint, b bigint")
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -281,11 +347,20 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def with_maps(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(set_id, bits, n_shingles) of the given sets."""
+    wanted = stored(ids, "join-ids")
+    maps = sets.where("bits IS NOT NULL").select("set_id", "bits", "n_shingles")
+    maps = maps.join(small(wanted), "set_id").dropDuplicates(["set_id"])
+    return stored(in_tasks(maps, wanted.count(), PAIRS), "join-maps")
+
+
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that the bit maps do not rule out."""
-    wanted = stored(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "join-ids")
-    maps = sets.where("bits IS NOT NULL").select("set_id", "bits", "n_shingles").join(small(wanted), "set_id")
-    maps = stored(maps.dropDuplicates(["set_id"]), "join-maps")
+    pairs = stored(pairs, "join-pairs")
+    count = pairs.count()
+    ids = in_tasks(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), count, PAIRS)
+    maps = with_maps(ids, sets)
     a, b = (
         maps.select(F.col("set_id").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n_shingles").alias(f"{c}_n"))
         for c in "ab"
@@ -296,7 +371,8 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         keep = pa.array([may_link(*four) for four in zip(a_bits, a_n, b_bits, b_n)], pa.bool_())
         return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "a_bits", "a_n", "b_bits", "b_n")
+    both = in_tasks(pairs.join(a, "a"), count, PAIRS).join(b, "b")
+    both = in_tasks(both.select("a", "b", "a_bits", "a_n", "b_bits", "b_n"), count, PAIRS)
     return in_batches(both, "a bigint, b bigint", work)
 
 
@@ -320,21 +396,27 @@ def elements_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     return in_batches(rows, "hub bigint, set_id bigint, elements array<bigint>", work)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, owners: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough.
 
     A set travels once for every pair in which it is the second, and once if it is the first.
     """
-    pairs = stored(possible(stored(pairs, "join-pairs"), sets), "join-possible")
-    seconds = pairs.groupBy(F.col("b").alias("set_id")).agg(F.collect_list("a").alias("hubs"))
-    firsts = pairs.select(F.col("a").alias("set_id")).distinct().select("set_id", F.array("set_id").alias("hubs"))
+    pairs = stored(pairs, "join-possible")
+    count = pairs.count()
+
+    def few(df: DataFrame) -> DataFrame:
+        return in_tasks(df, count, PAIRS)
+
+    seconds = few(pairs.groupBy(F.col("b").alias("set_id")).agg(F.collect_list("a").alias("hubs")))
+    firsts = few(pairs.select(F.col("a").alias("set_id")).distinct())
+    firsts = firsts.select("set_id", F.array("set_id").alias("hubs"))
     left = elements_at(docs, firsts.join(owners, "set_id")).select("hub", F.col("elements").alias("first"))
     right = elements_at(docs, seconds.join(owners, "set_id"))
-    met = right.join(left, "hub")
+    met = in_tasks(right.join(left, "hub"), count, WHOLE)
     met = met.withColumn("shared", F.size(F.array_intersect("elements", "first")))
     met = met.withColumn("both", F.size("elements") + F.size("first"))
     found = met.where(f"100 * shared >= {MIN_PCT} * (both - shared)")
-    return found.select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct()
+    return few(found.select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct())
 
 
 def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
@@ -351,21 +433,25 @@ def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
         "high", F.max("set_id").over(lists)
     )
     members = met.where("shared OR low <> high").select("key", "set_id", "size").distinct()
-    members = stored(members, "join-members")
+    members = stored(members, "join-keys")
+    count = members.count()
+    lists = in_tasks(members.groupBy("set_id").agg(F.count("*").alias("lists")), count, MEMBERS)
+    members = stored(in_tasks(members.join(lists, "set_id"), count, MEMBERS), "join-members")
     owners = sets.groupBy("set_id").agg(F.min("doc_id").alias("owner"))
+    owners = stored(in_tasks(owners, count, MEMBERS), "join-owners")
 
-    links, component, before = None, None, None
-    for seed, pivots in enumerate((*PIVOTS, 0)):
-        current = stored(open_members(members, component), "join-open")
-        n, pairs = cross_pairs(current)
-        few = component is not None and pairs <= FEW * n
-        if pairs == 0 or few or pairs == before or not pivots:
-            break
-        before = pairs
-        links = with_links(links, verified(pivot_pairs(current, pivots, seed), docs, sets, owners))
+    def opened(component: DataFrame | None) -> DataFrame:
+        current = in_tasks(open_members(members, component), count, MEMBERS)
+        return current if component is None else stored(current, "join-open")
+
+    current, links, component = opened(None), None, None
+    for pivots in PIVOTS:
+        pairs = in_tasks(pivot_pairs(current, pivots), count, MEMBERS)
+        links = with_links(links, verified(possible(pairs, sets), docs, owners))
         component = stored(connected(links), "join-components")
-    if pairs:
-        links = with_links(links, verified(all_pairs_across(current), docs, sets, owners))
+        current = opened(component)
+    if current.limit(1).count():
+        links = with_links(links, verified(pairs_across(current, sets), docs, owners))
         component = connected(links)
     return component
 
