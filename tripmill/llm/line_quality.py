@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmill.llm.common import in_batches, text_bytes
+from tripmill.llm.common import in_batches, slices, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -181,7 +181,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars
     names = docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             at = names.index(text_col)
             judged = [judge(text) for text in text_bytes(batch.column(at))]
             mask = pa.array([report["kept"] for report, _ in judged], pa.bool_())

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, stored, text_bytes
+from tripmill.llm.common import in_batches, slices, stored, text_bytes
 
 SEQ_LEN = 1024
 #: Tokens of the smallest portion that a queue is served.
@@ -87,7 +87,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches):
         bpe, kind = encoding(vocabulary)
         block, sums = TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in slices(batches):
             ids, counts, before = [], [], []
             sources = batch.column(2).to_pylist()
             for text, source in zip(text_bytes(batch.column(1)), sources):

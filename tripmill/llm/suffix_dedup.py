@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, stored, text_bytes
+from tripmill.llm.common import in_batches, slices, stored, text_bytes
 from tripmill.llm.wordhash import BASE, INVERSE, mixed, powers
 
 WINDOW = 400
@@ -141,7 +141,7 @@ def find_anchors(texts: DataFrame) -> DataFrame:
     """The anchors of every text of ``text_id, text``; equal texts of a batch are read once."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0).to_numpy()
             first = np.sort(np.unique(ids, return_index=True)[1])
             kept = batch.take(pa.array(first))
