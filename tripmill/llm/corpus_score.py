@@ -26,7 +26,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, stored, text_bytes
+from tripmill.llm.common import columns_here, in_batches, slices, stored, text_bytes
 from tripmill.llm.mixing import (
     BITS,
     CELLS,
@@ -42,7 +42,7 @@ from tripmill.llm.wordhash import byte_groups, word_hashes
 
 FOLDS, HELD_OUT = 7, 2
 #: Words at hand in every task: the slots of a table, of which each holds one word.
-TOP = 1 << 20
+TOP = 1 << 19
 SLOTS = 1 << 21
 #: The token at the end of every text.
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
@@ -96,7 +96,7 @@ def learnt(docs: DataFrame, coder: Broadcast) -> DataFrame:
 
     def run(batches):
         trainer = Trainer(coder.value)
-        for batch in batches:
+        for batch in slices(batches):
             kept = batch.filter(pa.array(training_mask(batch.column(0)), pa.bool_()))
             trainer.learn(text_bytes(kept.column(1)))
         if not trainer.events.any():
@@ -176,9 +176,9 @@ def train(docs: DataFrame, coder: Coder) -> Model:
 def word_table(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent words by slot: hash and count. Of words that share a slot the more
     frequent one is kept."""
-    top = counts.orderBy(F.desc("n"), "value").limit(TOP).toPandas()
-    keys = top["value"].to_numpy(dtype=np.int64).view(np.uint64)[::-1]
-    n = top["n"].to_numpy(dtype=np.int64)[::-1]
+    keys, n = columns_here(counts.orderBy(F.desc("n"), "value").limit(TOP))
+    by = np.lexsort((keys, n))
+    keys, n = keys.view(np.uint64)[by], n[by]
     slots = (keys % np.uint64(SLOTS)).astype(np.int64)
     hashes, numbers = np.zeros(SLOTS, dtype=np.uint64), np.zeros(SLOTS, dtype=np.int64)
     hashes[slots], numbers[slots] = keys, n
@@ -195,9 +195,10 @@ def scores(docs: DataFrame) -> DataFrame:
     counts = found.where("kind = 0").select("value", "n")
     total, distinct = counts.agg(F.sum("n"), F.count("*")).first()
     total, distinct = int(total or 0), int(distinct)
-    pairs = found.where("kind = 1").select("value", "n").toPandas()  # 65,536 rows at most
+    # 65,536 rows at most.
+    pairs, times = columns_here(found.where("kind = 1").select("value", "n"))
     byte_pairs = np.zeros(1 << 16, dtype=np.int64)
-    byte_pairs[pairs["value"].to_numpy()] = pairs["n"].to_numpy()
+    byte_pairs[pairs] = times
     coder = Coder(byte_pairs.reshape(256, 256))
     context = docs.sparkSession.sparkContext
     # Fixed sizes: 32 MB, and 30 MB at most.
@@ -208,7 +209,7 @@ def scores(docs: DataFrame) -> DataFrame:
     def run(batches):
         hashes, numbers = words.value
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {"n_tokens": [], "n_known": [], "base": [], "rest": [], "times": []}
             for _, data, offsets in byte_groups(batch.column(1)):
                 tokens, begins = word_hashes(data, offsets)

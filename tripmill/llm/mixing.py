@@ -19,7 +19,7 @@ import numpy as np
 
 #: Context lengths in bytes, and the binary logarithms of the tables' sizes.
 ORDERS = (2, 3, 5)
-BITS = (18, 19, 20)
+BITS = (18, 18, 19)
 END = 0xFF
 BACK = 5
 PIECE = 1 << 14
@@ -181,21 +181,20 @@ class Trainer:
     def __init__(self, coder: Coder) -> None:
         self.coder = coder
         # Zeros and ones of a slot lie side by side and are read as one number.
-        self.counts = [np.zeros(2 << b, dtype=np.uint32) for b in BITS]
+        self.counts = [np.zeros(2 << b, dtype=np.int32) for b in BITS]
         self.weights = np.full((GATES, len(ORDERS)), 0.4)
         self.squares = np.full((GATES, len(ORDERS)), 1e-6)
         self.cells = np.zeros((GATES * CELLS, 2))
         self.events = np.zeros(GATES)
 
     def learn(self, texts: list[bytes]) -> None:
-        low, shift, prior = np.uint64(0xFFFFFFFF), np.uint64(32), np.float32(PRIOR)
+        prior = np.float32(PRIOR)
         for data, _, lengths in groups(texts):
             bit, slots, _ = self.coder.decisions(data, lengths)
-            bit = bit.astype(np.int64)
             logits, levels = [], []
             for j, (counts, slot) in enumerate(zip(self.counts, slots)):
-                both = counts.view(np.uint64).take(slot)
-                ones, zeros = (both >> shift).astype(np.float32), (both & low).astype(np.float32)
+                both = counts.view(np.int64).take(slot).view(np.int32)
+                zeros, ones = both[0::2].astype(np.float32), both[1::2].astype(np.float32)
                 if j >= len(ORDERS) - 2:
                     levels.append(seen(ones + zeros))
                 ones += prior
@@ -204,7 +203,8 @@ class Trainer:
                 logits.append(np.log(ones, out=ones))
             gate = (levels[0] * 4 + levels[1]).astype(np.int64)
             mix = mixed_logits(self.weights, gate, logits)
-            error = bit - squashed(mix)
+            error = squashed(mix)
+            np.subtract(bit, error, out=error, dtype=np.float32)
             per_gate = np.bincount(gate, minlength=GATES)
             scale = 1 / np.maximum(per_gate, 1)
             for j, x in enumerate(logits):
@@ -217,7 +217,7 @@ class Trainer:
             for counts, slot in zip(self.counts, slots):
                 slot <<= 1
                 slot += bit
-                np.add.at(counts, slot, np.uint32(1))
+                np.add.at(counts, slot, np.int32(1))
 
 
 def packed_logits(counts: np.ndarray) -> np.ndarray:
