@@ -35,6 +35,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Array entries of some 30 bytes that are broadcast at most.
+BROADCAST_ENTRIES = 2_000_000
+
+
+def bounded(df: DataFrame, array: str) -> DataFrame:
+    """Marked for broadcast if its arrays have few entries in all, else left to a shuffle."""
+    entries = df.agg(F.sum(F.size(array) + 1)).first()[0] or 0
+    return F.broadcast(df) if entries <= BROADCAST_ENTRIES else df
+
+
 def in_tasks(df: DataFrame, rows: int, each: int) -> DataFrame:
     """``df``, after whose last shuffle about ``each`` of its ``rows`` come to a task, not fewer."""
     return df.coalesce(max(1, -(-rows // each)))
@@ -78,13 +88,16 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
 
 
 def in_batches(
-    df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], dict[str, object]]
+    df: DataFrame,
+    schema: str,
+    work: Callable[[pa.RecordBatch], dict[str, object]],
+    rows: int = ROWS,
 ) -> DataFrame:
     """``mapInArrow`` with a function from some rows to the columns named in ``schema``."""
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in slices(batches, rows):
             out = work(batch)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], f.type, from_pandas=False) for f in fields], schema=fields

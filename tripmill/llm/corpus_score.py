@@ -26,7 +26,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import columns_here, in_batches, slices, stored, text_bytes
+from tripmill.llm.common import ROWS, columns_here, in_batches, slices, stored, text_bytes
 from tripmill.llm.mixing import (
     BITS,
     CELLS,
@@ -88,7 +88,8 @@ def count_words(docs: DataFrame) -> DataFrame:
             "n": np.concatenate([n, numbers.ravel()[pairs]]),
         }
 
-    return in_batches(docs, WORDS, work)
+    # More texts at a time share more words.
+    return in_batches(docs, WORDS, work, 4 * ROWS)
 
 
 def learnt(docs: DataFrame, coder: Broadcast) -> DataFrame:
