@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripmill.llm import components, jaccard_join
+from tripmill.llm import common, components, jaccard_join
 from tripmill.llm.jaccard_join import (
     bit_map,
     may_link,
@@ -84,6 +84,7 @@ def test_near_copies(spark, monkeypatch, seed, pivots):
     monkeypatch.setattr(jaccard_join, "MIN_COMMON", 2)
     if seed == 3:
         monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(common, "BROADCAST_ENTRIES", 0)
     docs = near_copies(seed)
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(7)
     assert found(df) == brute(docs)

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tripmill.llm import suffix_dedup
+from tripmill.llm import common, suffix_dedup
 from tripmill.llm.suffix_dedup import WINDOW, dedup_report, multikey_order, sliding_min
 
 from .conftest import clashing, prose
@@ -75,7 +75,7 @@ def test_shared_passages(spark, seed):
 def test_crowded_grams(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CROWD", 3)
     monkeypatch.setattr(suffix_dedup, "WINDOWS", 2000)
-    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ENTRIES", 0)
     check(spark, shared_passages(3))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -17,6 +18,16 @@ from pyspark.sql.types import StructType
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch of rows on its way to or from Python; a task holds a few copies of one.
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends batches of at most ``BATCH_BYTES`` to Python."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,7 +42,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: later steps start from files."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    in_small_batches(df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -85,6 +96,15 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker process stays for the next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def in_batches(
@@ -103,4 +123,4 @@ def in_batches(
                 [pa.array(out[f.name], f.type, from_pandas=False) for f in fields], schema=fields
             )
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import columns_here, in_batches, in_tasks, stored
+from tripmill.llm.common import bounded, columns_here, in_batches, in_tasks, stored
 from tripmill.llm.components import connected
 from tripmill.llm.wordhash import mixed, shingle_arrays
 
@@ -378,7 +378,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def elements_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """(hub, set_id, elements) for every place (owner, set_id, hubs) of a set."""
-    places = small(stored(places, "join-places"))
+    places = bounded(stored(places, "join-places"), "hubs")
     rows = docs.join(places, docs["doc_id"].eqNullSafe(places["owner"])).select("text", "set_id", "hubs")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmill.llm.common import in_batches, slices, text_bytes
+from tripmill.llm.common import in_batches, in_small_batches, slices, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -194,4 +194,4 @@ def keep_good(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars
                 columns[names.index(chars_col)] = pa.array([len(t) for t in texts], field.type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)

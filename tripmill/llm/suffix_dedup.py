@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, slices, stored, text_bytes
+from tripmill.llm.common import bounded, give_back, in_batches, slices, stored, text_bytes
 from tripmill.llm.wordhash import BASE, INVERSE, mixed, powers
 
 WINDOW = 400
@@ -44,9 +44,8 @@ REACH = WINDOW - GRAM
 STEP = 1 << 17
 CROWD = 512
 #: Suffixes in a bucket, and windows in one of a crowd's buckets.
-BUCKET = 20_000
+BUCKET = 10_000
 WINDOWS = 1_000_000
-BROADCAST_ROWS = 1_000_000
 
 ANCHORS = "text_id bigint, at bigint, `before` int, `after` int, gram bigint, context bigint"
 
@@ -264,6 +263,8 @@ def shared_windows(suffixes: DataFrame, count: int) -> DataFrame:
             ],
             names=["gram", "context", "low", "high"],
         )
+        del parts, table, left, right
+        give_back()
 
     return dealt.mapInArrow(run, SHARED)
 
@@ -280,7 +281,8 @@ def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
     buckets = max(1, -(-count * (REACH + 1) // WINDOWS))
 
     def pack(batches):
-        for batch in batches:
+        # A suffix has some 5 kB of windows.
+        for batch in slices(batches, 1024):
             hashes, contexts, starts = [], [], []
             grams = batch.column(0).to_numpy().view(np.uint64)
             columns = (batch.column(k).to_pylist() for k in (1, 3, 4))
@@ -337,29 +339,25 @@ def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
 
 def suffixes_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes around the wanted anchors (text_id, at, gram, context, crowd)."""
-    listed = wanted.groupBy("text_id").agg(
-        F.collect_list(F.struct("at", "gram", "context", "crowd")).alias("anchors")
-    )
-    listed = stored(listed, "suffix-anchors-by-text")
-    listed = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
-    rows = texts.join(listed, "text_id").select("text", "anchors")
+    fields = ("at", "gram", "context", "crowd")
+    listed = wanted.groupBy("text_id").agg(F.collect_list(F.struct(*fields)).alias("a"))
+    listed = stored(listed.select("text_id", *[F.col(f"a.{n}").alias(n) for n in fields]), "suffix-places")
+    rows = texts.join(bounded(listed, "at"), "text_id").select("text", *fields)
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         out: dict[str, list] = {n: [] for n in ("gram", "context", "crowd", "left", "right")}
-        for text, anchors in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
-            for a in anchors:
-                at = a["at"]
-                out["left"].append(text[max(0, at - REACH) : at][::-1])
-                out["right"].append(text[at : at + WINDOW])
-                for name in ("gram", "context", "crowd"):
-                    out[name].append(a[name])
+        for text, places in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
+            out["left"] += [text[max(0, at - REACH) : at][::-1] for at in places]
+            out["right"] += [text[at : at + WINDOW] for at in places]
+        for k, name in ((2, "gram"), (3, "context"), (4, "crowd")):
+            out[name] = batch.column(k).flatten()
         return out
 
-    return in_batches(rows, SUFFIXES, work)
+    return in_batches(rows, SUFFIXES, work, 256)
 
 
 def repeats(texts: DataFrame) -> DataFrame:
-    """(text_id, spans): where each text's bytes lie in a repeated window, as (start, end) pairs.
+    """(text_id, starts, ends): the maximal runs of a text's bytes that lie in repeated windows.
 
     ``texts`` has a row per document: text_id, text.
     """
@@ -399,18 +397,28 @@ def repeats(texts: DataFrame) -> DataFrame:
     copied = copies.where((F.col("n") > 1) & (F.col("size") >= WINDOW)).select(
         "text_id", F.struct(F.lit(0).cast("bigint").alias("start"), F.col("size").alias("end")).alias("span")
     )
-    return spans.unionByName(copied).groupBy("text_id").agg(
+    listed = spans.unionByName(copied).groupBy("text_id").agg(
         F.array_sort(F.collect_set("span")).alias("spans")
     )
 
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        runs = [merged(found) for found in batch.column(1).to_pylist()]
+        return {
+            "text_id": batch.column(0),
+            "starts": [[s for s, _ in own] for own in runs],
+            "ends": [[e for _, e in own] for own in runs],
+        }
+
+    return in_batches(listed, "text_id bigint, starts array<bigint>, ends array<bigint>", work)
+
 
 REPORT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+def merged(spans: list[dict]) -> list[tuple[int, int]]:
     """Sorted spans as maximal runs."""
     out: list[list[int]] = []
-    for span in spans or ():
+    for span in spans:
         if out and span["start"] <= out[-1][1]:
             out[-1][1] = max(out[-1][1], span["end"])
         else:
@@ -419,13 +427,12 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def with_runs(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spans) per document of ``doc_id, text``."""
+    """(doc_id, text, starts, ends) per document of ``doc_id, text``; null where nothing goes."""
     texts = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     ).withColumn("text_id", F.xxhash64("text"))
-    spans = stored(repeats(texts.select("text_id", "text")), "suffix-spans")
-    spans = F.broadcast(spans) if spans.count() <= BROADCAST_ROWS else spans
-    return texts.join(spans, "text_id", "left").select("doc_id", "text", "spans")
+    runs = bounded(stored(repeats(texts.select("text_id", "text")), "suffix-runs"), "starts")
+    return texts.join(runs, "text_id", "left").select("doc_id", "text", "starts", "ends")
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:
@@ -433,8 +440,9 @@ def dedup_report(docs: DataFrame) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         rows = []
-        for text, spans in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist()):
-            runs, kept, at = merged(spans), hashlib.sha256(), 0
+        ends = batch.column(3).to_pylist()
+        for text, starts, stops in zip(text_bytes(batch.column(1)), batch.column(2).to_pylist(), ends):
+            runs, kept, at = list(zip(starts or (), stops or ())), hashlib.sha256(), 0
             for start, end in runs:
                 kept.update(text[at:start])
                 at = end
