@@ -84,6 +84,19 @@ def test_articles_of_equal_pages_stay(spark):
     assert all("the same article everywhere" in t for _, _, t, _ in found(df))
 
 
+def test_repeated_blocks_inside_articles_go(spark):
+    def html(i):
+        box = "<div class='box/2'><div><p>Written by <b>the desk</b></p><ul><li>Tell a friend</li></ul></div></div>"
+        deep = "<div>" * 15 + f"<p>{prose(300 + i, 5)}</p><p class=x>Follow the desk</p>" + "</div>" * 15
+        own = f"<p>{prose(i, 20)} <b>Acme</b> said.</p>"
+        inner = "<article class=card><p>Our best tale</p></article>"
+        return f"<html><body><div class=a><article><h1>t{i}</h1>{box}{own}{deep}{inner}</article></div></body></html>"
+
+    rows = [(i, "https://a.example/x", html(i)) for i in range(20)]
+    texts = {r.page_id: r.text for r in main_texts(spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert texts == {i: f"t{i} {prose(i, 20)} Acme said. {prose(300 + i, 5)}" for i in range(20)}
+
+
 EDGE = [
     (1, None, None), (2, "http://x.example/", ""), (3, "nonsense", "  \n "), (None, "http://x.example/", page("<p>null id</p>")),
     (4, "http://x.example/a b\r\nInjected: 1", page("<p>" + prose(1, 40_000) + "</p>")),

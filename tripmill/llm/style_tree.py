@@ -8,7 +8,10 @@ the frame. The importance of a node is the entropy of its presentations and the
 mean importance of the contents below it, as in the published method: for ``m``
 pages, 1 minus the mean of the base-``m`` logarithm of how many pages have the same
 content. Nodes of low importance are cut out of every page of the host, with all
-below them. What HTML itself calls navigation, headers, footers, asides, forms and
+below them, also inside an article; the outermost article or main element and what holds
+it stay. A page keeps its whole article where only headings would be left of it. Inline
+elements in paragraphs, headings, list items and the like are judged with these. Elements
+nested deeper than ``MAX_DEPTH`` are judged with their ancestor at that depth. What HTML itself calls navigation, headers, footers, asides, forms and
 the like, and nodes with such class names, are cut out on every host; on small hosts
 that is all there is to go by.
 
@@ -38,7 +41,7 @@ DECAY = 0.9
 LOW = 0.2
 #: A host's tree says nothing until it has been merged from so many different pages.
 MIN_PAGES = 8
-MAX_DEPTH = 12
+MAX_DEPTH = 256
 BROADCAST_ROWS = 100_000
 
 #: Elements that never hold main text.
@@ -57,6 +60,13 @@ NOISE_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search"
     " toolbar".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: Elements whose text, with that of the inline elements in them, is judged as one.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figcaption caption".split())
+#: Paths of article and main elements, and of what is inside an article.
+MAIN_NODE = r"/(article|main)([.][^/]*)?$"
+IN_ARTICLE = r"/article([.][^/]*)?/"
+_IN_MAIN = re.compile(r"/(article|main)([.][^/]*)?/")
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.IGNORECASE)
 
@@ -64,9 +74,9 @@ NODES = "host string, path string, kind int, value bigint, pages bigint"
 
 
 def label(name: str, found: dict[str, str]) -> str:
-    """An element's name in paths: with its first class, digits left out."""
+    """An element's name in paths: with its first class, digits and slashes left out."""
     classes = found.get("class", "").split()
-    return f"{name}.{re.sub('[0-9]+', '', classes[0])}" if classes else name
+    return f"{name}.{re.sub('[0-9/]+', '', classes[0])}" if classes else name
 
 
 def is_noise(name: str, found: dict[str, str], in_article: bool) -> bool:
@@ -89,10 +99,11 @@ def is_noise(name: str, found: dict[str, str], in_article: bool) -> bool:
 class Frame:
     """An open element while a page is read."""
 
-    __slots__ = ("name", "path", "dropped", "scope", "children", "texts", "depth")
+    __slots__ = ("name", "path", "dropped", "scope", "children", "texts", "depth", "prose", "heading")
 
-    def __init__(self, name, path, dropped, scope, depth):
+    def __init__(self, name, path, dropped, scope, depth, prose=False, heading=False):
         self.name, self.path, self.dropped, self.scope, self.depth = name, path, dropped, scope, depth
+        self.prose, self.heading = prose, heading
         self.children, self.texts = [], []
 
 
@@ -104,11 +115,14 @@ def read(page: str, low: frozenset[str] = frozenset(), tree: list | None = None)
     pieces: dict[str, list[str]] = {"article": [], "main": [], "body": []}
     top = Frame("", "", False, "body", 0)
     stack = [top]
+    cut_inside = more_than_headings = False
     for kind, name, text in events(page):
         here = stack[-1]
         if kind == "text":
             if not here.dropped:
                 pieces[here.scope].append(text)
+                if not here.heading and here.scope != "body" and not text.isspace():
+                    more_than_headings = True
                 if tree is not None:
                     here.texts.append(text)
         elif kind == "open":
@@ -122,16 +136,21 @@ def read(page: str, low: frozenset[str] = frozenset(), tree: list | None = None)
                         here = stack[depth - 1]
                         break
             mark = label(name, found)
-            path = f"{here.path}/{mark}" if here.depth < MAX_DEPTH else here.path
+            joins = name in INLINE and here.prose
+            path = here.path if joins or here.depth >= MAX_DEPTH else f"{here.path}/{mark}"
             scope = here.scope
             if name == "article" or (name == "main" and scope == "body"):
                 scope = name
-            dropped = here.dropped or is_noise(name, found, scope == "article") or path in low
+            dropped = here.dropped or is_noise(name, found, scope == "article")
+            if not dropped and path in low:
+                dropped, cut_inside = True, cut_inside or here.scope != "body"
             if not dropped:
                 here.children.append(mark)
                 if name not in INLINE:
                     pieces[scope].append(" ")
-            stack.append(Frame(name, path, dropped, scope, here.depth + 1))
+            prose = joins or name in PROSE
+            heading = here.heading or name in HEADINGS
+            stack.append(Frame(name, path, dropped, scope, here.depth + 1, prose, heading))
         else:
             gone = stack.pop()
             if not gone.dropped:
@@ -139,6 +158,8 @@ def read(page: str, low: frozenset[str] = frozenset(), tree: list | None = None)
                     pieces[gone.scope].append(" ")
                 if tree is not None:
                     tree.append((gone.path, "".join(gone.children), "".join(gone.texts).split()))
+    if cut_inside and not more_than_headings:
+        return read(page, frozenset(path for path in low if not _IN_MAIN.search(path)))
     for scope in ("article", "main", "body"):
         words = "".join(pieces[scope]).split()
         if words or scope == "body":
@@ -212,8 +233,11 @@ def low_nodes(pages: DataFrame) -> DataFrame:
         (1 - weight) * F.coalesce("content", F.lit(0.0)) + weight * F.greatest("look", F.coalesce("content", F.lit(0.0))),
     )
     cut = judged.where((F.col("importance") < LOW) & (F.col("m") >= MIN_PAGES) & F.col("content").isNotNull())
-    # The article itself and what holds it is never cut out.
-    cut = cut.where("NOT path RLIKE '/(article|main)([./]|$)' AND size(split(path, '/')) > 3")
+    cut = cut.where("size(split(path, '/')) > 3")
+    # The outermost article and what holds it are never cut out; what is inside is.
+    mains = looks.where(F.col("path").rlike(MAIN_NODE) & ~F.col("path").rlike(IN_ARTICLE))
+    kept = mains.select("host", F.explode(ups).alias("path")).distinct()
+    cut = cut.join(kept, ["host", "path"], "left_anti")
     return cut.groupBy("host").agg(F.collect_list("path").alias("low"))
 
 
