@@ -140,6 +140,18 @@ def test_one_document_of_each_group_stays(documents, no_documents):
     assert one_of_each(no_documents).collect() == []
 
 
+def test_documents_of_equal_or_null_ids_stay_unless_they_link(spark):
+    a, b, c, d, e = (prose(900 + i, 60) for i in range(5))
+    rows = [(None, a), (None, b), (None, c), (7, c + " x"), (3, d), (3, e), (4, d + " x"), (5, a + " x"),
+            (8, b + " x"), (8, b + " x"), (None, None), (None, ""), (9, "a b"), (9, "a b"), (None, prose(950, 60))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    left = sorted(((r.doc_id, r.text) for r in one_of_each(df).collect()), key=repr)
+    # A numbered copy stands for the null ids; the one without a copy stays.
+    want = [(7, c + " x"), (3, d), (3, e), (5, a + " x"), (8, b + " x"), (None, None), (None, ""), (9, "a b"),
+            (None, prose(950, 60))]
+    assert left == sorted(want, key=repr)
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=40))
 def test_components(spark, links):

@@ -38,8 +38,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tripmill.llm.common import bounded, columns_here, in_batches, in_tasks, stored
+from tripmill.llm.common import bounded, columns_here, in_batches, in_small_batches, in_tasks, slices, stored
 from tripmill.llm.components import connected
 from tripmill.llm.wordhash import mixed, shingle_arrays
 
@@ -460,29 +461,81 @@ def with_links(links: DataFrame | None, more: DataFrame) -> DataFrame:
     return stored(more if links is None else links.unionByName(more), "join-links")
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``doc_id, text``."""
+def grouped_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, set_id, node) per row of ``doc_id, text``; ``node`` is the component's set."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets = stored(document_sets(docs), "join-documents")
     component = set_components(docs, sets)
     rows = sets.select("doc_id", "n_shingles", "set_id")
-    if component is not None:
-        rows = rows.join(component.withColumnRenamed("id", "set_id"), "set_id", "left")
-        rows = rows.withColumn("set_id", F.coalesce("component", "set_id")).drop("component")
+    if component is None:
+        return rows.withColumn("node", F.col("set_id"))
+    rows = rows.join(component.withColumnRenamed("id", "set_id"), "set_id", "left")
+    return rows.select("doc_id", "n_shingles", "set_id", F.coalesce("component", "set_id").alias("node"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of ``doc_id, text``."""
+    rows = grouped_rows(docs)
     full = rows.where("n_shingles > 0")
-    least = full.groupBy("set_id").agg(F.min("doc_id").alias("component_id"))
-    joined = full.join(least, "set_id").select("doc_id", "n_shingles", "component_id")
+    least = full.groupBy("node").agg(F.min("doc_id").alias("component_id"))
+    joined = full.join(least, "node").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(own_id, own_set, doc) per row, ``own_set`` null without shingles; of rows of one id and set
+    that a batch has, the first."""
+    id_and_text = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), "text", F.struct(*docs.columns).alias("doc"))
+
+    def run(batches):
+        for batch in slices(batches):
+            own, keep, seen = [], [], set()
+            for doc_id, shingles in zip(batch.column(0).to_pylist(), shingle_arrays(batch.column(1))):
+                elements, set_id = set_of(shingles)
+                own.append(set_id if len(elements) else None)
+                keep.append(not len(elements) or (doc_id, set_id) not in seen)
+                seen.add((doc_id, set_id))
+            columns = [batch.column(0), pa.array(own, pa.int64()), batch.column(2)]
+            out = pa.RecordBatch.from_arrays(columns, names=["own_id", "own_set", "doc"])
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+    schema = StructType([
+        StructField("own_id", LongType()), StructField("own_set", LongType()),
+        StructField("doc", id_and_text.schema["doc"].dataType),
+    ])
+    return in_small_batches(id_and_text).mapInArrow(run, schema)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that a document of smaller id stands for; all columns stay."""
-    found = stored(components(docs), "join-result")
-    gone = found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = small(stored(gone, "join-gone"))
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
-    ids = found.where("doc_id <=> component_id AND n_shingles > 0").groupBy("doc_id").count()
-    if ids.where("count > 1").limit(1).count():
-        left = left.dropDuplicates(["doc_id"])
-    return left
+    """One document of each component, that of the least id; all columns stay.
+
+    What goes is decided by id and set of shingles together, so documents of equal or null ids
+    whose texts do not link all stay, and so do texts without shingles. A null id stands for a
+    component only if it has no other; of several sets with the least id the least set stays,
+    and of several rows with that id and set one.
+    """
+    found = stored(grouped_rows(docs).where("n_shingles > 0"), "join-result")
+    pairs = found.groupBy("node", "doc_id", "set_id").agg(F.count("*").alias("times"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_id")).alias("head")
+    heads = pairs.groupBy("node").agg(first)
+    judged = pairs.join(heads, "node").selectExpr(
+        "doc_id AS gone_id", "set_id AS gone_set", "times",
+        "doc_id <=> head.doc_id AND set_id = head.set_id AS stays",
+    )
+    judged = stored(judged.where("NOT stays OR times > 1"), "join-gone")
+
+    def matching(marks: DataFrame):
+        return left["own_id"].eqNullSafe(marks["gone_id"]) & (left["own_set"] == marks["gone_set"])
+
+    left = numbered(docs)
+    gone = small(judged.where("NOT stays"))
+    left = left.join(gone, matching(gone), "left_anti")
+    again = judged.where("stays")
+    if again.limit(1).count():
+        left = stored(left, "join-left")
+        again = small(again)
+        many = left.join(again, matching(again), "left_semi")
+        many = many.groupBy("own_id", "own_set").agg(F.first("doc").alias("doc")).select("own_id", "own_set", "doc")
+        left = left.join(again, matching(again), "left_anti").unionByName(many)
+    return left.select("doc.*")
