@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tripmill.llm.secret_scan import found_spans, scan, thresholds
+from tripmill.llm.secret_scan import found_spans, redact, scan, thresholds
 
 from .conftest import clashing, rows
 
@@ -95,3 +95,21 @@ def test_spans_do_not_overlap_base_spans(spark):
     text = "token = \"1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae\""
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     assert rows(scan(docs), "spans")[0][0] == "assign:0:49,hex:9:49"
+
+
+def test_secrets_behind_names_and_paths_are_found_and_masked(spark):
+    pick = random.Random(9)
+    wide = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    data, keys = [], []
+    forms = ["export AWS_SECRET_ACCESS_KEY={} end", "see com/services/T0AB1CD2E/B0FG3HI4J/{} end",
+             "id/0123456789abcdef01234567/{} end", "at internal/service_name/{}/user-settings end", "x={} end"]
+    for i in range(200):
+        keys.append("".join(pick.choices(wide, k=40)))
+        data.append((i, forms[i % 5].format(keys[-1])))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(4)
+    masked = {r.doc_id: r.text for r in redact(docs).collect()}
+    for form in range(5):
+        assert sum(keys[i] in masked[i] for i in range(form, 200, 5)) <= 2
+    spans = {r.doc_id: r.spans for r in scan(docs).collect()}
+    assert sum(spans[i] == "random:29:69" for i in range(0, 200, 5)) >= 38
+    assert sum(spans[i].startswith("hex:3:27") and "random:" in spans[i] for i in range(2, 200, 5)) >= 38

@@ -8,8 +8,12 @@ kind of character, the number of runs above and below the middle of the alphabet
 and the serial correlation. Together they give one p-value. Over all distinct runs
 of a length class the Benjamini-Hochberg rule decides which p-values are too small
 for random strings, with at most ``FDR`` of those decisions expected to be wrong;
-what is left and mixes kinds of characters is a secret of kind ``random``. P-values
-are counted in bins first, so the rule needs a table of bounded size only.
+what is left and mixes kinds of characters is a secret of kind ``random``. A run has
+``=`` at its end only, so a name before it is a run of its own, and spans of patterns are
+cut out of it. Names and paths around a secret make a run look like words; so besides the
+whole also the run without words at its ends, its parts between slashes, and those between
+slashes, hyphens and underscores are tested. Of those that pass and lie in one another the
+outermost counts. P-values are counted in bins first, so the rule needs a table of bounded size only.
 
 Null or empty texts have no spans. Offsets are code points, the end is exclusive.
 Repeated rows are scanned alike, each for itself; extra columns are ignored.
@@ -30,10 +34,13 @@ ASSIGN = (
 #: Runs of these two are as long as possible, so the least length may stand in the pattern.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN = r"[A-Za-z0-9+/_-]{20,}=*"
 #: What every text with a match of ASSIGN has in lower case.
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 MIN_VALUE = 6
+MIN_RUN = 20
+#: What parts of names and paths look like.
+WORD = r"^([A-Z]?[a-z]*|[A-Z]+|[0-9]{1,3})$"
 
 FDR = 0.01
 #: Length classes begin at these lengths.
@@ -42,7 +49,7 @@ BINS_PER_HALVING = 8
 MAX_BIN = 4096
 
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string>"
-RUN_TYPE = "struct<start:bigint,end:bigint,hash:bigint,p:double,class:int>"
+RUN_TYPE = "struct<start:bigint,end:bigint,level:int,hash:bigint,p:double,class:int>"
 
 
 def sql(pattern: str) -> str:
@@ -177,15 +184,63 @@ def with_spans(texts: DataFrame, *kept: str) -> DataFrame:
         "array_sort(concat(assign, access, hex)) AS base",
         "runs",
     )
-    own = "filter(runs, r -> NOT exists(base, b -> b.start < r.end AND r.start < b.end))"
-    return listed.selectExpr(
+    tested = listed.withColumn("runs", F.expr(parts(rests("runs"))))
+    return tested.selectExpr(
         *kept, "n_assign", "n_access", "n_hex", "base",
-        f"""transform({own}, r -> named_struct('start', r.start, 'end', r.end,
+        f"""transform(runs, r -> named_struct('start', r.start, 'end', r.end, 'level', r.level,
             'hash', xxhash64(r.found), 'p', {battery("r.found")},
             'class', {length_class("r.end - r.start")})) AS runs""",
     )
 
 
+def rests(runs: str) -> str:
+    """SQL for what the spans in ``base`` leave of the runs, where it is long enough."""
+    over = "filter(base, b -> b.start < r.end AND r.start < b.end)"
+    gaps = f"""aggregate({over},
+        named_struct('at', r.start, 'out', CAST(array() AS ARRAY<STRUCT<start: BIGINT, end: BIGINT>>)),
+        (acc, b) -> named_struct('at', greatest(acc.at, b.end), 'out', IF(b.start > acc.at,
+            array_append(acc.out, named_struct('start', acc.at, 'end', b.start)), acc.out)),
+        acc -> IF(acc.at < r.end, array_append(acc.out, named_struct('start', acc.at, 'end', r.end)), acc.out))"""
+    cut = f"""transform({gaps}, g -> named_struct('start', g.start, 'end', g.end, 'found',
+        substring(r.found, CAST(g.start - r.start AS INT) + 1, CAST(g.end - g.start AS INT))))"""
+    return f"filter(flatten(transform({runs}, r -> {cut})), g -> g.end - g.start >= {MIN_RUN})"
+
+
+def parts(runs: str) -> str:
+    """SQL for all strings to be tested: the runs (level 0), and by level the parts of each."""
+
+    def between(marks: str, level: int) -> str:
+        """The parts between the marks, each one character."""
+        return f"""aggregate(split(r.found, '{marks}', -1), named_struct('at', r.start, 'out',
+            CAST(array() AS ARRAY<STRUCT<start: BIGINT, end: BIGINT, found: STRING, level: INT>>)),
+            (acc, x) -> named_struct('at', acc.at + char_length(x) + 1, 'out', IF(char_length(x) >= {MIN_RUN},
+                array_append(acc.out, named_struct('start', acc.at, 'end', acc.at + char_length(x), 'found', x,
+                    'level', {level})), acc.out)),
+            acc -> acc.out)"""
+
+    def length(array: str) -> str:
+        """The lengths of parts with the mark that follows or precedes each."""
+        return f"aggregate({array}, 0L, (acc, x) -> acc + char_length(x) + 1)"
+
+    pieces = "split(r.found, '[/_-]', -1)"
+    # Numbers of the first and the last part that is no word, from 1; 0 if all are words.
+    words = f"transform({pieces}, x -> rtrim('=', x) RLIKE {sql(WORD)})"
+    trimmed = f"""transform(filter(array(named_struct('x', {pieces}, 'w', {words})), v -> array_contains(v.w, false)),
+        v -> named_struct(
+            'low', {length("slice(v.x, 1, CAST(array_position(v.w, false) AS INT) - 1)")},
+            'high', {length("slice(reverse(v.x), 1, CAST(array_position(reverse(v.w), false) AS INT) - 1)")}))"""
+    trimmed = f"""transform({trimmed}, t -> named_struct('start', r.start + t.low, 'end', r.end - t.high, 'found',
+        substring(r.found, CAST(t.low AS INT) + 1, CAST(r.end - r.start - t.low - t.high AS INT)), 'level', 1))"""
+    whole = "array(named_struct('start', r.start, 'end', r.end, 'found', r.found, 'level', 0))"
+    inner = f"""filter(concat({trimmed}, {between("/", 2)}, {between("[/_-]", 3)}),
+        x -> x.end - x.start >= {MIN_RUN} AND x.end - x.start < r.end - r.start)"""
+    every = f"IF(r.found RLIKE '[/_-]', concat({whole}, {inner}), {whole})"
+    # Each string once, at its lowest level.
+    each = f"""transform(array({every}), a -> filter(a, (x, i) ->
+        NOT exists(slice(a, 1, i), o -> o.start = x.start AND o.end = x.end)))[0]"""
+    return f"flatten(transform({runs}, r -> {each}))"
+
+
 def thresholds(found: DataFrame) -> dict[int, int]:
     """By length class, the first bin of p-values (0 for 1, upwards as p falls) that is rejected.
 
@@ -220,7 +275,10 @@ def every_span(bins: dict[int, int]) -> str:
     for kind, first in bins.items():
         least[kind] = 2.0 ** (-first / BINS_PER_HALVING)
     bound = "CASE r.class " + " ".join(f"WHEN {i} THEN {p!r}D" for i, p in least.items()) + " END"
-    random = f"""transform(filter(runs, r -> r.p > 0 AND r.p > {bound}),
+    passed = f"filter(runs, r -> r.p > 0 AND r.p > {bound})"
+    outermost = f"""transform(array({passed}), a -> filter(a, r -> r.level = 0 OR NOT exists(a, o -> o.level < r.level
+        AND o.start <= r.start AND r.end <= o.end)))[0]"""
+    random = f"""transform({outermost},
         r -> named_struct('start', r.start, 'rank', 3, 'end', r.end, 'kind', 'random'))"""
     return f"array_sort(concat(base, {random}))"
 
