@@ -79,3 +79,20 @@ def test_nothing_changes_in_a_clean_text():
     text = prose(3, 60).encode()
     report, left = judge(text)
     assert report["kept"] and left == text
+
+
+def test_long_one_line_documents_lose_only_the_notice():
+    start, end = prose(7, 900), prose(8, 900)
+    for notice in ("Please read more in our privacy policy.", "Subscribe to our newsletter."):
+        report, left = judge(f"{start} {notice} {end}".encode())
+        assert report["kept"] and left.decode() == f"{start} {end}" and report["n_lines_removed"] == 0
+        assert report["lost_chars"] == len(notice.replace(" ", ""))
+    for text in (f"{start} She read the privacy policy of the firm before the court met again in June with all"
+                 f" who had signed. {end}", f"I blog in to it, a thread more of it.\n{start}"):
+        report, left = judge(text.encode())
+        assert report["kept"] and left.decode() == text
+
+
+def test_sentence_marks_of_other_scripts():
+    lines = ["यह एक वाक्य है।", "هل هذه جملة؟", "یہ ایک جملہ ہے۔", "Սա նախադասություն է։", "นี่คือประโยคที่ดี", "彼は「はい。」"]
+    assert [line for line in lines if line_fails(line.encode(), line.encode().split())] == []

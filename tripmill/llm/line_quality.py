@@ -1,7 +1,10 @@
 """Operator 3, quality rules: clean line by line, then judge what is left of the document.
 
-Every line of a text is held against rules of its own. Lines that break one are
-removed; a document that loses more than half of its word characters that way
+Every line of a text is held against rules of its own, a line of more than ``LONG_LINE``
+words sentence by sentence. Lines and sentences that break one are removed; a line counts
+as removed if nothing of it is left. Boilerplate phrases are whole words and count where they
+are a fair share of the words. Thai and Lao have no sentence marks, so their letters pass
+as such. A document that loses more than half of its word characters that way
 is rejected, and so is one that fails the base rules on its whole text.
 
 Null or empty texts have no words and are rejected by the base rule. Repeated
@@ -31,7 +34,13 @@ MAX_LOST_PCT = 50
 MAX_TAIL = 8
 
 #: How the last word of a sentence ends: a sentence mark, then closing quotes or brackets.
-ENDS = r"""[.!?:;…。！？]["'”’»)\]]*$"""
+STOPS = r"""[.!?…。！？．｡।॥؟۔։።፧။།៕᙮᠃꓿]["'”’»)\]“‘›」』）】》]*$"""
+#: How the last word of a line with sentences ends: as above, in a colon or semicolon, or in Thai or Lao.
+ENDS = rf"""{STOPS}|[:;：；؛]["'”’»)\]“‘›」』）】》]*$|[\u0e01-\u0e5b\u0e81-\u0eff]$"""
+#: Lines of more words are judged by sentence.
+LONG_LINE = 40
+#: Phrases fail a line if they are at least this part of its words.
+PHRASE_PCT = 15
 #: Words that only separate the items of a menu.
 SEPARATORS = ("|", ">", "»", "›", "·", "•")
 #: Phrases of notices and menus, in lower case.
@@ -54,9 +63,12 @@ BOILERPLATE = (
     "use of cookies",
 )
 
-_ENDS = re.compile(ENDS)
+_STOPS, _ENDS = re.compile(STOPS), re.compile(ENDS)
 _SEPARATORS = {s.encode() for s in SEPARATORS}
-_BOILERPLATE = re.compile("|".join(BOILERPLATE).encode())
+_BOILERPLATE = re.compile(
+    rb"(?<![0-9a-z_\x80-\xff])(?:" + "|".join(BOILERPLATE).encode() + rb")(?![0-9a-z_\x80-\xff])"
+)
+_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
 
@@ -133,7 +145,32 @@ def line_fails(line: bytes, words: list[bytes]) -> bool:
         return True
     if n >= 10 and 4 * sum(a == b for a, b in zip(words, words[1:])) > n:
         return True
-    return bool(_BOILERPLATE.search(line.lower()))
+    phrases = sum(len(found.split()) for found in _BOILERPLATE.findall(line.lower()))
+    return 100 * phrases >= PHRASE_PCT * n and phrases > 0
+
+
+def sentences(line: bytes) -> list[bytes]:
+    """The line in pieces that end after a sentence's last word, white space at their heads; the
+    last has the few words that may follow."""
+    out, at = [], 0
+    for word in _WORD.finditer(line):
+        if _STOPS.search(word[0].decode("utf-8", "replace")):
+            out.append(line[at : word.end()])
+            at = word.end()
+    if out and len(line[at:].split()) <= MAX_TAIL:
+        out[-1] += line[at:]
+    else:
+        out.append(line[at:])
+    return out
+
+
+def line_left(line: bytes, words: list[bytes]) -> bytes | None:
+    """What is left of a line: all of it, its good sentences, or None."""
+    if len(words) <= LONG_LINE:
+        return None if line_fails(line, words) else line
+    good = [s for s in sentences(line) if not line_fails(s, s.split())]
+    left = b"".join(good)
+    return left if good else None
 
 
 def judge(text: bytes) -> tuple[dict, bytes]:
@@ -141,9 +178,11 @@ def judge(text: bytes) -> tuple[dict, bytes]:
     words = text.split()
     all_lines = text.split(b"\n")
     by_line = [(line, line.split()) for line in all_lines]
-    failing = [bool(w) and line_fails(line, w) for line, w in by_line]
+    parts = [line_left(line, w) if w else line for line, w in by_line]
     chars = word_chars(text)
-    lost = sum(word_chars(line) for line, bad in zip(all_lines, failing) if bad)
+    lost = sum(
+        word_chars(line) - word_chars(part or b"") for line, part in zip(all_lines, parts) if part != line
+    )
     repeats = n_repeat_words(words)
     base_failed = len(words) < MIN_WORDS or 100 * repeats > MAX_REPEAT_PCT * len(words)
     report = {
@@ -154,11 +193,10 @@ def judge(text: bytes) -> tuple[dict, bytes]:
         "n_repeat_words": repeats,
         "base_failed": base_failed,
         "kept": not base_failed and 100 * lost <= MAX_LOST_PCT * chars,
-        "n_lines_removed": sum(failing),
+        "n_lines_removed": sum(part is None for part in parts),
         "lost_chars": lost,
     }
-    left = b"\n".join(line for line, bad in zip(all_lines, failing) if not bad)
-    return report, left if any(failing) else text
+    return report, b"\n".join(part for part in parts if part is not None)
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
