@@ -146,10 +146,47 @@ WARC_SQL = """
       CASE WHEN n >= 1000 AND page_id <> latest THEN latest END AS refers_to
     FROM facts"""
 
+def collocations_sql(source: str = "documents", least: int = 100, top: int = 2000) -> str:
+    """Operator 11: all phrases of up to five words counted, without any pruning."""
+    return rf"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM {source}),
+    texts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM texts GROUP BY lang),
+    starts AS (
+      SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM texts, range(1, 6) AS t(k)),
+    counts AS (
+      SELECT lang, list_slice(words, i, i + k - 1) AS words, count(*) AS f FROM starts
+      GROUP BY ALL HAVING count(*) >= {least}),
+    candidates AS (SELECT lang, words, f AS a FROM counts WHERE len(words) > 1),
+    cuts AS (SELECT lang, words, a, unnest(range(1, len(words))) AS k FROM candidates),
+    scored AS (
+      SELECT c.lang, c.words, c.k, a, x.f AS l, y.f AS r, n,
+        CAST((CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cuts c JOIN totals USING (lang)
+      JOIN counts x ON x.lang = c.lang AND x.words = c.words[1:k]
+      JOIN counts y ON y.lang = c.lang AND y.words = c.words[k + 1:]),
+    lowest AS (
+      SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+    spans AS (
+      SELECT lang, words, a, unnest(range(1, len(words))) AS i, len(words) AS n FROM candidates),
+    inner_parts AS (
+      SELECT lang, list_slice(words, i, j) AS words, max(a) AS longer
+      FROM (SELECT *, unnest(range(i + 1, n + 1)) AS j FROM spans) WHERE j - i + 1 < n GROUP BY ALL),
+    kept AS (
+      SELECT *, array_to_string(words, ' ') AS phrase FROM lowest LEFT JOIN inner_parts USING (lang, words)
+      WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+      phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= {top}"""
+
+
 ORACLES = {
     "op2_decontaminate": decontaminate_sql(),
     "op3_line_quality": line_quality_sql(),
     "op5_warc_shards": WARC_SQL,
     "op6_license_scan": license_sql(),
     "op7_jaccard_join": components_sql(),
+    "op11_phrase_mining": collocations_sql(),
 }

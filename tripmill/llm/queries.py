@@ -14,6 +14,7 @@ from tripmill.llm import (
     license_scan,
     line_quality,
     mixture_pack,
+    phrase_mining,
     secret_scan,
     style_tree,
     suffix_dedup,
@@ -67,6 +68,10 @@ def op10_mixture_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_pack.pack(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_context_mixing": op9_context_mixing,
     "op10_mixture_pack": op10_mixture_pack,
+    "op11_phrase_mining": op11_phrase_mining,
 }

@@ -56,6 +56,12 @@ class _Table:
             cls.up, cls.down = powers(BASE, n), powers(INVERSE, n)
 
 
+def place_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of ``BASE`` and of ``INVERSE``."""
+    _Table.reach(n)
+    return _Table.up, _Table.down
+
+
 def byte_groups(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of consecutive rows of a string column; null as empty."""
     column = pc.fill_null(column.cast(pa.large_binary()), b"")
