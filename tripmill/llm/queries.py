@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm import (
+    conversation_repair,
     corpus_score,
     decontaminate,
     jaccard_join,
@@ -72,6 +73,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audited_after_damage(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_context_mixing": op9_context_mixing,
     "op10_mixture_pack": op10_mixture_pack,
     "op11_phrase_mining": op11_phrase_mining,
+    "op13_conversation_repair": op13_conversation_repair,
 }
