@@ -118,8 +118,8 @@ def license_sql() -> str:
     GROUP BY doc_id, id"""
 
 
-def components_sql(source: str = "documents") -> str:
-    """Operator 7: components of documents whose shingle sets have a Jaccard similarity of 75 percent."""
+def components_sql(source: str = "documents", min_pct: int = 75, more: str = "") -> str:
+    """Operators 7, 12: components of documents whose shingle sets have a Jaccard similarity of ``min_pct``."""
     return f"""
     WITH RECURSIVE sets AS (SELECT DISTINCT doc_id, shingle FROM ({shingles_sql(source, "doc_id", LOWERED)})),
     sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
@@ -128,11 +128,11 @@ def components_sql(source: str = "documents") -> str:
       FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
     links AS (
       SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-      WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+      WHERE 100 * shared.n >= {min_pct} * (x.n + y.n - shared.n)),
     reached(doc_id, other) AS (
       SELECT a, a FROM links UNION SELECT doc_id, b FROM reached JOIN links ON a = other),
     least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
-    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id{more}
     FROM (SELECT doc_id FROM {source}) LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
 
 
@@ -189,4 +189,5 @@ ORACLES = {
     "op6_license_scan": license_sql(),
     "op7_jaccard_join": components_sql(),
     "op11_phrase_mining": collocations_sql(),
+    "op12_minmax_dedup": components_sql(min_pct=85, more=", doc_id = coalesce(component_id, doc_id) AS kept"),
 }

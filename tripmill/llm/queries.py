@@ -14,6 +14,7 @@ from tripmill.llm import (
     jaccard_join,
     license_scan,
     line_quality,
+    minmax_dedup,
     mixture_pack,
     phrase_mining,
     secret_scan,
@@ -73,6 +74,10 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audited_after_damage(table(spark, sf_dir, "conversations"))
 
@@ -89,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_context_mixing": op9_context_mixing,
     "op10_mixture_pack": op10_mixture_pack,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_minmax_dedup": op12_minmax_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
