@@ -73,20 +73,19 @@ def test_empty_table(no_documents):
 
 
 def test_phrases_that_the_sample_misses_are_found(spark, monkeypatch):
-    """Nothing is proposed, so every frequent word fails the border and every level needs a pass."""
-    passes = []
-    real = mining.counted
-
-    def seen(docs, levels, known, past):
-        passes.append(levels)
-        return real(docs, levels, known, past)
-
-    monkeypatch.setattr(mining, "counted", seen)
+    """Nothing is proposed, so every frequent word fails the border and all phrases are left to find."""
     monkeypatch.setattr(mining, "SAMPLE", 1 << 40)
     docs = corpus(11, 60)
+    frame = spark.createDataFrame(docs, DOC_SCHEMA)
+    assert mining.sampled_phrases(frame, 20).count() == 0
+    assert rows(mining.collocations(frame, 20)) == by_hand([(d[2], d[1]) for d in docs], 20, 2000)
+
+
+def test_a_complete_sample_proposes_all(spark, monkeypatch):
+    monkeypatch.setattr(mining, "SAMPLE", 1)
+    docs = corpus(12, 60)
     got = mining.collocations(spark.createDataFrame(docs, DOC_SCHEMA), 20)
     assert rows(got) == by_hand([(d[2], d[1]) for d in docs], 20, 2000)
-    assert passes.count([2, 3, 4, 5]) == 4
 
 
 def test_maps_that_let_everything_through_change_nothing(spark, monkeypatch):
@@ -100,8 +99,8 @@ def test_maps_that_let_everything_through_change_nothing(spark, monkeypatch):
 def test_scores_beyond_64_bits_are_exact(spark, monkeypatch):
     big = 9_000_000_000_000
     found = spark.createDataFrame(
-        [("en", 0, "", 0, 10**17), ("en", 1, "a", 1, big + 7), ("en", 1, "b", 2, big + 9), ("en", 2, "a b", 3, big)],
-        mining.COUNTS,
+        [("en", 0, "", 10**17), ("en", 1, "a", big + 7), ("en", 1, "b", big + 9), ("en", 2, "a b", big)],
+        mining.NAMED,
     )
     monkeypatch.setattr(mining, "frequent_phrases", lambda docs, least: found)
     empty = spark.createDataFrame([], DOC_SCHEMA)

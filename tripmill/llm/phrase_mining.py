@@ -3,17 +3,18 @@
 A phrase is two to five neighbouring words of a piece of text; it is a candidate if its
 language has it ``MIN_COUNT`` times or more. One document in ``SAMPLE`` proposes phrases,
 level by level, at a lowered limit. One pass over all documents then counts the proposed
-phrases and their negative border exactly: every phrase whose two parts, without its last
-and without its first word, are proposed, and every single word. If phrases of the border
-turn out to be frequent, passes over all documents count what they and the known frequent
-phrases can extend to and what has not been counted before, until nothing new is frequent.
-All parts of a frequent phrase are frequent, so the closed set has every candidate. The
-sample decides how much work the passes do, not what is found.
-
-The proposed phrases reach the tasks as a bit map of their hashes, ``MAX_BITS`` bits at
-most. Phrases that it lets through by chance are counted as well, everywhere and so
-exactly. Tasks count by two 64-bit hashes within a batch of rows and then send texts;
-sums are made over texts, with partial sums before the shuffle.
+phrases and their negative border: every phrase whose two parts, without its last and
+without its first word, are proposed, and every single word. If phrases of the border turn
+out to be frequent, phrases that the pass did not count may be frequent too. A second pass
+counts all that may: what the first one found, and whatever it did not count whose parts
+all may be frequent, level by level. All parts of a frequent phrase are frequent, so that
+closes the set. The sample decides how much work the passes do, not what is found.
+
+The first pass counts by 40 bits of the phrases' hashes, which can only make a count too
+high; the second one counts what is left by text, exactly. Sets of phrases reach the tasks
+as bit maps of hashes, of ``MAX_BITS`` bits at most: what they let through by chance is
+counted as well, everywhere alike. Within a batch of rows phrases are told apart by 64 bits,
+so two of the some 100,000 phrases that it sends are mixed up with a chance of 1e-9.
 
 Null and empty texts have no words. Null languages count as ``und``. Equal rows all count.
 Phrases alike in score and count are ordered by their bytes. An empty table gives no rows.
@@ -22,12 +23,13 @@ Other columns are ignored; ``doc_id`` has a part in the choice of the sample onl
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +41,9 @@ MAX_WORDS = 5
 TOP = 2000
 SAMPLE = 8
 #: Sampled phrases are proposed from this share of the count to be expected of a rare candidate.
-LOWERED = 0.5
+LOWERED = 0.4
+#: Bits of a phrase's hash that counts travel with.
+HASH_BITS = 40
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 28
 BITS_EACH = 16
 #: Bits of one row of the map on its way to the driver.
@@ -55,13 +59,12 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPREAD = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E6C63D0676A9A99))
 _PLACES = mixed(np.arange(11, 11 + MAX_WORDS, dtype=np.uint64)) | np.uint64(1)
-_PLACES_TWO = mixed(np.arange(31, 31 + MAX_WORDS, dtype=np.uint64)) | np.uint64(1)
 
-COUNTS = "lang string, k int, phrase string, h bigint, n bigint"
+NAMED = "lang string, k int, phrase string, n bigint"
 
 
 class Words:
-    """The words of a batch of texts in order: two hashes, row, piece, place in ``text``.
+    """The words of a batch of texts in order: hash, row, piece, place in ``text``.
 
     ``text`` has every word in lower case and one blank after it, so a phrase of
     neighbouring words is one slice.
@@ -80,24 +83,21 @@ class Words:
             filled[ends - 1] = False
             text[filled] = lower[kind == 0]
             up, down = place_powers(len(data) + 1)
-            one, two = (
-                _between(values * up[: len(data)], first, last) * down[first]
-                for values in (lower.astype(np.uint64) + np.uint64(1), _SPREAD[lower])
-            )
+            hashes = _between(_SPREAD[lower] * up[: len(data)], first, last) * down[first]
             breaks = np.cumsum(kind == 2) + breaks_before
             rows = np.searchsorted(offsets, first, side="right") - 1 + row
             # Rows and breaks only grow, so their sum changes at every break and at every new row.
             piece = breaks[first] + rows if len(first) else rows
-            parts.append((text, mixed(one), mixed(two), rows, piece, ends - 1 - lengths + base, ends - 1 + base))
+            parts.append((text, mixed(hashes), rows, piece, ends - 1 - lengths + base, ends - 1 + base))
             base += len(text)
             breaks_before = int(breaks[-1]) if len(breaks) else breaks_before
-        kinds = (np.uint8, np.uint64, np.uint64, *[np.int64] * 4)
-        self.text, self.one, self.two, self.row, self.piece, self.first, self.last = (
+        kinds = (np.uint8, np.uint64, *[np.int64] * 4)
+        self.text, self.hashes, self.row, self.piece, self.first, self.last = (
             np.concatenate([np.empty(0, kind), *[p[i] for p in parts]]) for i, kind in enumerate(kinds)
         )
 
     def __len__(self) -> int:
-        return len(self.one)
+        return len(self.hashes)
 
     def phrases(self, at: np.ndarray, k: int) -> pa.Array:
         """The texts of the phrases of ``k`` words from the given words."""
@@ -134,7 +134,7 @@ class BitMap:
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
-        self.shift = np.uint64(64 - (8 * len(bits)).bit_length() + 1)
+        self.shift = np.uint64(65 - (8 * len(bits)).bit_length())
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> self.shift
@@ -145,7 +145,7 @@ def bit_map(phrases: DataFrame) -> BitMap:
     """The map of a table's column ``h``; only its bits come to the driver."""
     wanted = max(MIN_BITS, min(MAX_BITS, BITS_EACH * phrases.count()))
     bits = 1 << (wanted - 1).bit_length()
-    at = phrases.select(F.shiftrightunsigned("h", 65 - bits.bit_length()).alias("at"))
+    at = phrases.select(F.shiftright("h", HASH_BITS + 1 - bits.bit_length()).alias("at"))
     parts = at.groupBy((F.col("at") / MAP_PART).cast("bigint").alias("part")).agg(
         F.collect_set((F.col("at") % MAP_PART).cast("int")).alias("ones")
     )
@@ -169,109 +169,121 @@ def language_seed(lang: str) -> int:
     return int.from_bytes(blake2b(lang.encode(), digest_size=8).digest(), "little")
 
 
-def counted(docs: DataFrame, levels: list[int], known: BitMap | None, past: list[BitMap]) -> DataFrame:
-    """Exact counts of phrases of the given numbers of words, in all of ``lang, text``.
+def levels_of(words: Words, codes: np.ndarray, names: list[str], most: int) -> Iterator[tuple]:
+    """(k, hashes, whole) for 1 to ``most`` words: a number for the phrase of ``k`` words that begins at
+    each word, and whether it lies in one piece. Lengths and languages have numbers of their own."""
+    sums = np.array([language_seed(x) for x in names], dtype=np.uint64)[codes]
+    for k in range(1, most + 1):
+        size = max(0, len(words) - k + 1)
+        sums = sums[:size] + words.hashes[k - 1 :][:size] * _PLACES[k - 1]
+        yield k, mixed(sums + np.uint64(k)), words.piece[:size] == words.piece[k - 1 :][:size]
 
-    Words are all counted (level 1), and their number per language is the row of level
-    0. Longer phrases are counted if ``known`` has both parts, unless one of the maps
-    of ``past`` has both as well: then an earlier pass has counted them.
+
+def both(has: np.ndarray) -> np.ndarray:
+    """Whether a set has both parts of the phrases that are longer by a word."""
+    return has[:-1] & has[1:]
+
+
+def coded(batch: pa.RecordBatch) -> tuple[Words, np.ndarray, pa.Array]:
+    """The words of a batch ``lang, text``, the number of each one's language, the languages."""
+    langs = batch.column(0).dictionary_encode()
+    words = Words(batch.column(1))
+    return words, langs.indices.to_numpy()[words.row].astype(np.int64), langs.dictionary
+
+
+def runs(hashes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every different hash among the places ``at``, and how many places have it."""
+    by = at[np.argsort(hashes[at], kind="stable")]
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = hashes[by[1:]] != hashes[by[:-1]]
+    starts = np.flatnonzero(new)
+    return by[starts], np.diff(np.append(starts, len(by)))
+
+
+def counted(docs: DataFrame, levels: list[int], known: BitMap | None) -> DataFrame:
+    """(h, n): occurrences in ``lang, text`` of the phrases of the given numbers of words of which
+    ``known`` has both parts, and of all words, by ``HASH_BITS`` bits of their hashes."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches):
+        for batch in slices(batches):
+            words, codes, names = coded(batch)
+            parts, most = None, max(levels)
+            for k, hashes, whole in levels_of(words, codes, names.to_pylist(), most):
+                if k in levels:
+                    wanted = whole if k == 1 else whole & both(parts)[: len(whole)]
+                    short = hashes >> np.uint64(64 - HASH_BITS)
+                    at, times = runs(short, np.flatnonzero(wanted))
+                    for i in range(0, len(at), SENT):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(short[at[i : i + SENT]].view(np.int64)), pa.array(times[i : i + SENT])],
+                            names=["h", "n"],
+                        )
+                if k < most:
+                    parts = shared.value.has(hashes) if shared.value else None
+
+    rows = in_small_batches(docs.select("lang", "text")).mapInArrow(run, "h bigint, n bigint")
+    return rows.groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def named(docs: DataFrame, proposed: BitMap, frequent: BitMap) -> DataFrame:
+    """(lang, k, phrase, n): exact counts, by text, of all phrases that may still be frequent.
+
+    Those are phrases that the first pass counted and ``frequent`` has, and phrases that it
+    did not count, not having both parts ``proposed``, if both parts may be frequent. Every
+    part of a frequent phrase is of one of the two kinds, so one such pass finds them all.
+    The number of all words of a language is the row of level 0.
     """
-    spark = docs.sparkSession
-    maps = spark.sparkContext.broadcast([known, *past])
-
-    def batch_counts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        now, *before = maps.value
-        langs = pc.fill_null(batch.column(0), "und").dictionary_encode()
-        names = langs.dictionary
-        words = Words(batch.column(1))
-        codes = langs.indices.to_numpy()[words.row].astype(np.int64)
-        if 0 in levels:
+    maps = docs.sparkSession.sparkContext.broadcast((proposed, frequent))
+
+    def run(batches):
+        for batch in slices(batches):
+            words, codes, names = coded(batch)
             total = np.bincount(codes, minlength=len(names))
             has = np.flatnonzero(total)
-            blank = pa.array([""] * len(has), pa.string())
-            yield counts_batch(names, has, 0, blank, np.zeros(len(has), np.int64), total[has])
-        seeds = np.array([language_seed(x) for x in names.to_pylist()], dtype=np.uint64)[codes]
-        sums, sums_two = seeds.copy(), seeds.copy()
-        shorter: list[np.ndarray] = []
-        for k in range(1, max(levels) + 1):
-            size = max(0, len(words) - k + 1)
-            sums = sums[:size] + words.one[k - 1 :][:size] * _PLACES[k - 1]
-            sums_two = sums_two[:size] + words.two[k - 1 :][:size] * _PLACES_TWO[k - 1]
-            # One number per phrase and language, whatever its length.
-            hashes = mixed(sums + np.uint64(k))
-            if k in levels:
-                whole = words.piece[:size] == words.piece[k - 1 :][:size]
+            yield out(names, has, 0, pa.array([""] * len(has), pa.string()), total[has])
+            sampled, often = maps.value
+            may = counted_before = None
+            for k, hashes, whole in levels_of(words, codes, names.to_pylist(), MAX_WORDS):
+                now = whole & often.has(hashes)
                 if k > 1:
-                    whole &= both(shorter[0], size)
-                    for one in shorter[1:]:
-                        whole &= ~both(one, size)
-                at = np.flatnonzero(whole)
-                yield from level_counts(words, names, codes, k, at, hashes, sums_two)
-            if k < max(levels):
-                shorter = [m.has(hashes) for m in (now, *before)]
-
-    def both(has: np.ndarray, size: int) -> np.ndarray:
-        return has[:size] & has[1 : size + 1]
-
-    def level_counts(words, names, codes, k, at, hashes, two) -> Iterator[pa.RecordBatch]:
-        by = at[np.argsort(hashes[at], kind="stable")]
-        one, two = hashes[by], two[by]
-        # Where the first hash is the same and the second is not, a phrase may come in several rows.
-        new = np.ones(len(by), dtype=bool)
-        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-        starts = np.flatnonzero(new)
-        times = np.diff(np.append(starts, len(by)))
-        for i in range(0, len(starts), SENT):
-            here = by[starts[i : i + SENT]]
-            own = hashes[here].view(np.int64)
-            yield counts_batch(names, codes[here], k, words.phrases(here, k), own, times[i : i + SENT])
-
-    def counts_batch(names, codes, k, phrases, own, times) -> pa.RecordBatch:
-        columns = [names.take(pa.array(codes)), pa.array(np.full(len(codes), k, np.int32)), phrases,
-                   pa.array(own), pa.array(times.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "h", "n"])
+                    now = whole & both(may) & (often.has(hashes) | ~both(counted_before))
+                at, times = runs(hashes, np.flatnonzero(now))
+                for i in range(0, len(at), SENT):
+                    here = at[i : i + SENT]
+                    yield out(names, codes[here], k, words.phrases(here, k), times[i : i + SENT])
+                may, counted_before = now, sampled.has(hashes)
 
-    def run(batches):
-        for batch in slices(batches):
-            yield from batch_counts(batch)
+    def out(names, codes, k, phrases, times) -> pa.RecordBatch:
+        level = pa.array(np.full(len(codes), k, np.int32))
+        columns = [names.take(pa.array(codes)), level, phrases, pa.array(times.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "n"])
 
-    rows = in_small_batches(docs.select("lang", "text")).mapInArrow(run, COUNTS)
-    return rows.groupBy("lang", "k", "phrase", "h").agg(F.sum("n").alias("n"))
+    rows = in_small_batches(docs.select("lang", "text")).mapInArrow(run, NAMED)
+    return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
-def proposed(docs: DataFrame, least: int) -> DataFrame:
-    """Phrases of up to ``MAX_WORDS - 1`` words that the sample has often enough: (lang, k, phrase, h)."""
-    limit = max(2, -(-int(least * LOWERED) // SAMPLE))
+def sampled_phrases(docs: DataFrame, least: int) -> DataFrame:
+    """(h) of the phrases of up to ``MAX_WORDS - 1`` words that the sample has often enough."""
+    limit = max(2, math.ceil(least * LOWERED / SAMPLE))
     chosen = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE)) == 0
     sample = stored(docs.where(chosen).select("lang", "text"), "phrases-sample")
     found, known = [], None
     for k in range(1, MAX_WORDS):
-        often = counted(sample, [k], known, []).where(F.col("n") >= limit).drop("n")
+        often = counted(sample, [k], known).where(F.col("n") >= limit).select("h")
         found.append(stored(often, "phrases-proposed"))
         known = bit_map(found[-1])
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, found)
 
 
 def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
-    """(lang, k, phrase, h, n) of all words and phrases of ``least`` occurrences or more, and the
-    number of all words per language as level 0."""
-    levels = list(range(MAX_WORDS + 1))
-    often = (F.col("n") >= least) | (F.col("k") == 0)
-    known = proposed(docs, least)
-    maps = [bit_map(known)]
-    frequent = stored(counted(docs, levels, maps[0], []).where(often), "phrases-counted")
-    extends = F.col("k").between(1, MAX_WORDS - 1)
-    fresh = frequent.where(extends).join(known, ["lang", "k", "phrase"], "left_anti")
-    while fresh.limit(1).count():
-        now = bit_map(frequent.where(extends))
-        more = counted(docs, levels[2:], now, maps).where(often)
-        more = stored(more, "phrases-counted")
-        frequent, fresh = frequent.unionByName(more), more.where(extends)
-        maps.append(now)
-    return frequent
+    """(lang, k, phrase, n) of all words and phrases of ``least`` occurrences or more, and the number
+    of all words per language as level 0."""
+    proposed = bit_map(sampled_phrases(docs, least))
+    often = counted(docs, list(range(1, MAX_WORDS + 1)), proposed).where(F.col("n") >= least)
+    frequent = bit_map(stored(often.select("h"), "phrases-counted"))
+    found = named(docs, proposed, frequent).where((F.col("n") >= least) | (F.col("k") == 0))
+    return stored(found, "phrases-frequent")
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP) -> DataFrame:
