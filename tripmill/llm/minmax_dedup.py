@@ -11,11 +11,10 @@ Sets that agree in all ``BAND`` values of a band share its key; a pair that link
 none of the ``BANDS`` keys with a chance of 1e-8. In every list of sets with a key in
 common the one that is in most lists is the pivot, and each set is confirmed against
 the best pivot that it meets, on whole sets of 64-bit hashes. Lists whose sets are all
-connected then are done. After ``ROUNDS`` such rounds, of lists that stay open, all
-pairs across components that agree in most of their signatures are confirmed likewise:
-blocks of a list meet in one task each, where pairs are judged without becoming rows.
-That is quadratic in texts that share keys, agree in ``AGREE`` of their values and yet do
-not link through others.
+connected then are done. After ``ROUNDS`` such rounds, blocks of the lists that stay open
+meet in one task each, with their whole sets. There all pairs across components are
+judged, by their signatures and then exactly, each in the first band that it shares; only
+links become rows. That is quadratic in texts that share keys and yet do not link.
 
 Null or empty texts have the empty set and stand alone. Equal rows are linked by their
 equal sets; a null id names a component only if there is no other. An empty table gives
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import in_batches, in_small_batches, slices, stored
 from tripmill.llm.components import connected
-from tripmill.llm.set_pairs import set_of, similar_pairs
+from tripmill.llm.set_pairs import elements_of, set_of, shared_elements, similar_pairs
 from tripmill.llm.wordhash import mixed, shingle_arrays
 
 MIN_PCT = 85
@@ -42,7 +41,7 @@ VALUE_BYTES = 2
 #: Six standard deviations below the mean of equal values at the limit.
 AGREE = int(2 * PERMUTATIONS * 0.85 - 6 * (2 * PERMUTATIONS * 0.85 * 0.15) ** 0.5)
 ROUNDS = 2
-BLOCK = 1024
+BLOCK = 256
 #: Elements that are hashed at a time.
 GROUP = 1 << 15
 
@@ -100,21 +99,21 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def listed(sets: DataFrame) -> DataFrame:
-    """(key, set_id, size, lists): the sets of every key that different sets share."""
+    """(key, band, set_id, size, lists): the sets of every key that different sets share."""
     width = BAND * VALUE_BYTES
     key = f"xxhash64(band, substring(signature, {width} * band + 1, {width}))"
     signed = sets.where("signature IS NOT NULL")
     keyed = signed.select(
         "set_id", F.col("n_shingles").alias("size"),
-        F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), band -> {key})")).alias("key"),
-    )
+        F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), band -> struct({key} AS key, band))")).alias("at"),
+    ).select("at.*", "set_id", "size")
     # Any two different sets differ in this number, but for a chance of 1e-19 per pair: such a pair loses one key.
     number = F.xxhash64("set_id")
     shared = keyed.groupBy("key").agg(F.min(number).alias("low"), F.max(number).alias("high"))
     members = keyed.join(shared.where("low <> high").select("key"), "key").distinct()
     members = stored(members, "minmax-keys")
     lists = members.groupBy("set_id").agg(F.count("*").alias("lists"))
-    return stored(members.join(lists, "set_id").select("key", "set_id", "size", "lists"), "minmax-members")
+    return stored(members.join(lists, "set_id").select("key", "band", "set_id", "size", "lists"), "minmax-members")
 
 
 def open_members(members: DataFrame, component: DataFrame) -> DataFrame:
@@ -140,26 +139,29 @@ def pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
     return best.select(F.col("best.p_set_id").alias("a"), F.col("set_id").alias("b"))
 
 
-def pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): the pairs of a list, of different components, that agree in most of their signatures."""
+def links_across(members: DataFrame, sets: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """(a, b): the pairs of a list, of different components, that link."""
     counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    ids = members.select("set_id").distinct()
+    ids = stored(members.select("set_id").distinct(), "minmax-ids")
     signed = sets.where("signature IS NOT NULL").select("set_id", "signature").join(ids, "set_id")
-    signed = stored(signed.groupBy("set_id").agg(F.first("signature").alias("signature")), "minmax-signatures")
+    signed = signed.groupBy("set_id").agg(F.first("signature").alias("signature"))
+    signed = stored(signed.join(elements_of(ids, docs, owners), "set_id"), "minmax-signatures")
     cells = members.join(counts, "key").withColumn("mine", F.expr("CAST(pmod(xxhash64(set_id), blocks) AS INT)"))
     cells = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine",
-        "set_id", "size", "component",
+        "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "band", "mine",
+        "set_id", "component",
     )
     cells = cells.join(signed, "set_id").repartition("key", "low", "high")
-    cells = cells.select("key", "low", "high", "mine", "set_id", "size", "component", "signature")
+    cells = cells.select("key", "low", "high", "band", "mine", "set_id", "component", "signature", "elements")
     cells = cells.sortWithinPartitions("key", "low", "high")
 
     def met(rows: list[tuple]) -> pa.RecordBatch:
-        """The pairs of one cell."""
-        _, low, high, mine, ids, size, component, signature = zip(*rows)
+        """The links of one cell."""
+        _, low, high, band, mine, ids, component, signature, elements = zip(*rows)
         values = np.stack([np.frombuffer(x, dtype="<u2") for x in signature])
-        size, mine = np.array(size), np.array(mine)
+        bands = values.reshape(len(ids), BANDS, BAND)
+        own = [np.frombuffer(x, dtype=np.uint64) for x in elements]
+        size, mine = np.array([len(x) for x in own]), np.array(mine)
         part = np.unique(np.array(component, dtype=object), return_inverse=True)[1]
         left, right = [], []
         for i in range(len(ids)):
@@ -167,12 +169,18 @@ def pairs_across(members: DataFrame, sets: DataFrame) -> DataFrame:
             fit = (part[rest] != part[i]) & ((low[0] == high[0]) | (mine[rest] != mine[i]))
             fit &= 100 * np.minimum(size[rest], size[i]) >= MIN_PCT * np.maximum(size[rest], size[i])
             j = i + 1 + np.flatnonzero(fit)
-            if len(j):
-                j = j[(values[j] == values[i]).sum(1) >= AGREE]
-                left += [ids[i]] * len(j)
-                right += [ids[k] for k in j]
-        a, b = [min(p) for p in zip(left, right)], [max(p) for p in zip(left, right)]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            if not len(j):
+                continue
+            j = j[(values[j] == values[i]).sum(1) >= AGREE]
+            j = j[(bands[j] == bands[i]).all(2).argmax(1) == band[0]] if len(j) else j
+            for k in j.tolist():
+                shared = shared_elements(own[i], own[k])
+                if 100 * shared >= MIN_PCT * (size[i] + size[k] - shared):
+                    left.append(ids[i])
+                    right.append(ids[k])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"]
+        )
 
     def run(batches):
         now, rows = None, []
@@ -201,8 +209,10 @@ def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
     for turn in range(ROUNDS + 1):
         if not current.limit(1).count():
             break
-        pairs = pivot_pairs(current, turn) if turn < ROUNDS else pairs_across(current, sets)
-        found = similar_pairs(pairs, docs, owners, MIN_PCT)
+        if turn < ROUNDS:
+            found = similar_pairs(pivot_pairs(current, turn), docs, owners, MIN_PCT)
+        else:
+            found = links_across(current, sets, docs, owners)
         links = stored(found if links is None else links.unionByName(found), "minmax-links")
         component = stored(connected(links), "minmax-components")
         current = open_members(members, component)

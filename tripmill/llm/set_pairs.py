@@ -56,16 +56,34 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, owners: DataFrame, min_pct:
         F.least(F.lit(COPIES), F.col("parts") - F.col("part")).alias("copies"),
     )
     places = stored(members.unionByName(hubs).join(owners, "set_id"), "pairs-places")
-    names = {"doc_id": "owner_id", "text_hash": "owner_hash"}
-    asked = small(places.withColumnsRenamed(names))
-    met = F.col("doc_id").eqNullSafe(F.col("owner_id")) & (F.col("text_hash") == F.col("owner_hash"))
-    found = docs.join(asked, met).select("text", "set_id", "hub", "part", "copies")
-    sets = in_small_batches(found).mapInArrow(_sets_sent, _SENT)
+    sets = _read(docs, places)
     tasks = max(1, -(-pairs.count() // EACH))
     sets = sets.repartition(tasks, "hub", "part").sortWithinPartitions("hub", "part", "member")
     return in_small_batches(sets).mapInArrow(_compared(min_pct), "a binary, b binary").distinct()
 
 
+def elements_of(ids: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+    """(set_id, elements): the whole sets, as bytes of their elements in order."""
+    asked = ids.join(owners, "set_id").select(
+        "set_id", "doc_id", "text_hash", F.col("set_id").alias("hub"), F.lit(0).alias("part"), F.lit(0).alias("copies")
+    )
+    sets = _read(docs, stored(asked, "pairs-places"))
+    return stored(sets.groupBy("set_id").agg(F.first("elements").alias("elements")), "pairs-elements")
+
+
+def shared_elements(one: np.ndarray, other: np.ndarray) -> int:
+    near = np.minimum(np.searchsorted(one, other), len(one) - 1)
+    return int((one[near] == other).sum())
+
+
+def _read(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The sets that ``places`` asks for, read from the texts that have them."""
+    asked = small(places.withColumnsRenamed({"doc_id": "owner_id", "text_hash": "owner_hash"}))
+    met = F.col("doc_id").eqNullSafe(F.col("owner_id")) & (F.col("text_hash") == F.col("owner_hash"))
+    found = docs.join(asked, met).select("text", "set_id", "hub", "part", "copies")
+    return in_small_batches(found).mapInArrow(_sets_sent, _SENT)
+
+
 _SENT = "hub binary, part int, member boolean, set_id binary, elements binary"
 
 
@@ -105,8 +123,7 @@ def _compared(min_pct: int):
                 if not member:
                     hub, place, own = at, (at, part), elements
                 elif place == (at, part):
-                    near = np.minimum(np.searchsorted(own, elements), len(own) - 1)
-                    shared = int((own[near] == elements).sum())
+                    shared = shared_elements(own, elements)
                     if 100 * shared >= min_pct * (len(own) + len(elements) - shared):
                         left.append(hub)
                         right.append(set_id)
