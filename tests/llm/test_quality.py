@@ -1,9 +1,12 @@
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tripmill.llm.line_quality import judge, keep_good, line_fails, line_report, n_repeat_words
 
+from tripmill.llm.oracle_sql import line_quality_sql
+
 from .conftest import clashing, prose
 
 
@@ -34,6 +37,25 @@ def test_base_figures(documents, no_documents):
     assert keep_good(no_documents).collect() == []
 
 
+def test_verdicts_match_the_sql(spark):
+    """The SQL states the rules a second time: long lines by sentence, phrases, marks of other scripts."""
+    long = " ".join(f"word{i}" for i in range(45))
+    texts = [
+        long, f"{long}. Read more. Then {long}! and a tail", f"{long}. privacy policy read more read more. {long}",
+        "read more read more", "thread more read", f"terms of use of cookies. {prose(3, 30)}", "नमस्ते दुनिया।",
+        "สวัสดี", f"{long}.) \u201cSo.\u201d {long} {long}: {long}", "A | B | C | D | E.", f"\n\n \n{long}\n{long}.\n{long}.",
+        "GO AWAY NOW YOU ALL. ", f"a a a a a a a a a a a. {long}.", "x's 'end.' \t", "all  rights reserved. all rights reserved.",
+        None, "", " \n ", "#" * 50 + " a.", f"{prose(5, 200)} click here to click here to. {prose(6, 30)}",
+    ]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    report = line_report(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.sql(f"SELECT {', '.join(report.columns)} FROM ({line_quality_sql()}) ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in report.orderBy("doc_id").collect()] == want
+
+
 def test_repeated_words():
     for words in (["a"] * 8, ["a"] * 9, list("abcdefgh") * 2, list("abcdefgh") + ["x"] + list("abcdefgh")):
         raw = [w.encode() for w in words]

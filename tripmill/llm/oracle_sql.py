@@ -1,12 +1,24 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+import re
+
 from tripmill.llm import license_scan, line_quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-_PHRASES = "|".join(line_quality.BOILERPLATE)
+#: A character that ends a phrase; doubled, so that neighbouring phrases do not share one.
+_EDGE = r"[^0-9a-z_\x{80}-\x{10FFFF}]"
+_PHRASES = "|".join(p.replace(" ", "  ") for p in line_quality.BOILERPLATE)
 _MARKS = ", ".join(f"'{s}'" for s in line_quality.SEPARATORS)
-_ENDS = line_quality.ENDS.replace("'", "''")
+
+
+def _pattern(text: str) -> str:
+    """A Python pattern as SQL text for DuckDB."""
+    return re.sub(r"\\u([0-9a-f]{4})", r"\\x{\1}", text).replace("'", "''")
+
+
+_ENDS = _pattern(line_quality.ENDS)
+_STOPS = _pattern(line_quality.STOPS.removesuffix("$"))
 
 
 def line_quality_sql(source: str = "documents") -> str:
@@ -25,27 +37,49 @@ def line_quality_sql(source: str = "documents") -> str:
     ), repeats AS (
       SELECT id, count(DISTINCT i + j) AS n FROM repeated, range(8) AS t(j) GROUP BY id
     ), lines AS (
-      SELECT id, line, regexp_extract_all(line, '{WORD}') AS words
+      SELECT *, row_number() OVER () AS line_id, len(regexp_extract_all(line, '{WORD}')) AS n_line
       FROM (SELECT id, unnest(string_split(text, chr(10))) AS line FROM base)
       WHERE regexp_matches(line, '{WORD}')
+    ), cut AS (
+      SELECT *, string_split(
+        regexp_replace(line, '({_STOPS})([\x20\x09-\x0D]|$)', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts
+      FROM lines
+    ), pieces AS (
+      SELECT *, CASE
+        WHEN n_line <= {line_quality.LONG_LINE} THEN [line]
+        WHEN len(parts) > 1 AND len(regexp_extract_all(parts[-1], '{WORD}')) <= {line_quality.MAX_TAIL}
+          THEN list_append(parts[:-3], parts[-2] || parts[-1])
+        ELSE parts END AS units
+      FROM cut
+    ), units AS (
+      SELECT id, line_id, line, unit, regexp_extract_all(unit, '{WORD}') AS words
+      FROM (SELECT id, line_id, line, unnest(units) AS unit FROM pieces)
     ), facts AS (
-      SELECT id, line, len(words) AS n,
-        length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
-        length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
-        length(regexp_replace(line, '[^A-Z]', '', 'g')) AS upper,
-        length(regexp_replace(line, '[^a-z]', '', 'g')) AS lower,
+      SELECT id, line_id, line, unit, len(words) AS n,
+        length(regexp_replace(unit, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+        length(regexp_replace(unit, '[^#*$%&|<>]', '', 'g')) AS symbols,
+        length(regexp_replace(unit, '[^A-Z]', '', 'g')) AS upper,
+        length(regexp_replace(unit, '[^a-z]', '', 'g')) AS lower,
         len(list_filter(words, lambda w: w IN ({_MARKS}))) AS marks,
         len(list_filter(list_zip(words[:-2], words[2:]), lambda p: p[1] = p[2])) AS twice,
         len(list_filter(words[-{line_quality.MAX_TAIL + 1}:], lambda w: regexp_matches(w, '{_ENDS}'))) AS ends,
-        regexp_matches(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-          '{_PHRASES}') AS phrase
-      FROM lines
+        coalesce(list_sum(list_transform(
+          regexp_extract_all(
+            regexp_replace(
+              translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '({_EDGE})', '\1\1', 'g'),
+            '(?:^|{_EDGE})({_PHRASES})(?:$|{_EDGE})', 1),
+          lambda p: len(string_split(p, '  ')))), 0) AS phrases
+      FROM units
     ), judged AS (
       SELECT *, ends = 0 OR 10 * symbols > 3 * n OR (marks >= 3 AND 5 * marks >= n)
-        OR (n >= 5 AND upper > lower) OR (n >= 10 AND 4 * twice > n) OR phrase AS bad FROM facts
+        OR (n >= 5 AND upper > lower) OR (n >= 10 AND 4 * twice > n)
+        OR (phrases > 0 AND 100 * phrases >= {line_quality.PHRASE_PCT} * n) AS bad FROM facts
+    ), by_line AS (
+      SELECT id, line_id, any_value(line) AS line, bool_and(bad) AS gone,
+        coalesce(sum(chars) FILTER (bad), 0) AS lost FROM judged GROUP BY id, line_id
     ), by_doc AS (
-      SELECT id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (bad) AS removed,
-        coalesce(sum(chars) FILTER (bad), 0) AS lost FROM judged GROUP BY id
+      SELECT id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (gone) AS removed,
+        sum(lost) AS lost FROM by_line GROUP BY id
     ), figures AS (
       SELECT id, doc_id, text, len(words) AS n_words,
         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
