@@ -63,7 +63,6 @@ def test_pieces_follow_the_round_robin(data):
 
 def check_packing(df, docs, seq_len=mixture_pack.SEQ_LEN):
     bpe = Tokenizer.from_file(VOCABULARY)
-    bpe.encode_special_tokens = True
     want = sorted(
         (repr(d), tuple(bpe.encode(t or "", add_special_tokens=False).ids) + (0,)) for d, t in docs
     )
@@ -113,10 +112,19 @@ def test_tokens_are_those_of_the_vocabulary_file(documents):
     bpe = Tokenizer.from_file(VOCABULARY)
     fast, kind = mixture_pack.encoding(VOCABULARY)
     for r in documents.collect():
-        assert fast.encode_ordinary(r.text or "") == bpe.encode(r.text or "", add_special_tokens=False).ids
+        assert fast.encode(r.text or "", allowed_special="all") == bpe.encode(r.text or "", add_special_tokens=False).ids
     assert kind == np.dtype("<u2")
 
 
+def test_added_tokens_keep_their_ids(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y \n", "<|endoftext |>", "<|END|>"]
+    fast, _ = mixture_pack.encoding(VOCABULARY)
+    assert fast.encode(texts[0], allowed_special="all") == [64, 220, 50256, 275]
+    data = [(i, t, "s") for i, t in enumerate(texts * 30)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(3)
+    check_packing(pack(docs, VOCABULARY, seq_len=32, serve=8), [d[:2] for d in data], 32)
+
+
 def test_windows_hold_the_wanted_shares(spark):
     data = [(i, "word " * 300, "big" if i % 3 else "small") for i in range(120)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(6)

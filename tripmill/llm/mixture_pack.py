@@ -58,20 +58,24 @@ def encoding(path: str) -> tuple[tiktoken.Encoding, np.dtype]:
 
     A vocabulary of this kind spells each byte as a printable character: the
     printable ones as themselves, the others from code point 256 on. Its ids are
-    the ranks of its merges, which is all the faster encoder needs.
+    the ranks of its merges, which is all the faster encoder needs. Added tokens are
+    cut out of a text before it is split, wherever they stand.
     """
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        stored_file = json.load(file)
+    vocabulary = stored_file["model"]["vocab"]
+    added = {token["content"]: token["id"] for token in stored_file["added_tokens"]}
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(printable)]
     spelled = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {
         bytes(spelled[c] for c in token): rank
         for token, rank in vocabulary.items()
-        if all(c in spelled for c in token) and not (token[:2] == "<|" and token[-2:] == "|>")
+        if all(c in spelled for c in token) and token not in added
     }
-    made = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    return made, np.dtype("<u2" if max(ranks.values()) < 1 << 16 else "<u4")
+    made = tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
+    most = max(*ranks.values(), *added.values())
+    return made, np.dtype("<u2" if most < 1 << 16 else "<u4")
 
 
 def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -91,7 +95,7 @@ def tokenized(docs: DataFrame, vocabulary: str) -> DataFrame:
             ids, counts, before = [], [], []
             sources = batch.column(2).to_pylist()
             for text, source in zip(text_bytes(batch.column(1)), sources):
-                found = bpe.encode_ordinary(text.decode("utf-8", "replace"))
+                found = bpe.encode(text.decode("utf-8", "replace"), allowed_special="all")
                 found.append(END_ID)
                 before.append(sums.get(source, 0))
                 sums[source] = before[-1] + len(found)
