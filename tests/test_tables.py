@@ -1,9 +1,12 @@
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tripmill.contract import BATCH_SCHEMA
+from tripmill.operators.quality import stored_schema_gate
+from tripmill.sources import footers
 from tripmill.sources.tables import (
     SchemaMismatch,
     append_batch,
@@ -58,6 +61,64 @@ def test_load_trips_from_one_folder_and_a_glob(spark, tmp_path):
         assert loaded.agg(F.sum("passenger_count")).first()[0] == 18.0
 
 
+def jobs_of(spark, name, work):
+    """The result, and how many Spark jobs it took."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def many_files(spark, tmp_path, folders, each):
+    """Small files of two types, written without Spark."""
+    for i, (folder, kind) in enumerate(folders):
+        one = month(spark, str(tmp_path / f"one{i}"), kind)
+        table = pq.read_table(one)
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        for n in range(each):
+            pq.write_table(table, tmp_path / folder / f"{kind}-{n}.parquet")
+
+
+def test_thousands_of_files_are_typed_by_three_jobs(spark, tmp_path):
+    many_files(spark, tmp_path, [("all/m=04", "bigint"), ("all/m=05", "double")], 2500)
+    load, jobs = jobs_of(spark, "footers", lambda: load_trips(spark, [str(tmp_path / "all")]))
+    assert jobs <= 3
+    assert len(load.inputFiles()) == 5000 and load.count() == 20_000
+    assert load.agg(F.sum("passenger_count")).first()[0] == 30_000.0
+
+
+def test_files_of_two_types_in_one_folder(spark, tmp_path):
+    many_files(spark, tmp_path, [("all", "bigint"), ("all", "double"), ("all/odd [x]{y}", "int")], 20)
+    loaded = load_trips(spark, [str(tmp_path / "all")])
+    assert loaded.schema == BATCH_SCHEMA and loaded.count() == 240
+    assert loaded.agg(F.sum("passenger_count")).first()[0] == 360.0
+
+
+def test_files_that_tasks_cannot_open_are_typed_by_spark(spark, tmp_path, monkeypatch):
+    many_files(spark, tmp_path, [("all", "bigint"), ("all", "double")], 3)
+    before = load_trips(spark, [str(tmp_path / "all")]).count()
+    opaque = [footers.Layout(None, frozenset(), "", 6, {str(tmp_path / "all")})]
+    monkeypatch.setattr("tripmill.sources.tables.layouts", lambda *a: opaque)
+    assert load_trips(spark, [str(tmp_path / "all")]).count() == before == 24
+    assert footers.footer("viewfs://store/x.parquet", ["a"]) == (None, "")
+
+
+def test_one_file_without_a_column_is_found(spark, tmp_path):
+    many_files(spark, tmp_path, [("all", "bigint")], 30)
+    whole = pq.read_table(tmp_path / "all" / "bigint-0.parquet")
+    pq.write_table(whole.drop_columns(["tip_amount"]), tmp_path / "all" / "bigint-17.parquet")
+    with pytest.raises(SchemaMismatch, match="tip_amount"):
+        load_trips(spark, [str(tmp_path / "all")])
+    found = stored_schema_gate(spark, str(tmp_path / "all"), BATCH_SCHEMA.names).first()
+    assert (found.passed, found.observed) == (False, len(BATCH_SCHEMA.names) - 1)
+    parted = stored_schema_gate(spark, str(tmp_path / "none"), ["a"]).first()
+    assert (parted.passed, parted.observed) == (False, 0)
+    spark.range(4).selectExpr("id", "id % 2 AS p").write.partitionBy("p").parquet(str(tmp_path / "q=1" / "parted"))
+    found = stored_schema_gate(spark, str(tmp_path / "q=1" / "parted"), ["id", "p", "q"]).first()
+    assert (found.passed, found.observed) == (False, 2)
+
+
 def test_load_trips_names_missing_columns(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "bad"))
     with pytest.raises(SchemaMismatch, match="lpep_pickup_datetime"):

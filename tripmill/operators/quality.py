@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.contract import SOURCE_TYPES, TRIP_SCHEMA, EventSpec, PipelineConfig
 from tripmill.session import clock, configure
+from tripmill.sources.footers import columns_everywhere
 
 
 @dataclass(frozen=True)
@@ -129,12 +129,13 @@ def schema_gate(df: DataFrame, required: Sequence[str] = tuple(TRIP_SCHEMA.names
 def stored_schema_gate(
     spark: SparkSession, path: str, required: Sequence[str] = tuple(TRIP_SCHEMA.names)
 ) -> DataFrame:
-    """As ``schema_gate``, on the columns that written files have; no files have no columns."""
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        stored = spark.createDataFrame([], "none int")
-    return schema_gate(stored, required)
+    """As ``schema_gate``, on the columns that every written file has; no files have no columns.
+
+    The footers of all files are read, by tasks: one file that lacks a column fails the gate.
+    """
+    observed = columns_everywhere(spark, path, required)[1]
+    row = [("required_columns", observed == len(set(required)), observed)]
+    return spark.createDataFrame(row, "gate string, passed boolean, observed bigint")
 
 
 def freshness_gate(df: DataFrame, as_of: datetime | None, within: timedelta) -> DataFrame:

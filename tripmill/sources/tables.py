@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -16,6 +19,7 @@ from pyspark.sql import types as T
 from tripmill.contract import BATCH_SCHEMA
 from tripmill.functions.numeric import to_integer
 from tripmill.session import configure
+from tripmill.sources.footers import Layout, data_files, files_of, layouts
 
 
 FOOTERS = 16
@@ -31,36 +35,89 @@ def load_trips(
     """Load monthly Parquet files, directories or globs as one table of ``schema``.
 
     Months may store a column with different numeric types, which one Parquet
-    read cannot merge, also within one directory. Each file is typed by its own
-    footer and cast; files that agree are read by one scan. The footers
-    are read by one small job per file, ``FOOTERS`` of them at a time.
+    read cannot merge, also within one directory. Footers are read by one job
+    (``sources.footers``) and grouped by the types they store; Spark names the types
+    of one file of each group, and each group is one scan, by folders where
+    a folder's files agree. Files of a store that only Spark can open are typed one by one.
     """
     configure(spark)
     if not paths:
         raise ValueError("no paths given")
+    found = layouts(spark, paths, schema.names)
+    if not found:
+        raise ValueError("no Parquet files found")
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    if any(layout.layout is None for layout in found):
+        for types, file in typed_one_by_one(spark, paths, schema):
+            groups.setdefault(types.json(), (types, []))[1].append(file)
+    else:
+        for types, files in typed_by_layout(spark, paths, found, schema):
+            groups.setdefault(types.json(), (types, []))[1].extend(files)
+    # Folders are read whole, and what they are named by is no column of theirs.
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    parts = [to_schema(reader.schema(types).parquet(*group), schema) for types, group in groups.values()]
+    return reduce(DataFrame.unionByName, parts)
 
-    def types(file: str) -> T.StructType:
-        return assert_schema(spark.read.parquet(file), schema).schema
 
-    files = data_files(spark, paths)
-    if not files:
-        raise ValueError("no Parquet files found")
-    same_types: dict[str, tuple[T.StructType, list[str]]] = {}
+def typed_by_layout(
+    spark: SparkSession, paths: Sequence[str], found: Sequence[Layout], schema: T.StructType
+) -> Iterator[tuple[T.StructType, list[str]]]:
+    """(types, paths to read) for every layout of the wanted columns."""
+    folders: dict[str, set[str]] = {}
+    samples: dict[str, str] = {}
+    for layout in found:
+        require_columns(layout.columns, schema, layout.sample)
+        folders.setdefault(layout.layout, set()).update(layout.folders)
+        samples.setdefault(layout.layout, layout.sample)
+    layouts_in = Counter(folder for own in folders.values() for folder in own)
+    in_order = sorted(f"{folder}/" for folder in layouts_in)
+    all_below = whole_folders(spark, paths)
+    for layout, own in folders.items():
+        types = assert_schema(spark.read.parquet(literal(samples[layout])), schema).schema
+        alone = {f for f in own if all_below and layouts_in[f] == 1}
+        files = [
+            literal(folder) + ("/*.parquet" if has_below(in_order, folder) else "") for folder in sorted(alone)
+        ]
+        if own - alone:
+            files += map(literal, files_of(spark, paths, layout, own - alone, schema.names))
+        yield types, files
+
+
+def has_below(folders: Sequence[str], folder: str) -> bool:
+    """Whether sorted folder names, each with a final slash, have one below ``folder``."""
+    following = bisect_right(folders, f"{folder}/")
+    return following < len(folders) and folders[following].startswith(f"{folder}/")
+
+
+def literal(path: str) -> str:
+    """A path whose characters stand for themselves where globs are read."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def whole_folders(spark: SparkSession, paths: Sequence[str]) -> bool:
+    """Whether the paths name folders, so that all files of a folder below them are meant."""
+
+    def is_folder(path: str) -> bool:
+        found, system = _file_system(spark, path)
+        return system.exists(found) and system.getFileStatus(found).isDirectory()
+
+    return all(is_folder(path) for path in paths)
+
+
+def typed_one_by_one(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType
+) -> list[tuple[T.StructType, str]]:
+    """(types, file) by a small Spark job per file, ``FOOTERS`` of them at a time."""
+    files = [literal(r.path) for r in data_files(spark, paths).distinct().collect()]
     with ThreadPool(FOOTERS) as pool:
-        for file, found in zip(files, pool.map(types, files), strict=True):
-            same_types.setdefault(found.json(), (found, []))[1].append(file)
-    parts = [
-        to_schema(spark.read.schema(found).parquet(*group), schema)
-        for found, group in same_types.values()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+        types = pool.map(lambda f: assert_schema(spark.read.parquet(f), schema).schema, files)
+    return list(zip(types, files, strict=True))
 
 
-def data_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """The Parquet files below files, directories and globs: a listing, no content is read."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    found = listing.option("pathGlobFilter", "*.parquet").load(list(paths)).select("path")
-    return sorted(row.path for row in found.distinct().collect())
+def require_columns(columns: Iterable[str], schema: T.StructType, place: str) -> None:
+    absent = [name for name in schema.names if name not in columns]
+    if absent:
+        raise SchemaMismatch("missing columns: " + ", ".join(absent) + f" in {place}")
 
 
 def assert_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
