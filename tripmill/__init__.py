@@ -23,6 +23,7 @@ from tripmill.plans.marts import daily_mart, monthly_mart
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report
 from tripmill.session import configure
 from tripmill.sources.events import encode_events, file_events, kafka_events, text_events
+from tripmill.sources.releases import drop_abandoned, last_release
 from tripmill.sources.tables import (
     append_batch,
     compact,
@@ -31,6 +32,7 @@ from tripmill.sources.tables import (
     load_trips,
     read_loads,
     read_table,
+    released_tables,
     replace_table,
 )
 from tripmill.streaming.etl import StreamTables, stream_etl

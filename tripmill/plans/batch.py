@@ -25,7 +25,7 @@ from tripmill.plans.marts import DAILY_CLUSTER, DAILY_PARTITION, daily_mart, mon
 from tripmill.session import configure
 from tripmill.sources.tables import (
     load_trips,
-    publish,
+    publish_together,
     read_loads,
     replace_table,
     run_path,
@@ -74,8 +74,8 @@ def run_batch(
     ``batch`` is the monthly file paths or a loaded frame; ``stream`` the path
     of the valid-event table or a frame of it. Every layer is written before
     the next one reads it, so nothing is computed twice and a lost executor
-    costs only the layer in progress. A table is published when its gates have
-    passed; until then readers see its last version.
+    costs only the layer in progress. When all gates have passed, one release names
+    all four tables; until then readers see the tables of the last one.
     """
     configure(spark)
     loaded = batch if isinstance(batch, DataFrame) else load_trips(spark, batch)
@@ -86,7 +86,6 @@ def run_batch(
 
     staging = write(dated(loaded), "stg_batch", ["pickup_date"], BATCH_CLUSTER)
     gates = require(run_gates(staging, STAGING_GATES))
-    publish(staging, "stg_batch", root, run_id, keep)
 
     built = build_intermediate(in_period(staging, cfg), events, cfg)
     trips = write(built, "int_trips", INT_PARTITION, INT_CLUSTER)
@@ -94,13 +93,12 @@ def run_batch(
         stored_schema_gate(spark, run_path(root, "int_trips", run_id)),
         run_gates(trips, [*intermediate_gates(cfg.event), stream_present(cfg)]),
     )
-    publish(trips, "int_trips", root, run_id, keep)
 
     daily = write(daily_mart(trips), "mart_daily", DAILY_PARTITION, DAILY_CLUSTER)
     monthly = write(monthly_mart(trips), "mart_monthly")
     gates += require(
         run_gates(daily, MART_GATES), reconciliation_gate(reconcile(trips, daily, how="full"))
     )
-    publish(daily, "mart_daily", root, run_id, keep)
-    publish(monthly, "mart_monthly", root, run_id, keep)
+    tables = {"stg_batch": staging, "int_trips": trips, "mart_daily": daily, "mart_monthly": monthly}
+    publish_together(tables, root, run_id, keep)
     return BatchTables(staging, trips, daily, monthly, gates)

@@ -1,4 +1,4 @@
-"""Parquet tables: schema-checked load, full replace by versions, replay-safe append, compaction."""
+"""Parquet tables: schema-checked load, full replace by releases, replay-safe append, compaction."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import re
 import uuid
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -20,6 +20,17 @@ from tripmill.contract import BATCH_SCHEMA
 from tripmill.functions.numeric import to_integer
 from tripmill.session import configure
 from tripmill.sources.footers import Layout, data_files, files_of, layouts
+from tripmill.sources.releases import (
+    Release,
+    Run,
+    delete,
+    drop_old,
+    file_system,
+    last_release,
+    make_release,
+    names_in,
+    take_lease,
+)
 
 
 FOOTERS = 16
@@ -98,7 +109,7 @@ def whole_folders(spark: SparkSession, paths: Sequence[str]) -> bool:
     """Whether the paths name folders, so that all files of a folder below them are meant."""
 
     def is_folder(path: str) -> bool:
-        found, system = _file_system(spark, path)
+        found, system = file_system(spark, path)
         return system.exists(found) and system.getFileStatus(found).isDirectory()
 
     return all(is_folder(path) for path in paths)
@@ -173,9 +184,6 @@ def write_run(
     writer.parquet(path)
 
 
-VERSIONS = "version bigint, run_id string, columns string"
-
-
 def run_path(root: str, name: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/{name}/run={run_id}"
 
@@ -189,48 +197,54 @@ def write_candidate(
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Write a new content of table ``name`` and read it back; readers do not see it yet."""
+    take_lease(df.sparkSession, root, run_id)
     path = run_path(root, name, run_id)
     write_run(df, path, partition_by, cluster_by)
     return read_table(df.sparkSession, path, df.schema)
 
 
-def versions(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The table's versions: number, run and columns. A table never published has none."""
-    path = f"{root.rstrip('/')}/{name}/versions"
-    try:
-        return spark.read.schema(VERSIONS).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], VERSIONS)
+def publish(
+    written: DataFrame, name: str, root: str, run_id: str, keep: int | None = None
+) -> Release:
+    """Make a run's rows the content of table ``name``, for this and all other sessions."""
+    return publish_together({name: written}, root, run_id, keep)
 
 
-def publish(written: DataFrame, name: str, root: str, run_id: str, keep: int | None = None) -> None:
-    """Make a run's rows the content of table ``name``, for this and all other sessions.
+def publish_together(
+    written: Mapping[str, DataFrame], root: str, run_id: str, keep: int | None = None
+) -> Release:
+    """Make a run's rows the content of several tables at once, by one release.
 
-    A version is one row in one file, which appears at once or not at all. With
-    ``keep``, runs that none of the last ``keep`` versions name are deleted.
+    With ``keep``, runs that only releases before the last ``keep`` ones name are deleted.
     """
-    spark = written.sparkSession
-    last = versions(spark, root, name).agg(F.max("version")).first()[0] or 0
-    row = [(last + 1, run_id, written.schema.json())]
-    path = f"{root.rstrip('/')}/{name}/versions"
-    spark.createDataFrame(row, VERSIONS).coalesce(1).write.mode("append").parquet(path)
+    spark = next(iter(written.values())).sparkSession
+    runs = {name: Run(run_id, df.schema.json()) for name, df in written.items()}
+    made = make_release(spark, root, runs)
     if keep is not None:
-        recent = versions(spark, root, name).orderBy(F.desc("version")).limit(max(1, keep))
-        kept = {f"run={r.run_id}" for r in recent.collect()}
-        for folder in folders(spark, f"{root.rstrip('/')}/{name}"):
-            if folder.startswith("run=") and folder not in kept:
-                delete(spark, f"{root.rstrip('/')}/{name}/{folder}")
+        drop_old(spark, root, keep)
+    return made
+
+
+def released_tables(spark: SparkSession, root: str, release: Release | None = None) -> dict[str, DataFrame]:
+    """All tables below ``root`` as one release has them, the last one by default."""
+    release = release or last_release(spark, root)
+    if release is None:
+        return {}
+    return {
+        name: read_table(spark, run_path(root, name, run.run_id), T.StructType.fromJson(json.loads(run.columns)))
+        for name, run in release.tables.items()
+    }
 
 
 def current_table(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """The published content of table ``name`` below ``root``."""
-    newest = versions(spark, root, name).orderBy(F.desc("version"), F.desc("run_id")).first()
-    if newest is None:
+    """The published content of table ``name`` below ``root``.
+
+    Several tables that belong together are read by ``released_tables``, from one release.
+    """
+    release = last_release(spark, root)
+    if release is None or name not in release.tables:
         raise LookupError(f"table {name} below {root} has not been published")
-    schema = T.StructType.fromJson(json.loads(newest.columns))
-    return read_table(spark, run_path(root, name, newest.run_id), schema)
+    return released_tables(spark, root, Release(release.number, {name: release.tables[name]}))[name]
 
 
 def replace_table(
@@ -244,7 +258,7 @@ def replace_table(
 ) -> DataFrame:
     """Replace table ``name`` by the rows of ``df`` and read it back.
 
-    Rows go to a directory of this run; only then is a version naming it added.
+    Rows go to a directory of this run; only then does a release name it.
     Readers see the old table or the new one, a failed write leaves the old
     one in place, and a rerun with the same ``run_id`` writes the same place.
     """
@@ -253,25 +267,6 @@ def replace_table(
     return written
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    found = jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def folders(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a path, in whatever file system it is."""
-    found, system = _file_system(spark, path)
-    if not system.exists(found):
-        return []
-    return [status.getPath().getName() for status in system.listStatus(found)]
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    found, system = _file_system(spark, path)
-    system.delete(found, True)
-
-
 def append_batch(
     df: DataFrame,
     path: str,
@@ -332,7 +327,7 @@ def compact(
     once, when the compaction is noted; ``drop_replaced`` deletes the old files later.
     """
     gone = {r.old_load for r in replaced_loads(spark, path).collect()}
-    names = [f.removeprefix("load_id=") for f in folders(spark, path) if f.startswith("load_id=")]
+    names = [f.removeprefix("load_id=") for f in names_in(spark, path) if f.startswith("load_id=")]
     queries: dict[str, list[tuple[int, str]]] = {}
     for name in names:
         query, _, number = name.rpartition("-")
@@ -353,7 +348,7 @@ def compact(
 def drop_replaced(spark: SparkSession, path: str) -> int:
     """Delete the files of loads that compactions have replaced; how many there were."""
     gone = {f"load_id={r.old_load}" for r in replaced_loads(spark, path).collect()}
-    found = [name for name in folders(spark, path) if name in gone]
+    found = [name for name in names_in(spark, path) if name in gone]
     for name in found:
         delete(spark, f"{path.rstrip('/')}/{name}")
     return len(found)
