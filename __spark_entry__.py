@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
-from importlib.util import find_spec
 from datetime import timedelta
 from functools import reduce
 from pathlib import Path
@@ -41,7 +40,7 @@ from tripmill.operators.conform import (  # noqa: E402
     conform_batch,
     conform_stream,
 )
-from tripmill.operators.dedup import rank_latest  # noqa: E402
+from tripmill.operators.dedup import rank_latest_spread  # noqa: E402
 from tripmill.operators.validate import rejected_events, valid_events  # noqa: E402
 from tripmill.plans.batch import replace_staging, run_batch  # noqa: E402
 from tripmill.plans.intermediate import build_intermediate, unify  # noqa: E402
@@ -49,7 +48,8 @@ from tripmill.plans.marts import daily_mart, monthly_mart  # noqa: E402
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report  # noqa: E402
 from tripmill.session import configure, shared_dir  # noqa: E402
 from tripmill.sources.events import encode_events, file_events  # noqa: E402
-from tripmill.sources.tables import load_trips, write_candidate  # noqa: E402
+from tripmill.sources.releases import last_release  # noqa: E402
+from tripmill.sources.tables import load_trips, released_tables, write_candidate  # noqa: E402
 from tripmill.streaming.etl import StreamTables, stream_etl  # noqa: E402
 
 TABLES = (
@@ -114,7 +114,7 @@ def trip_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     unified = unify(batch_trips(spark, sf_dir), stream_trips(spark, sf_dir), CONFIG)
-    ranked = rank_latest(unified, ["trip_id"], ["ingestion_time"])
+    ranked = rank_latest_spread(unified, ["trip_id"], ["ingestion_time"])
     return ranked.select("trip_id", "ingestion_time", "tip_amount", "row_number")
 
 
@@ -265,21 +265,40 @@ def pipeline_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_vs_stream_report(built.daily)
 
 
+def release_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all tables of the last release: a later run that fails a gate leaves it as it is."""
+    root = shared_dir(spark, "warehouse")
+    batch, events = batch_trips(spark, sf_dir), stream_trips(spark, sf_dir)
+    run_batch(spark, batch, events, root, "good", CONFIG)
+    try:
+        run_batch(spark, batch, events.limit(0), root, "bad", CONFIG)
+    except quality.GateFailure:
+        pass
+    release = last_release(spark, root)
+    counted = [
+        df.agg(F.count("*").alias("row_count")).select(
+            F.lit(release.number).cast("bigint").alias("release"), F.lit(name).alias("table_id"), "row_count"
+        )
+        for name, df in released_tables(spark, root, release).items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def corpus_queries() -> tuple[dict, dict]:
-    """Queries and oracles of the llm subpackage and its pipeline, if they are there."""
-    found, oracles = {}, {}
-    if find_spec("tripmill.llm"):
+    """Queries and oracles of the llm subpackage and its pipeline, if they can be imported."""
+    try:
         from tripmill.llm import oracle_sql as corpus_sql
         from tripmill.llm import queries as corpus
-
-        found |= corpus.QUERIES
-        oracles |= corpus_sql.ORACLES
-        if find_spec("corpus_pipeline"):
-            import corpus_pipeline
-
-            found["pipeline"] = corpus_pipeline.run
-            if corpus_pipeline.ORACLE_SQL:
-                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        return {}, {}
+    found, oracles = dict(corpus.QUERIES), dict(corpus_sql.ORACLES)
+    try:
+        import corpus_pipeline
+    except ImportError:
+        return found, oracles
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, oracles
 
 
@@ -334,6 +353,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_etl_accounting": stream_etl_accounting,
         "pipeline_tables": pipeline_tables,
         "pipeline_report": pipeline_report,
+        "release_tables": release_tables,
         **corpus_queries()[0],
     }
 

@@ -553,5 +553,7 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT 'mart_monthly', count(*) FROM mart_monthly""",
     ),
 }
+ORACLES["release_tables"] = f"""SELECT CAST(1 AS BIGINT) AS release, table_id, row_count
+  FROM ({ORACLES["pipeline_tables"]}) WHERE table_id <> 'stg_stream'"""
 ORACLES["stream_etl_rejects"] = ORACLES["reject_profile"]
 ORACLES["stream_etl_accounting"] = ORACLES["route_counts"]

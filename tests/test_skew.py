@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripmill.adapters import CONFIG, batch_trips
 from tripmill.operators.conform import conform_batch
-from tripmill.operators.dedup import dedup_latest
+from tripmill.operators.dedup import dedup_latest, rank_latest, rank_latest_spread
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -85,6 +85,28 @@ def test_hot_trip_sends_one_row_per_task(spark, small_partitions):
     assert metrics == 60_000 + 8
 
 
+@pytest.mark.parametrize("alike", [False, True])
+def test_a_hot_key_is_ranked_by_many_tasks(spark, small_partitions, alike):
+    """A third of the rows have one key, or are even alike; no task ranks more than a share of them."""
+    rows = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5000).cast("bigint").alias("trip"),
+        (F.lit(7) if alike else F.when(F.col("id") % 11 > 0, F.col("id") % 997)).cast("bigint").alias("seen"),
+        (F.lit(1) if alike else F.col("id") % 13).alias("tip"),
+    )
+    want = rank_latest(rows, ["trip"], ["seen"])
+    got = rank_latest_spread(rows, ["trip"], ["seen"], hot_rows=1000)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    tasks = got.where("trip IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 5000
+
+
+def test_keys_without_many_rows_need_no_parts(spark):
+    rows = spark.range(100).selectExpr("id % 10 AS trip", "id AS seen")
+    got = rank_latest_spread(rows, ["trip"], ["seen"], hot_rows=10)
+    assert "RangePartitioning" not in explained(got) and got.where("row_number = 10").count() == 10
+
+
 def _metric(df, node: str, name: str) -> int:
     """An SQL metric of the plan that ran, looked up by node and metric name."""
     plan = df._jdf.queryExecution().executedPlan().executedPlan()

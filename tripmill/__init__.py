@@ -14,7 +14,7 @@ from tripmill.operators.audit import (
     table_inventory,
 )
 from tripmill.operators.conform import apply_rules, conform, conform_batch, conform_stream
-from tripmill.operators.dedup import dedup_latest, rank_latest
+from tripmill.operators.dedup import dedup_latest, rank_latest, rank_latest_spread
 from tripmill.operators.quality import Gate, GateFailure, require, run_gates, schema_gate
 from tripmill.operators.validate import enrich, split_valid, validate_events
 from tripmill.plans.batch import run_batch
