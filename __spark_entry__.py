@@ -51,6 +51,7 @@ from tripmill.sources.events import encode_events, file_events  # noqa: E402
 from tripmill.sources.releases import last_release  # noqa: E402
 from tripmill.sources.tables import load_trips, released_tables, write_candidate  # noqa: E402
 from tripmill.streaming.etl import StreamTables, stream_etl  # noqa: E402
+from tripmill.streaming.ledger import BatchLedger, ledger_gates, ledger_totals  # noqa: E402
 
 TABLES = (
     "benchmark",
@@ -231,6 +232,34 @@ def stream_etl_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ledger_of_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of a stream that stops and goes on with late events from its checkpoint."""
+    root = shared_dir(spark, "stream")
+    payloads = raw_events(spark, sf_dir).withColumn("late", F.crc32("value") % 3 == 0)
+    tables = StreamTables(f"{root}/valid", f"{root}/dead_letter")
+    for part, late in (("1", False), ("2", True)):
+        chosen = payloads.filter(F.col("late") == late).select("value").repartition(6, "value")
+        chosen.write.parquet(f"{root}/landing/{part}")
+        source = file_events(spark, f"{root}/landing/*", files_per_trigger=2)
+        ledger = BatchLedger(spark, f"{root}/ledger")
+        query = stream_etl(
+            source, tables, f"{root}/checkpoint", CONFIG.event, CONFIG.as_of, ledger=ledger
+        )
+        query.awaitTermination()
+        ledger.wait()
+    return ledger.read()
+
+
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream's own metrics say went in and out, without reading its tables."""
+    return ledger_totals(ledger_of_stream(spark, sf_dir))
+
+
+def gates_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gates = ledger_gates(ledger_of_stream(spark, sf_dir), CONFIG.as_of, timedelta(days=40))
+    return gates.select("gate", "passed")
+
+
 def pipeline_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream run, then batch run with all gates; rows of every table written."""
     _, stream = run_stream(spark, sf_dir)
@@ -351,6 +380,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_etl_restart": stream_etl_restart,
         "stream_etl_rejects": stream_etl_rejects,
         "stream_etl_accounting": stream_etl_accounting,
+        "stream_ledger": stream_ledger,
+        "gates_ledger": gates_ledger,
         "pipeline_tables": pipeline_tables,
         "pipeline_report": pipeline_report,
         "release_tables": release_tables,

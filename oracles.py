@@ -557,3 +557,6 @@ ORACLES["release_tables"] = f"""SELECT CAST(1 AS BIGINT) AS release, table_id, r
   FROM ({ORACLES["pipeline_tables"]}) WHERE table_id <> 'stg_stream'"""
 ORACLES["stream_etl_rejects"] = ORACLES["reject_profile"]
 ORACLES["stream_etl_accounting"] = ORACLES["route_counts"]
+ORACLES["stream_ledger"] = ORACLES["route_counts"]
+ORACLES["gates_ledger"] = f"""SELECT 'ledger_balanced' AS gate, accounted AS passed FROM ({ORACLES["route_counts"]})
+  UNION ALL SELECT 'ledger_complete', true UNION ALL SELECT gate, passed FROM ({ORACLES["gate_freshness"]})"""

@@ -36,5 +36,6 @@ from tripmill.sources.tables import (
     replace_table,
 )
 from tripmill.streaming.etl import StreamTables, stream_etl
+from tripmill.streaming.ledger import BatchLedger, ledger_gates, ledger_totals
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -86,6 +86,7 @@ def validate_events(
         F.expr("count(1) AS consumed"),
         F.expr("count_if(error_code IS NULL) AS valid"),
         F.expr("count_if(error_code IS NOT NULL) AS rejected"),
+        F.expr("max(CASE WHEN error_code IS NULL THEN ingestion_time END) AS newest_ingestion"),
     )
 
 

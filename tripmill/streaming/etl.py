@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tripmill.contract import DEAD_LETTER_SCHEMA, VALID_SCHEMA, EventSpec
 from tripmill.operators.validate import split_valid, validate_events
 from tripmill.sources.tables import append_batch, compact, read_loads
+from tripmill.streaming.ledger import BatchLedger
 
 STREAM_PARTITION = ("pickup_date",)
 STREAM_CLUSTER = ("pickup_location_id", "payment_type")
@@ -44,6 +45,7 @@ def stream_etl(
     spec: EventSpec | None = None,
     as_of: datetime | None = None,
     trigger: Mapping[str, object] | None = None,
+    ledger: BatchLedger | None = None,
 ) -> StreamingQuery:
     """Start validating ``events`` into the two tables.
 
@@ -55,7 +57,8 @@ def stream_etl(
     so a replay also decides alike.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``; the default works
-    off what is there and stops. ``{"processingTime": "1 minute"}`` runs on.
+    off what is there and stops. ``{"processingTime": "1 minute"}`` runs on. ``ledger``
+    gets the counts of every batch.
     """
     validated = validate_events(events, spec, as_of, payload=events.columns[0])
     query_id: list[str] = []
@@ -73,7 +76,13 @@ def stream_etl(
             rows.unpersist()
 
     writer = validated.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    writer = writer.trigger(**(trigger or {"availableNow": True}))
+    if ledger is None:
+        return writer.start()
+    events.sparkSession.streams.addListener(ledger)
+    query = writer.start()
+    ledger.follow(query)
+    return query
 
 
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
