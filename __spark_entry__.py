@@ -176,6 +176,11 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.reconcile(*written_tables(spark, sf_dir))
 
 
+def content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built, daily = written_tables(spark, sf_dir)
+    return audit.reconcile_content(audit.content_sums(built), built, daily).drop("same_trips", "same_mart")
+
+
 def publish_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_trips(spark, sf_dir).select(*EVENT_SCHEMA.names)
     text = F.decode(F.col("value"), "UTF-8").alias("payload")
@@ -369,6 +374,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gates_mart": gates_mart,
         "gate_freshness": gate_freshness,
         "reconciliation": reconciliation,
+        "content_reconciliation": content_reconciliation,
         "coverage": on(trips, audit.coverage),
         "lineage_counts": on(trips, audit.lineage_counts),
         "duplicate_rows": on(trips, audit.duplicate_rows),

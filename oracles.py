@@ -543,6 +543,12 @@ ORACLES: dict[str, str] = {
     + "\nORDER BY table_id",
     "stream_etl_valid": query(EVENTS, then="SELECT * FROM valid_events"),
     "stream_etl_restart": query(EVENTS, then="SELECT * FROM valid_events"),
+    "content_reconciliation": query(
+        *TRIPS,
+        MARTS,
+        then="""SELECT pickup_date, source_type, trip_count AS trip_rows, trip_count AS mart_rows,
+          true AS reconciled FROM mart_daily""",
+    ),
     "pipeline_tables": query(
         *TRIPS,
         MARTS,
@@ -554,7 +560,9 @@ ORACLES: dict[str, str] = {
     ),
 }
 ORACLES["release_tables"] = f"""SELECT CAST(1 AS BIGINT) AS release, table_id, row_count
-  FROM ({ORACLES["pipeline_tables"]}) WHERE table_id <> 'stg_stream'"""
+  FROM (SELECT CASE table_id WHEN 'stg_stream' THEN 'trip_sums' ELSE table_id END AS table_id,
+    CASE table_id WHEN 'stg_stream' THEN (max(row_count) FILTER (table_id = 'mart_daily') OVER ())
+      ELSE row_count END AS row_count FROM ({ORACLES["pipeline_tables"]}))"""
 ORACLES["stream_etl_rejects"] = ORACLES["reject_profile"]
 ORACLES["stream_etl_accounting"] = ORACLES["route_counts"]
 ORACLES["stream_ledger"] = ORACLES["route_counts"]

@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 from conftest import AS_OF, event
+from pyspark.sql import functions as F
 from test_conform_dedup import staged
 
 from tripmill.contract import (
@@ -10,7 +11,8 @@ from tripmill.contract import (
     TRIP_SCHEMA,
     PipelineConfig,
 )
-from tripmill.operators.quality import GateFailure, stored_schema_gate
+from tripmill.operators.audit import content_sums, reconcile_content
+from tripmill.operators.quality import GateFailure, content_gate, require, stored_schema_gate
 from tripmill.operators.validate import split_valid, validate_events
 from tripmill.plans.batch import run_batch
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report
@@ -43,6 +45,7 @@ def test_whole_run(spark, tmp_path):
     assert {g.gate for g in built.gates} == {
         "batch_not_empty", "batch_required_nulls", "required_columns", "valid_values",
         "unique_trips", "stream_present", "daily_mart_not_empty", "mart_reconciles",
+        "content_reconciles",
     }
     assert built.staging.count() == 5 and built.trips.count() == 5
     for frame, schema in ((built.trips, TRIP_SCHEMA), (built.daily, DAILY_MART_SCHEMA),
@@ -71,6 +74,25 @@ def test_whole_run(spark, tmp_path):
     assert current_table(spark, "mart_daily", str(tmp_path)).count() == 3
 
 
+def test_one_changed_amount_is_found(spark, tmp_path):
+    built = run_batch(spark, batch(spark), stream(spark, event()), str(tmp_path), "r1", CFG)
+    kept = content_sums(built.trips)
+    assert content_gate(reconcile_content(kept, built.trips.repartition(3), built.daily)).first().passed
+    may = F.col("pickup_date") == F.lit(date(2025, 5, 2))
+    more = F.when(may, F.col("tip_amount") + 0.01).otherwise(F.col("tip_amount"))
+    changed = built.trips.withColumn("tip_amount", more)
+    gate = content_gate(reconcile_content(kept, changed, built.daily)).first()
+    assert tuple(gate) == ("content_reconciles at 2025-05-02 batch", False, 1)
+    cents = F.when(may, F.col("total_revenue") + 0.01).otherwise(F.col("total_revenue"))
+    marts = [built.daily.withColumn("total_revenue", cents), built.daily.where(~may)]
+    for mart in marts:
+        with pytest.raises(GateFailure, match="2025-05-02 batch"):
+            require(content_gate(reconcile_content(kept, built.trips, mart)))
+    twice = built.trips.unionByName(built.trips).unionByName(built.trips)
+    assert content_gate(reconcile_content(kept, twice, built.daily)).first().observed == 3
+    assert not content_gate(reconcile_content(kept.limit(0), built.trips.limit(0), built.daily.limit(0))).first().passed
+
+
 def test_failed_gate_stops_the_run(spark, tmp_path):
     root = tmp_path / "blocked"
     with pytest.raises(GateFailure, match="batch_required_nulls"):

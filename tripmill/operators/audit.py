@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.functions.numeric import exact_sum
+
 from tripmill.contract import EventSpec
 from tripmill.operators.quality import invalid_trip
 
@@ -65,6 +67,48 @@ def reconcile(trips: DataFrame, daily: DataFrame, how: str = "inner") -> DataFra
     )
 
 
+def content_sums(trips: DataFrame) -> DataFrame:
+    """Per date and source what identifies the content of the trips, whatever their order.
+
+    (pickup_date, source_type, trip_count, total_revenue, row_xor, row_sum). The two checksums
+    are of hashes over all columns; a pair of equal rows, which the first one does not see,
+    changes the second. Sums of parts add up to those of the whole.
+    """
+    row = F.xxhash64(*sorted(trips.columns))
+    return trips.groupBy("pickup_date", "source_type").agg(
+        F.count("*").alias("trip_count"),
+        F.round(exact_sum(F.col("total_amount")), 2).alias("total_revenue"),
+        F.bit_xor(row).alias("row_xor"),
+        F.sum(F.shiftrightunsigned(row, 32)).alias("row_sum"),
+    )
+
+
+def reconcile_content(kept: DataFrame, trips: DataFrame, daily: DataFrame) -> DataFrame:
+    """Per date and source: the sums kept when the trips were written, the trips and the daily mart.
+
+    ``same_trips`` compares the checksums with those of the trips as they are now,
+    ``same_mart`` the mart's count and revenue with the kept ones. A date that only one
+    side has is listed, as not reconciled.
+    """
+    keys = ["pickup_date", "source_type"]
+
+    def side(df: DataFrame, name: str, *columns: str) -> DataFrame:
+        return df.select(*keys, F.struct(*columns).alias(name))
+
+    sums = ("trip_count", "total_revenue", "row_xor", "row_sum")
+    sides = side(kept, "kept", *sums).join(side(content_sums(trips), "now", *sums), keys, "full")
+    sides = sides.join(side(daily, "mart", *sums[:2]), keys, "full")
+    same_mart = F.struct("kept.trip_count", "kept.total_revenue").eqNullSafe(F.col("mart"))
+    compared = sides.select(
+        *keys,
+        F.col("now.trip_count").alias("trip_rows"),
+        F.col("mart.trip_count").alias("mart_rows"),
+        (F.col("kept").isNotNull() & F.col("kept").eqNullSafe(F.col("now"))).alias("same_trips"),
+        (F.col("kept").isNotNull() & same_mart).alias("same_mart"),
+    )
+    return compared.withColumn("reconciled", F.col("same_trips") & F.col("same_mart"))
+
+
 def reject_profile(rejected: DataFrame) -> DataFrame:
     """Rejected events per error code."""
     return rejected.groupBy("error_code").agg(F.count("*").alias("rejected_rows"))

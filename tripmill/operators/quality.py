@@ -159,6 +159,20 @@ def reconciliation_gate(reconciled: DataFrame) -> DataFrame:
     ).select(F.lit("mart_reconciles").alias("gate"), "passed", "observed")
 
 
+def content_gate(compared: DataFrame) -> DataFrame:
+    """Every date and source has the content in the mart that was kept for its trips.
+
+    Takes the rows of ``reconcile_content``; the gate names the first date and source that differs.
+    """
+    off = ~F.col("reconciled")
+    first = F.min(F.when(off, F.concat_ws(" ", "pickup_date", "source_type")))
+    return compared.agg(
+        F.concat(F.lit("content_reconciles"), F.coalesce(F.concat(F.lit(" at "), first), F.lit(""))).alias("gate"),
+        F.coalesce(F.every("reconciled"), F.lit(False)).alias("passed"),
+        F.count_if(off).alias("observed"),
+    )
+
+
 def require(*results: DataFrame) -> list:
     """Raise ``GateFailure`` unless all gates passed; give back the gate rows.
 

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.contract import VALID_SCHEMA, PipelineConfig
-from tripmill.operators.audit import reconcile
+from tripmill.operators.audit import content_sums, reconcile, reconcile_content
 from tripmill.operators.quality import (
     MART_GATES,
     STAGING_GATES,
+    content_gate,
     intermediate_gates,
     reconciliation_gate,
     require,
@@ -75,7 +76,7 @@ def run_batch(
     of the valid-event table or a frame of it. Every layer is written before
     the next one reads it, so nothing is computed twice and a lost executor
     costs only the layer in progress. When all gates have passed, one release names
-    all four tables; until then readers see the tables of the last one.
+    all of its tables; until then readers see the tables of the last one.
     """
     configure(spark)
     loaded = batch if isinstance(batch, DataFrame) else load_trips(spark, batch)
@@ -93,12 +94,16 @@ def run_batch(
         stored_schema_gate(spark, run_path(root, "int_trips", run_id)),
         run_gates(trips, [*intermediate_gates(cfg.event), stream_present(cfg)]),
     )
+    sums = write(content_sums(trips), "trip_sums")
 
     daily = write(daily_mart(trips), "mart_daily", DAILY_PARTITION, DAILY_CLUSTER)
     monthly = write(monthly_mart(trips), "mart_monthly")
     gates += require(
-        run_gates(daily, MART_GATES), reconciliation_gate(reconcile(trips, daily, how="full"))
+        run_gates(daily, MART_GATES),
+        reconciliation_gate(reconcile(trips, daily, how="full")),
+        content_gate(reconcile_content(sums, trips, daily)),
     )
-    tables = {"stg_batch": staging, "int_trips": trips, "mart_daily": daily, "mart_monthly": monthly}
+    tables = {"stg_batch": staging, "int_trips": trips, "trip_sums": sums}
+    tables |= {"mart_daily": daily, "mart_monthly": monthly}
     publish_together(tables, root, run_id, keep)
     return BatchTables(staging, trips, daily, monthly, gates)
