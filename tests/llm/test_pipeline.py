@@ -80,7 +80,7 @@ def test_redaction(documents, spark):
 
 def test_registered_queries():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "decontamination", "secrets", "packing"
     ]
