@@ -20,6 +20,14 @@ from tripmill.contract import BATCH_SCHEMA
 from tripmill.functions.numeric import to_integer
 from tripmill.session import configure
 from tripmill.sources.footers import Layout, data_files, files_of, layouts
+from tripmill.sources.loads import (
+    COMPACTED,
+    drop_replaced,  # noqa: F401  (part of this module's interface)
+    last_snapshot,
+    load_folder,
+    load_names,
+    make_snapshot,
+)
 from tripmill.sources.releases import (
     Release,
     Run,
@@ -28,7 +36,6 @@ from tripmill.sources.releases import (
     file_system,
     last_release,
     make_release,
-    names_in,
     take_lease,
 )
 
@@ -275,21 +282,7 @@ def append_batch(
     cluster_by: Sequence[str] = (),
 ) -> None:
     """Add the rows of one load to a table. Repeating a load replaces its own rows."""
-    write_run(df, f"{path.rstrip('/')}/load_id={load_id}", partition_by, cluster_by)
-
-
-REPLACED = "new_load string, old_load string"
-COMPACTED = "compact-"
-
-
-def replaced_loads(spark: SparkSession, path: str) -> DataFrame:
-    """Which loads of an appended table later loads stand for."""
-    try:
-        return spark.read.schema(REPLACED).parquet(f"{path.rstrip('/')}_compactions")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], REPLACED)
+    write_run(df, load_folder(path, load_id), partition_by, cluster_by)
 
 
 def read_loads(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -301,15 +294,18 @@ def read_loads(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    # A few rows per compaction, in the driver's memory like the listing of the loads itself.
-    found = replaced_loads(spark, path).collect()
-    gone, done = {r.old_load for r in found}, {r.new_load for r in found}
-    load = F.coalesce("load_id", F.lit(""))  # a table that no stream wrote has no loads
-    if gone:
-        rows = rows.where(~load.isin(*gone))
-    finished = load.startswith(COMPACTED)
-    rows = rows.where(~finished | load.isin(*done) if done else ~finished)
-    return rows.select(*schema.names)
+    return rows.where(last_snapshot(spark, path).is_live(F.col("load_id"))).select(*schema.names)
+
+
+def read_some_loads(
+    spark: SparkSession, path: str, names: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    """The rows of some loads, read from their folders alone."""
+    if not names:
+        return spark.createDataFrame([], schema)
+    listed = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
+    reader = spark.read.schema(listed).option("basePath", path)
+    return reader.parquet(*(literal(load_folder(path, n)) for n in names)).select(*schema.names)
 
 
 def compact(
@@ -324,31 +320,20 @@ def compact(
 
     The last ``leave`` loads of every query stay, as a restarted stream may write
     them again. Rows appear in the new load and vanish from the old ones at
-    once, when the compaction is noted; ``drop_replaced`` deletes the old files later.
+    once, when the next snapshot names it; ``drop_replaced`` deletes the old files later. If
+    another compaction of the table has ended meanwhile, this one's load is deleted.
     """
-    gone = {r.old_load for r in replaced_loads(spark, path).collect()}
-    names = [f.removeprefix("load_id=") for f in names_in(spark, path) if f.startswith("load_id=")]
-    queries: dict[str, list[tuple[int, str]]] = {}
-    for name in names:
-        query, _, number = name.rpartition("-")
-        if name not in gone and not name.startswith(COMPACTED) and number.isdigit():
-            queries.setdefault(query, []).append((int(number), name))
-    old = [name for own in queries.values() for _, name in sorted(own)[: -leave or None]]
-    if len(old) < 2:
+    snapshot = last_snapshot(spark, path)
+    pending = snapshot.pending(load_names(spark, path))
+    old = {query: own[: -leave or None] for query, own in pending.items() if own[: -leave or None]}
+    names = [name for own in old.values() for _, name in own]
+    if len(names) < 2:
         return None
     new = COMPACTED + uuid.uuid4().hex
-    listed = T.StructType([*schema.fields, T.StructField("load_id", T.StringType())])
-    rows = spark.read.schema(listed).parquet(path).where(F.col("load_id").isin(*old))
-    append_batch(rows.select(*schema.names), path, new, partition_by, cluster_by)
-    note = spark.createDataFrame([(new, name) for name in old], REPLACED).coalesce(1)
-    note.write.mode("append").parquet(f"{path.rstrip('/')}_compactions")
-    return new
-
-
-def drop_replaced(spark: SparkSession, path: str) -> int:
-    """Delete the files of loads that compactions have replaced; how many there were."""
-    gone = {f"load_id={r.old_load}" for r in replaced_loads(spark, path).collect()}
-    found = [name for name in names_in(spark, path) if name in gone]
-    for name in found:
-        delete(spark, f"{path.rstrip('/')}/{name}")
-    return len(found)
+    following, absorbed = snapshot.with_merged(new, {q: (own[0][0], own[-1][0]) for q, own in old.items()})
+    rows = read_some_loads(spark, path, [*names, *(m.name for m in absorbed)], schema)
+    append_batch(rows, path, new, partition_by, cluster_by)
+    if make_snapshot(spark, path, following):
+        return new
+    delete(spark, load_folder(path, new))
+    return None
