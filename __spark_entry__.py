@@ -43,6 +43,7 @@ from tripmill.operators.conform import (  # noqa: E402
 from tripmill.operators.dedup import rank_latest_spread  # noqa: E402
 from tripmill.operators.validate import rejected_events, valid_events  # noqa: E402
 from tripmill.plans.batch import replace_staging, run_batch  # noqa: E402
+from tripmill.plans.changes import refresh  # noqa: E402
 from tripmill.plans.intermediate import build_intermediate, unify  # noqa: E402
 from tripmill.plans.marts import daily_mart, monthly_mart  # noqa: E402
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report  # noqa: E402
@@ -318,6 +319,36 @@ def release_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The released tables after a full run on part of the stream and a refresh with the late events."""
+    root = shared_dir(spark, "refresh")
+    payloads = raw_events(spark, sf_dir).withColumn("late", F.crc32("value") % 3 == 0)
+    tables = StreamTables(f"{root}/valid", f"{root}/dead_letter")
+    for part, late in (("1", False), ("2", True)):
+        payloads.filter(F.col("late") == late).select("value").write.parquet(f"{root}/landing/{part}")
+        source = file_events(spark, f"{root}/landing/*", files_per_trigger=64)
+        stream_etl(source, tables, f"{root}/checkpoint", CONFIG.event, CONFIG.as_of).awaitTermination()
+        if late:
+            refresh(spark, tables.valid, f"{root}/warehouse", "second", CONFIG)
+        else:
+            run_batch(spark, batch_trips(spark, sf_dir), tables.valid, f"{root}/warehouse", "first", CONFIG)
+    return released_tables(spark, f"{root}/warehouse")
+
+
+def refresh_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return refreshed(spark, sf_dir)["int_trips"]
+
+
+def refresh_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marts after the refresh, as one list of groups."""
+    found = refreshed(spark, sf_dir)
+    shared = ["source_type", "trip_count", "total_revenue", "average_total_amount", "average_trip_distance"]
+    daily = found["mart_daily"].select(F.lit("daily").alias("mart"), F.col("pickup_date").alias("first_day"), *shared)
+    monthly = found["mart_monthly"]
+    monthly = monthly.select(F.lit("monthly").alias("mart"), F.col("pickup_month").alias("first_day"), *shared)
+    return daily.unionByName(monthly)
+
+
 def corpus_queries() -> tuple[dict, dict]:
     """Queries and oracles of the llm subpackage and its pipeline, if they can be imported."""
     try:
@@ -391,6 +422,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_tables": pipeline_tables,
         "pipeline_report": pipeline_report,
         "release_tables": release_tables,
+        "refresh_trips": refresh_trips,
+        "refresh_marts": refresh_marts,
         **corpus_queries()[0],
     }
 

@@ -568,3 +568,10 @@ ORACLES["stream_etl_accounting"] = ORACLES["route_counts"]
 ORACLES["stream_ledger"] = ORACLES["route_counts"]
 ORACLES["gates_ledger"] = f"""SELECT 'ledger_balanced' AS gate, accounted AS passed FROM ({ORACLES["route_counts"]})
   UNION ALL SELECT 'ledger_complete', true UNION ALL SELECT gate, passed FROM ({ORACLES["gate_freshness"]})"""
+ORACLES["refresh_trips"] = ORACLES["int_trips"]
+ORACLES["refresh_marts"] = query(
+    *TRIPS,
+    MARTS,
+    then="""SELECT 'daily' AS mart, pickup_date AS first_day, * EXCLUDE (pickup_date, average_duration_minutes)
+      FROM mart_daily UNION ALL SELECT 'monthly', * FROM mart_monthly""",
+)

@@ -18,6 +18,7 @@ from tripmill.operators.dedup import dedup_latest, rank_latest, rank_latest_spre
 from tripmill.operators.quality import Gate, GateFailure, require, run_gates, schema_gate
 from tripmill.operators.validate import enrich, split_valid, validate_events
 from tripmill.plans.batch import run_batch
+from tripmill.plans.changes import apply_changes, change_set, refresh
 from tripmill.plans.intermediate import build_intermediate, unify
 from tripmill.plans.marts import daily_mart, monthly_mart
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report

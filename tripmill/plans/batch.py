@@ -24,6 +24,7 @@ from tripmill.operators.quality import (
 from tripmill.plans.intermediate import INT_CLUSTER, INT_PARTITION, build_intermediate
 from tripmill.plans.marts import DAILY_CLUSTER, DAILY_PARTITION, daily_mart, monthly_mart
 from tripmill.session import configure
+from tripmill.sources.loads import arrived_since
 from tripmill.sources.tables import (
     load_trips,
     publish_together,
@@ -76,10 +77,13 @@ def run_batch(
     of the valid-event table or a frame of it. Every layer is written before
     the next one reads it, so nothing is computed twice and a lost executor
     costs only the layer in progress. When all gates have passed, one release names
-    all of its tables; until then readers see the tables of the last one.
+    all of its tables; until then readers see the tables of the last one. Events that arrive
+    later are taken by ``plans.changes.refresh``, without a rebuild.
     """
     configure(spark)
     loaded = batch if isinstance(batch, DataFrame) else load_trips(spark, batch)
+    # Noted before the table is read: what arrives in between is applied again by a refresh, which is harmless.
+    seen = {} if isinstance(stream, DataFrame) else arrived_since(spark, stream, {})[1]
     events = stream if isinstance(stream, DataFrame) else read_loads(spark, stream, VALID_SCHEMA)
 
     def write(df: DataFrame, name: str, by: Sequence[str] = (), cluster: Sequence[str] = ()):
@@ -105,5 +109,5 @@ def run_batch(
     )
     tables = {"stg_batch": staging, "int_trips": trips, "trip_sums": sums}
     tables |= {"mart_daily": daily, "mart_monthly": monthly}
-    publish_together(tables, root, run_id, keep)
+    publish_together(tables, root, run_id, keep, seen)
     return BatchTables(staging, trips, daily, monthly, gates)

@@ -12,8 +12,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import asdict, dataclass, field
 from datetime import timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -30,16 +30,30 @@ class ReleaseConflict(RuntimeError):
 
 @dataclass(frozen=True)
 class Run:
-    """The content of a table: a run's folder, and its columns as JSON text."""
+    """The content of a table: a run's folder, and its columns as JSON text.
+
+    With ``parts`` it is some partition folders only, and maybe those of other runs: the run
+    that has each of them, by the folder's name.
+    """
 
     run_id: str
     columns: str
+    parts: Mapping[str, str] | None = None
+
+    def folders(self, name: str) -> set[tuple[str, str, str | None]]:
+        """What of table ``name`` belongs to it: (table, run, partition folder, or None for the whole run)."""
+        if self.parts is None:
+            return {(name, self.run_id, None)}
+        return {(name, run_id, part) for part, run_id in self.parts.items()}
 
 
 @dataclass(frozen=True)
 class Release:
+    """``seen`` is the last batch of each stream that the tables include, if they say so."""
+
     number: int
     tables: Mapping[str, Run]
+    seen: Mapping[str, int] = field(default_factory=dict)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -110,7 +124,7 @@ def release_numbers(spark: SparkSession, root: str) -> list[int]:
 
 def read_release(spark: SparkSession, root: str, number: int) -> Release:
     found = json.loads(read_text(spark, _place(root, number)))
-    return Release(number, {name: Run(**run) for name, run in found["tables"].items()})
+    return Release(number, {name: Run(**run) for name, run in found["tables"].items()}, found.get("seen", {}))
 
 
 def last_release(spark: SparkSession, root: str) -> Release | None:
@@ -118,16 +132,29 @@ def last_release(spark: SparkSession, root: str) -> Release | None:
     return read_release(spark, root, numbers[-1]) if numbers else None
 
 
-def make_release(spark: SparkSession, root: str, runs: Mapping[str, Run]) -> Release:
-    """Release the runs of some tables together; the other tables stay as the last release has them."""
+def make_release(
+    spark: SparkSession,
+    root: str,
+    runs: Mapping[str, Run],
+    seen: Mapping[str, int] | None = None,
+    after: int | None = None,
+) -> Release:
+    """Release the runs of some tables together; the other tables stay as the last release has them.
+
+    ``after`` is the release that the runs were worked out from: if it is not the last one any more,
+    there is no release but a ``ReleaseConflict``.
+    """
     for _ in range(ATTEMPTS):
         last = last_release(spark, root)
         number = last.number + 1 if last else 1
+        if after is not None and number != after + 1:
+            raise ReleaseConflict(f"release {after} below {root} is not the last one any more")
         tables = {**(last.tables if last else {}), **runs}
-        content = {name: {"run_id": run.run_id, "columns": run.columns} for name, run in tables.items()}
-        text = json.dumps({"made": time.time(), "by": uuid.uuid4().hex, "tables": content})
+        known = dict(seen if seen is not None else last.seen if last else {})
+        content = {name: asdict(run) for name, run in tables.items()}
+        text = json.dumps({"made": time.time(), "by": uuid.uuid4().hex, "tables": content, "seen": known})
         if create_if_absent(spark, _place(root, number), text):
-            return Release(number, tables)
+            return Release(number, tables, known)
     raise ReleaseConflict(f"{ATTEMPTS} numbers below {root} were taken by other runs")
 
 
@@ -139,17 +166,31 @@ def drop_old(spark: SparkSession, root: str, keep: int) -> list[str]:
     root = root.rstrip("/")
     numbers = release_numbers(spark, root)
     recent = [read_release(spark, root, n) for n in numbers[-max(1, keep) :]]
-    kept = {(name, run.run_id) for release in recent for name, run in release.tables.items()}
+    kept = folders_of(recent)
+    held = {(name, run_id) for name, run_id, _ in kept}
     gone = []
     for number in numbers[: -max(1, keep)]:
-        for name, run in read_release(spark, root, number).tables.items():
-            if (name, run.run_id) not in kept:
-                gone.append(f"{name}/run={run.run_id}")
-                delete(spark, f"{root}/{gone[-1]}")
+        for name, run_id, part in sorted(folders_of([read_release(spark, root, number)]) - kept, key=str):
+            if (name, run_id, None) in kept:
+                continue
+            if (name, run_id) not in held:
+                gone.append(f"{name}/run={run_id}")
+            elif part is not None:
+                gone.append(f"{name}/run={run_id}/{part}")
+            else:  # of the whole run only some partitions are still in use
+                below = [f for f in names_in(spark, f"{root}/{name}/run={run_id}") if "=" in f]
+                gone += [f"{name}/run={run_id}/{f}" for f in below if (name, run_id, f) not in kept]
+        for folder in set(gone):
+            delete(spark, f"{root}/{folder}")
         delete(spark, _place(root, number))
     return sorted(set(gone))
 
 
+def folders_of(releases: Iterable[Release]) -> set[tuple[str, str, str | None]]:
+    """All folders that some release names."""
+    return {f for release in releases for name, run in release.tables.items() for f in run.folders(name)}
+
+
 def take_lease(spark: SparkSession, root: str, run_id: str) -> None:
     """Note that a run is at work below ``root`` now."""
     write_text(spark, f"{root.rstrip('/')}/{LEASES}/{run_id}", str(time.time()))
@@ -162,7 +203,7 @@ def drop_abandoned(spark: SparkSession, root: str, older: timedelta) -> list[str
     """
     root = root.rstrip("/")
     released = [read_release(spark, root, n) for n in release_numbers(spark, root)]
-    named = {run.run_id for release in released for run in release.tables.values()}
+    named = {run_id for _, run_id, _ in folders_of(released)}
     gone = []
     for run_id in names_in(spark, f"{root}/{LEASES}"):
         if run_id.startswith("."):

@@ -36,6 +36,7 @@ from tripmill.sources.releases import (
     file_system,
     last_release,
     make_release,
+    names_in,
     take_lease,
 )
 
@@ -218,15 +219,20 @@ def publish(
 
 
 def publish_together(
-    written: Mapping[str, DataFrame], root: str, run_id: str, keep: int | None = None
+    written: Mapping[str, DataFrame],
+    root: str,
+    run_id: str,
+    keep: int | None = None,
+    seen: Mapping[str, int] | None = None,
 ) -> Release:
     """Make a run's rows the content of several tables at once, by one release.
 
-    With ``keep``, runs that only releases before the last ``keep`` ones name are deleted.
+    With ``keep``, runs that only releases before the last ``keep`` ones name are deleted. ``seen``
+    notes the last batch of each stream that the tables include; without it the last release's note stays.
     """
     spark = next(iter(written.values())).sparkSession
     runs = {name: Run(run_id, df.schema.json()) for name, df in written.items()}
-    made = make_release(spark, root, runs)
+    made = make_release(spark, root, runs, seen)
     if keep is not None:
         drop_old(spark, root, keep)
     return made
@@ -237,10 +243,27 @@ def released_tables(spark: SparkSession, root: str, release: Release | None = No
     release = release or last_release(spark, root)
     if release is None:
         return {}
-    return {
-        name: read_table(spark, run_path(root, name, run.run_id), T.StructType.fromJson(json.loads(run.columns)))
-        for name, run in release.tables.items()
-    }
+    return {name: read_run(spark, root, name, run) for name, run in release.tables.items()}
+
+
+def read_run(spark: SparkSession, root: str, name: str, run: Run) -> DataFrame:
+    """The rows of table ``name`` as a release has them, also where they are folders of several runs."""
+    schema = T.StructType.fromJson(json.loads(run.columns))
+    if run.parts is None:
+        return read_table(spark, run_path(root, name, run.run_id), schema)
+    if not run.parts:
+        return spark.createDataFrame([], schema)
+    base = f"{root.rstrip('/')}/{name}"
+    folders = [literal(f"{base}/run={run_id}/{part}") for part, run_id in sorted(run.parts.items())]
+    listed = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+    return spark.read.schema(listed).option("basePath", base).parquet(*folders).select(*schema.names)
+
+
+def parts_of(spark: SparkSession, root: str, name: str, run: Run) -> dict[str, str]:
+    """The run that has each partition folder of table ``name``."""
+    if run.parts is not None:
+        return dict(run.parts)
+    return {f: run.run_id for f in names_in(spark, run_path(root, name, run.run_id)) if "=" in f}
 
 
 def current_table(spark: SparkSession, name: str, root: str) -> DataFrame:
