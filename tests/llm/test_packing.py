@@ -148,3 +148,76 @@ def test_many_sources_share_queues(spark, monkeypatch):
 def test_serve_must_fit(documents):
     with pytest.raises(ValueError):
         pack(documents, VOCABULARY, seq_len=8, serve=9)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.data())
+def test_many_queues_follow_the_round_robin(data):
+    n = data.draw(st.integers(1, 9))
+    seq_len = data.draw(st.integers(1, 12))
+    serve = data.draw(st.integers(1, seq_len))
+    queues = sorted((data.draw(st.integers(1, 4)), data.draw(st.integers(1, 30))) for _ in range(n))
+    shares, totals = [s for s, _ in queues], [t for _, t in queues]
+    stream = slow_schedule(totals, shares, seq_len, serve)
+    pairs = sorted(set(queues))
+    schedule = mixture_pack.ManyQueues(
+        np.array([t for _, t in pairs]), np.array([s for s, _ in pairs]),
+        np.array([queues.count(p) for p in pairs]), seq_len, serve,
+    )
+    queue = np.array([q for q, _ in stream])
+    token = np.array([t for _, t in stream])
+    assert schedule.place(queue, token).tolist() == list(range(len(stream)))
+
+
+def test_many_queues_place_like_few_at_large_numbers():
+    draw = np.random.default_rng(3)
+    queues = sorted(zip(draw.integers(1, 60, 200).tolist(), draw.integers(10**9, 10**11, 200).tolist()))
+    shares, totals = (np.array(c) for c in zip(*queues))
+    few = Schedule(totals, shares, 1024, 128)
+    many = mixture_pack.ManyQueues(totals, shares, np.ones(200, np.int64), 1024, 128)
+    queue = draw.integers(0, 200, 3000)
+    token = draw.integers(0, totals[queue])
+    assert many.place(queue, token).tolist() == few.place(queue, token).tolist()
+
+
+def test_rounds_are_exact_where_products_pass_64_bits():
+    many = mixture_pack.ManyQueues(
+        np.array([10**12, 2 * 10**13]), np.array([1 << 20, 1 << 30]), np.array([3, 1]), 1024, 128
+    )
+    share, portion = np.array([1 << 20, 1 << 30]), np.array([10**12 // 128 - 1, 2 * 10**13 // 128 - 1])
+    for s, p, r in zip(share.tolist(), portion.tolist(), many.round_of(share, portion).tolist()):
+        assert (r + 1) * s * 1024 // (many.whole * 128) >= p + 1 > r * s * 1024 // (many.whole * 128)
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_windows_of_many_sources_hold_the_given_shares(spark, monkeypatch, broadcast_rows):
+    """2,000 sources of which one is to have half of all tokens."""
+    monkeypatch.setattr(mixture_pack, "BROADCAST_ROWS", broadcast_rows)
+    data = [(i, "word " * 40, f"site{i}") for i in range(2000)] + [(2000 + i, "word " * 80, "big") for i in range(1000)]
+    data.append((9999, None, None))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(6)
+    given = {"big": 0.5} | {f"site{i}": 0.25 / 1000 for i in range(2000)}
+    found = check_packing(pack(docs, VOCABULARY, shares=given, seq_len=512, serve=8), [d[:2] for d in data], 512)
+    big, last = defaultdict(int), max(r["sequence_id"] for r in found)
+    for r in found:
+        big[r["sequence_id"]] += r["length"] if 2000 <= r["doc_id"] < 3000 else 0
+    # Round-robin's bound: every source is behind its share by less than a portion, so big is ahead by no more than all.
+    served = 0
+    for i in range(last // 2):
+        served += big[i]
+        assert (i + 1) * 256 - 512 <= served <= (i + 1) * 256 + 2000 * 8 + 512
+    sites = defaultdict(int)
+    for r in found:
+        if r["doc_id"] < 2000 and r["sequence_id"] < last // 2:
+            sites[r["doc_id"]] += r["length"]
+    assert len(sites) == 2000 and max(sites.values()) - min(sites.values()) <= 8
+
+
+def test_many_sources_without_shares_end_together(spark, monkeypatch):
+    monkeypatch.setattr(mixture_pack, "MAX_QUEUES", 3)
+    data = [(i, "word " * (20 * (1 + i % 7)), f"site{i}") for i in range(200)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(4)
+    found = check_packing(pack(docs, VOCABULARY, seq_len=128, serve=4), [d[:2] for d in data], 128)
+    last = max(r["sequence_id"] for r in found)
+    done = {r["doc_id"] for r in found if r["sequence_id"] >= last * 0.9}
+    assert len(done) >= 190

@@ -9,9 +9,18 @@ has been served after ``r`` rounds is a formula of ``r``: any task can begin at
 any window with the deficits that all windows before it, in whatever partition,
 have left. Only the totals of the queues are shared, never a list of documents.
 
+Every source is a queue of its own, however many there are. Above ``MAX_QUEUES`` sources the
+queues are served in the order of their shares and totals: what all queues of one share have
+been served is then known from their sorted totals, so a token's place takes a search per
+different share, not a sum over all queues. Shares are rounded to ``SHARE_BITS``
+significant bits there, which leaves few different ones (each within 2 % of its true value). A source is behind its share by less than a
+portion at any time; those of equal small shares get their portions in the same round. Only
+the different pairs of share and total come to the driver and the tasks: the total number of tokens bounds
+them, as totals that differ add up to it.
+
 Null texts are empty: one end token. A null source is the queue of the empty
 name. Repeated rows are packed once each. An empty table gives no piece. Other
-columns are ignored. Above ``MAX_QUEUES`` sources, sources share queues by hash.
+columns are ignored. A source that ``shares`` does not name, or names with 0, has the least share.
 Memory: one Arrow batch of texts or token ids.
 """
 
@@ -30,13 +39,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import in_batches, slices, stored, text_bytes
+from tripmill.llm.common import columns_here, in_batches, slices, stored, text_bytes
+from tripmill.operators.dedup import rank_latest_spread
 
 SEQ_LEN = 1024
 #: Tokens of the smallest portion that a queue is served.
 SERVE = 128
 END_ID = 0
+#: Up to so many queues are added up one by one.
 MAX_QUEUES = 512
+#: Above that: significant bits of a share, units a queue has on average, units in all at most.
+SHARE_BITS = 6
+UNITS_EACH = 128
+MAX_UNITS = 1 << 30
 #: The shares of all queues are whole numbers that add up to about so many.
 SHARES = 1 << 16
 #: The offsets of blocks are broadcast up to so many rows of some 60 bytes, else joined by shuffle.
@@ -146,8 +161,76 @@ class Schedule:
         return out
 
 
+@dataclass(frozen=True)
+class ManyQueues:
+    """As ``Schedule``, for queues that lie in the order of their shares and, within these, totals.
+
+    ``totals``, ``shares`` and ``queues`` describe each different pair of them and how many
+    queues it has. A queue's number is its place in that order.
+    """
+
+    totals: np.ndarray
+    shares: np.ndarray
+    queues: np.ndarray
+    seq_len: int
+    serve: int
+
+    def __post_init__(self) -> None:
+        def before(values: np.ndarray) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(values)]).astype(np.int64)
+
+        heads = np.flatnonzero(np.diff(self.shares, prepend=-1))
+        put = object.__setattr__
+        put(self, "whole", int((self.shares * self.queues).sum()))
+        put(self, "starts", before(self.queues))
+        put(self, "tokens", before(self.totals * self.queues))
+        put(self, "classes", list(zip(heads.tolist(), [*heads[1:].tolist(), len(self.shares)])))
+
+    def limit(self, share: np.ndarray | int, rounds: np.ndarray) -> np.ndarray:
+        """Tokens that a queue of that share may have been served after so many rounds, if it has them."""
+        turns, rest = np.divmod(rounds * self.seq_len, self.whole)  # no product passes 64 bits
+        return (turns * share + rest * share // self.whole) // self.serve * self.serve
+
+    def round_of(self, share: np.ndarray, portion: np.ndarray) -> np.ndarray:
+        """The round that serves a queue's portion of that number, both counted from 0."""
+        need = (portion + 1) * self.serve
+        guess = need.astype(np.longdouble) * self.whole / (share.astype(np.longdouble) * self.seq_len)
+        after = np.maximum(1, np.ceil(guess).astype(np.int64))
+        while (early := (after > 1) & (self.limit(share, after - 1) >= need)).any():
+            after -= early
+        while (late := self.limit(share, after) < need).any():
+            after += late
+        return after - 1
+
+    def filled(self, low: int, high: int, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens served to all queues of the pairs ``low`` to ``high``, and the first pair that is not used up."""
+        used = low + np.searchsorted(self.totals[low:high], limit, "right")
+        open_queues = self.starts[high] - self.starts[used]
+        return self.tokens[used] - self.tokens[low] + limit * open_queues, used
+
+    def place(self, queue: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Where in the whole stream a queue's token of that number lies."""
+        pair = np.searchsorted(self.starts, queue, "right") - 1
+        share = self.shares[pair]
+        rounds = self.round_of(share, token // self.serve)
+        out = token - np.minimum(self.limit(share, rounds), self.totals[pair])
+        for low, high in self.classes:
+            ahead, own, behind = pair >= high, (pair >= low) & (pair < high), pair < low
+            for later, whole in ((1, ahead), (0, behind)):
+                at = np.flatnonzero(whole | own)
+                limit = self.limit(int(self.shares[low]), rounds[at] + later)
+                all_of, used = self.filled(low, high, limit)
+                # Of the queue's own class: those before it in this round, the others in the last one.
+                first = np.minimum(used, pair[at])
+                each = np.where(pair[at] < used, self.totals[np.minimum(pair[at], high - 1)], limit)
+                part = self.tokens[first] - self.tokens[low] + each * (queue[at] - self.starts[first])
+                mine = own[at]
+                out[at] += np.where(mine, part if later else all_of - part, all_of)
+        return out
+
+
 def pieces_of(
-    schedule: Schedule, queue: np.ndarray, first: np.ndarray, count: np.ndarray
+    schedule: Schedule | ManyQueues, queue: np.ndarray, first: np.ndarray, count: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Cuts documents: (document, start in it, length, place in the stream) of every piece.
 
@@ -197,38 +280,18 @@ def pack(
     blocks = stored(tokenized(docs, vocabulary), "pack-tokens")
     sums = blocks.groupBy("block", "source").agg(F.sum("n_tokens").alias("tokens"))
     sums = stored(sums, "pack-sums")
-    name = F.col("source")
-    if sums.select("source").distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        name = F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string")
-    sums = sums.withColumn("queue", name)
-    # At most MAX_QUEUES rows.
-    totals = {
-        r.queue: r.tokens
-        for r in sums.groupBy("queue").agg(F.sum("tokens").alias("tokens")).collect()
-    }
-    queues = sorted(totals)
-    if not queues:
+    numbered = few_queues if sums.select("source").distinct().limit(MAX_QUEUES + 1).count() <= MAX_QUEUES else many_queues
+    schedule, queues = numbered(sums, shares, seq_len, serve)
+    if not len(schedule.totals):
         return docs.sparkSession.createDataFrame([], PIECES)
-    wanted = np.array([(shares or totals).get(q, 0) for q in queues], dtype=float)
-    whole = np.maximum(1, np.rint(wanted / max(wanted.sum(), 1e-300) * SHARES)).astype(np.int64)
-    counts = np.array([totals[q] for q in queues], dtype=np.int64)
-    schedule = Schedule(counts, whole, seq_len, serve)
 
-    earlier = Window.partitionBy("queue").orderBy("block", "source").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = sums.select(
-        "block",
-        "source",
-        F.array_position(F.array(*map(F.lit, queues)), F.col("queue")).alias("queue"),
-        F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset"),
-    )
-    offsets = stored(offsets, "pack-offsets")
+    earlier = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("block", "source", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("offset"))
+    offsets = stored(starts.join(queues, "source"), "pack-offsets")
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     rows = blocks.join(offsets, ["block", "source"]).select(
-        "doc_id", (F.col("queue") - 1).alias("queue"), (F.col("offset") + F.col("before")).alias("at"),
-        "n_tokens", "ids",
+        "doc_id", "queue", (F.col("offset") + F.col("before")).alias("at"), "n_tokens", "ids"
     )
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
@@ -252,3 +315,55 @@ def pack(
         }
 
     return in_batches(rows, PIECES, work)
+
+
+def few_queues(
+    sums: DataFrame, shares: Mapping[str, float] | None, seq_len: int, serve: int
+) -> tuple[Schedule, DataFrame]:
+    """The schedule of at most ``MAX_QUEUES`` sources, and (source, queue)."""
+    spark = sums.sparkSession
+    totals = {
+        r.source: r.tokens
+        for r in sums.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()
+    }
+    names = sorted(totals)
+    wanted = np.array([(shares or totals).get(q, 0) for q in names], dtype=float)
+    whole = np.maximum(1, np.rint(wanted / max(wanted.sum(), 1e-300) * SHARES)).astype(np.int64)
+    counts = np.array([totals[q] for q in names], dtype=np.int64)
+    numbers = spark.createDataFrame([(q, i) for i, q in enumerate(names)], "source string, queue bigint")
+    return Schedule(counts, whole, seq_len, serve), F.broadcast(numbers)
+
+
+def many_queues(
+    sums: DataFrame, shares: Mapping[str, float] | None, seq_len: int, serve: int
+) -> tuple[ManyQueues, DataFrame]:
+    """The schedule of any number of sources, and (source, queue). Sources stay in Spark."""
+    spark = sums.sparkSession
+    wanted = sums.groupBy("source").agg(F.sum("tokens").alias("total"))
+    if shares:
+        given = spark.createDataFrame([(k, float(v)) for k, v in shares.items()], "source string, wanted double")
+        wanted = wanted.join(given, "source", "left").fillna(0.0, "wanted")
+    else:
+        wanted = wanted.withColumn("wanted", F.col("total").cast("double"))
+    wanted = stored(wanted, "pack-wanted")
+    n, all_wanted = wanted.agg(F.count("*"), F.sum("wanted")).first()
+    units = min(max(SHARES, UNITS_EACH * n), MAX_UNITS)
+    share = F.greatest(F.lit(1), F.rint(F.col("wanted") / F.lit(max(all_wanted, 1e-300)) * F.lit(units))).cast("bigint")
+    # The lowest bits go, down to so many significant ones.
+    step = F.expr(f"shiftleft(1L, greatest(0, length(bin(share)) - {SHARE_BITS}))")
+    queues = wanted.withColumn("share", share)
+    queues = queues.withColumn("share", (F.col("share") + F.floor(step / 2)).cast("bigint"))
+    queues = queues.withColumn("share", F.col("share") - F.col("share") % step).select("source", "total", "share")
+    queues = stored(queues, "pack-queues")
+    pairs = stored(queues.groupBy("share", "total").agg(F.count("*").alias("queues")), "pack-pairs")
+    share, total, count = columns_here(pairs)
+    order = np.lexsort((total, share))
+    schedule = ManyQueues(total[order], share[order], count[order], seq_len, serve)
+    # Where a pair's queues begin; a queue's place among them is its rank by name.
+    listed = list(zip(share[order].tolist(), total[order].tolist(), schedule.starts.tolist()))
+    begin = spark.createDataFrame(listed, "share bigint, total bigint, begin bigint")
+    if len(listed) <= BROADCAST_ROWS:
+        begin = F.broadcast(begin)
+    ranked = rank_latest_spread(queues, ["share", "total"], ["source"])
+    number = (F.col("begin") + F.col("row_number") - 1).alias("queue")
+    return schedule, stored(ranked.join(begin, ["share", "total"]).select("source", number), "pack-numbers")
