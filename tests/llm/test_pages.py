@@ -84,6 +84,23 @@ def test_articles_of_equal_pages_stay(spark):
     assert all("the same article everywhere" in t for _, _, t, _ in found(df))
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_pages_without_an_id_are_in_the_tree(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(style_tree, "BROADCAST_BYTES", limit)
+    frame = '<div class="zq"><span>same frame on every page</span></div>'
+    body = "<p>story {0} with its very own words {0}</p>"
+    rows = [
+        (None if i % 2 else i, f"http://h.example/{i}", f"<body>{frame}<div class='x'>{body.format(i)}</div></body>")
+        for i in range(60)
+    ]
+    rows += [(None, None, f"<body>{frame}<div class='x'>{body.format(99 + i)}</div></body>") for i in range(30)]
+    rows += [rows[1]] * 20
+    texts = [r.text for r in main_texts(spark.createDataFrame(rows, PAGES).repartition(4)).collect()]
+    assert len(texts) == len(rows) and not [t for t in texts if "frame" in t]
+    assert all("own words" in t for t in texts)
+
+
 def test_repeated_blocks_inside_articles_go(spark):
     def html(i):
         box = "<div class='box/2'><div><p>Written by <b>the desk</b></p><ul><li>Tell a friend</li></ul></div></div>"

@@ -17,7 +17,8 @@ that is all there is to go by.
 
 The main text is that of the article elements if any has text left, else of the main
 element, else of the body. Null or empty pages have an empty text. Repeated rows are
-treated alike, and equal pages of a host count once for its tree. Null urls share the
+treated alike, and equal pages of a host count once for its tree: as the row of least id and url,
+null before others; rows equal in these too count each. Null urls share the
 host of the empty name. Empty tables give no rows; other columns are ignored. Node
 counts are added up in each batch before they are shuffled, so a host with a third of
 all pages is no task's burden.
@@ -42,7 +43,8 @@ LOW = 0.2
 #: A host's tree says nothing until it has been merged from so many different pages.
 MIN_PAGES = 8
 MAX_DEPTH = 256
-BROADCAST_ROWS = 100_000
+#: The paths to cut are broadcast up to so many bytes of them, else joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 
 #: Elements that never hold main text.
 NOISE = frozenset(
@@ -204,9 +206,12 @@ def node_counts(pages: DataFrame) -> DataFrame:
 
 def low_nodes(pages: DataFrame) -> DataFrame:
     """(host, low): the paths of a host that are to be cut out."""
-    first = pages.groupBy("host", F.xxhash64("html").alias("hash")).agg(F.min("page_id").alias("page_id"))
-    # Equal pages count once: only the first of them, by id, is read.
-    once = pages.join(first.select("host", "page_id").distinct(), ["host", "page_id"], "left_semi")
+    pages = pages.withColumn("hash", F.xxhash64("html"))
+    first = pages.groupBy("host", "hash").agg(F.min(F.struct("page_id", "url")).alias("first")).alias("f")
+    # Equal pages count once: only the first of them, by id and url, null before others, is read.
+    same = (F.col("p.host") == F.col("f.host")) & (F.col("p.hash") == F.col("f.hash"))
+    same &= F.struct("p.page_id", "p.url").eqNullSafe(F.col("f.first"))
+    once = pages.alias("p").join(first, same, "left_semi")
     counts = node_counts(once.select("host", "html"))
     counts = counts.groupBy("host", "path", "kind", "value").agg(F.sum("pages").alias("c"))
     node = counts.groupBy("host", "path", "kind").agg(
@@ -245,7 +250,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) per page."""
     pages = hosted(pages)
     low = stored(low_nodes(pages), "style-low")
-    low = F.broadcast(low) if low.count() <= BROADCAST_ROWS else low
+    size = low.agg(F.sum(F.expr("aggregate(low, 64L, (n, path) -> n + octet_length(path) + 16)"))).first()[0]
+    low = F.broadcast(low) if (size or 0) <= BROADCAST_BYTES else low
     rows = pages.join(low, "host", "left").select("page_id", "url", "html", "low")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
