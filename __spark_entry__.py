@@ -44,7 +44,7 @@ from tripmill.operators.dedup import rank_latest_spread  # noqa: E402
 from tripmill.operators.validate import rejected_events, valid_events  # noqa: E402
 from tripmill.plans.batch import replace_staging, run_batch  # noqa: E402
 from tripmill.plans.changes import refresh  # noqa: E402
-from tripmill.plans.intermediate import build_intermediate, unify  # noqa: E402
+from tripmill.plans.intermediate import INT_CLUSTER, build_intermediate, unify  # noqa: E402
 from tripmill.plans.marts import daily_mart, monthly_mart  # noqa: E402
 from tripmill.plans.reports import batch_monthly_report, batch_vs_stream_report  # noqa: E402
 from tripmill.session import configure, shared_dir  # noqa: E402
@@ -182,6 +182,14 @@ def content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.reconcile_content(audit.content_sums(built), built, daily).drop("same_trips", "same_mart")
 
 
+def clustered_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of some zones and one payment type, from a table whose files are ordered for such filters."""
+    root = shared_dir(spark, "clustered")
+    built = trips(spark, sf_dir)
+    written = write_candidate(built, "int_trips", root, "run", cluster_by=INT_CLUSTER)
+    return written.where("payment_type = 2 AND pickup_location_id BETWEEN 100 AND 120")
+
+
 def publish_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stream_trips(spark, sf_dir).select(*EVENT_SCHEMA.names)
     text = F.decode(F.col("value"), "UTF-8").alias("payload")
@@ -406,6 +414,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gate_freshness": gate_freshness,
         "reconciliation": reconciliation,
         "content_reconciliation": content_reconciliation,
+        "clustered_lookup": clustered_lookup,
         "coverage": on(trips, audit.coverage),
         "lineage_counts": on(trips, audit.lineage_counts),
         "duplicate_rows": on(trips, audit.duplicate_rows),

@@ -575,3 +575,7 @@ ORACLES["refresh_marts"] = query(
     then="""SELECT 'daily' AS mart, pickup_date AS first_day, * EXCLUDE (pickup_date, average_duration_minutes)
       FROM mart_daily UNION ALL SELECT 'monthly', * FROM mart_monthly""",
 )
+ORACLES["clustered_lookup"] = query(
+    *TRIPS,
+    then="SELECT * FROM int_trips WHERE payment_type = 2 AND pickup_location_id BETWEEN 100 AND 120",
+)

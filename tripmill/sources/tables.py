@@ -170,13 +170,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
     """Bring rows of a partition value together and sort them for row-group skipping.
 
+    ``cluster_by`` is columns or SQL expressions, such as ``layout.interleaved`` gives.
+
     Rebalancing splits a date that holds much of the data over several tasks
     and files and merges small dates, both by their measured sizes. A plain
     repartition by date would write a large date in one task.
     """
     spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
     keys = [*partition_by, *cluster_by]
-    return spread.sortWithinPartitions(*keys) if keys else spread
+    return spread.sortWithinPartitions(*map(F.expr, keys)) if keys else spread
 
 
 def write_run(
