@@ -90,6 +90,32 @@ def test_near_copies(spark, monkeypatch, seed, pivots):
     assert found(df) == brute(docs)
 
 
+def test_a_hub_is_dealt_out(spark, monkeypatch):
+    """A group of near copies holds a third of the rows: no place gets many pairs or many copies."""
+    monkeypatch.setattr(jaccard_join, "PART", 16)
+    monkeypatch.setattr(jaccard_join, "ELEMENTS", 500)
+    base = prose(77, 60).split()
+    docs = [(i, " ".join([*base[: i % 50], f"new{i}", *base[i % 50 + 1 :]])) for i in range(200)]
+    docs += [(1000 + i, prose(5000 + i, 40)) for i in range(400)]
+    met, placed, deal, place = [], [], jaccard_join.dealt, jaccard_join.elements_at
+
+    def dealt(pairs, count):
+        out = deal(pairs, count)
+        for end in ("hub", "member"):
+            met.extend(r["count"] for r in out.groupBy(end, f"{end}_part").count().collect())
+        return out
+
+    def elements_at(docs, places):
+        placed.extend(len(r.hubs) for r in places.collect())
+        return place(docs, places)
+
+    monkeypatch.setattr(jaccard_join, "dealt", dealt)
+    monkeypatch.setattr(jaccard_join, "elements_at", elements_at)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(6)
+    assert found(df) == brute(docs)
+    assert sum(met) > 200 and max(met) <= 48 and max(placed) <= 48
+
+
 def test_boundary_does_not_change_results(spark, monkeypatch):
     docs = [d for d in near_copies(4) if len(d[1].split()) < 30]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)

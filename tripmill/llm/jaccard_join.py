@@ -25,7 +25,8 @@ Null or empty texts have the empty set and stand alone. Equal rows are linked by
 their equal sets; a null id never becomes a component's name while there is another. An
 empty table gives no rows; other columns are ignored. Members of a key are thinned to
 one set a block before the shuffle and the rest is dealt out salted, so a key that
-a third of all documents have is no task's burden.
+a third of all documents have is no task's burden. The pairs of a set with many partners are
+dealt out over parts, and the set is sent to each part once.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ BLOCK = 4096
 #: Members, pairs and whole sets that a task takes on.
 MEMBERS, PAIRS, WHOLE = 500_000, 50_000, 10_000
 SALTS = 64
+#: Pairs of a set that are joined to it at one place, and elements of sets in a batch of copies.
+PART, ELEMENTS = 256, 1 << 19
 BROADCAST_ROWS = 1_000_000
 
 _SUBSET = 0xE7037ED1A0B428DB
@@ -356,51 +359,102 @@ def with_maps(ids: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(in_tasks(maps, wanted.count(), PAIRS), "join-maps")
 
 
+def dealt(pairs: DataFrame, count: int) -> DataFrame:
+    """(hub, hub_part, member, member_part) for each pair (a, b); the hub is the one in more pairs.
+
+    The pairs of a set that is in more than ``PART`` are dealt out over parts of about as many, so
+    what is joined to a set is joined to its parts, by many tasks.
+    """
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    busy = ends.groupBy("id").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    busy = small(stored(in_tasks(busy.where("parts > 1"), count, MEMBERS), "join-busy"))
+    for c in "ab":
+        parts = busy.select(F.col("id").alias(c), F.col("parts").alias(f"{c}_parts"))
+        pairs = pairs.join(parts, c, "left").fillna(1, [f"{c}_parts"])
+    pairs = pairs.selectExpr(
+        "a_parts >= b_parts AS a_hub",
+        "named_struct('id', a, 'part', CAST(pmod(xxhash64(b), a_parts) AS INT)) AS a",
+        "named_struct('id', b, 'part', CAST(pmod(xxhash64(a), b_parts) AS INT)) AS b",
+    ).selectExpr("IF(a_hub, a, b) AS hub", "IF(a_hub, b, a) AS member")
+    return stored(
+        pairs.selectExpr(
+            "hub.id AS hub", "hub.part AS hub_part", "member.id AS member", "member.part AS member_part"
+        ),
+        "join-dealt",
+    )
+
+
+def as_pairs(found: DataFrame) -> DataFrame:
+    return found.selectExpr("least(hub, member) AS a", "greatest(hub, member) AS b")
+
+
 def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that the bit maps do not rule out."""
     pairs = stored(pairs, "join-pairs")
     count = pairs.count()
     ids = in_tasks(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), count, PAIRS)
     maps = with_maps(ids, sets)
-    a, b = (
-        maps.select(F.col("set_id").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n_shingles").alias(f"{c}_n"))
-        for c in "ab"
-    )
+    both = dealt(pairs, count)
+    for c in ("hub", "member"):
+        own = maps.select(F.col("set_id").alias(c), F.col("bits").alias(f"{c}_bits"), F.col("n_shingles").alias(f"{c}_n"))
+        copies = both.select(c, f"{c}_part").distinct().join(own, c)
+        both = in_tasks(both.join(in_tasks(copies, count, PAIRS), [c, f"{c}_part"]), count, PAIRS)
+    both = both.select("hub", "member", "hub_bits", "hub_n", "member_bits", "member_n")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
-        a_bits, a_n, b_bits, b_n = (batch.column(k).to_pylist() for k in range(2, 6))
-        keep = pa.array([may_link(*four) for four in zip(a_bits, a_n, b_bits, b_n)], pa.bool_())
-        return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+        columns = (batch.column(k).to_pylist() for k in range(2, 6))
+        keep = pa.array([may_link(*four) for four in zip(*columns)], pa.bool_())
+        return {"hub": batch.column(0).filter(keep), "member": batch.column(1).filter(keep)}
+
+    return as_pairs(in_batches(both, "hub bigint, member bigint", work))
 
-    both = in_tasks(pairs.join(a, "a"), count, PAIRS).join(b, "b")
-    both = in_tasks(both.select("a", "b", "a_bits", "a_n", "b_bits", "b_n"), count, PAIRS)
-    return in_batches(both, "a bigint, b bigint", work)
+
+COPIES = "hub bigint, hub_part int, set_id bigint, elements array<bigint>"
 
 
 def elements_at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(hub, set_id, elements) for every place (owner, set_id, hubs) of a set."""
+    """(hub, hub_part, set_id, elements) for every place (owner, set_id, hubs, parts) of a set.
+
+    The copies leave in batches of a bounded size, however many places a set has.
+    """
     places = bounded(stored(places, "join-places"), "hubs")
-    rows = docs.join(places, docs["doc_id"].eqNullSafe(places["owner"])).select("text", "set_id", "hubs")
+    rows = docs.join(places, docs["doc_id"].eqNullSafe(places["owner"]))
+    rows = rows.select("text", "set_id", "hubs", "parts")
+    names = ["hub", "hub_part", "set_id", "elements"]
 
-    def work(batch: pa.RecordBatch) -> dict[str, object]:
-        out: dict[str, list] = {"hub": [], "set_id": [], "elements": []}
-        sets, hubs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for shingles, set_id, own in zip(shingle_arrays(batch.column(0)), sets, hubs):
-            elements, found = set_of(shingles)
-            if found == set_id:  # another text may have the same document id
-                for hub in own:
-                    out["hub"].append(hub)
-                    out["set_id"].append(set_id)
-                    out["elements"].append(elements.view(np.int64))
-        return out
+    def batch_of(out: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        hub, part, set_id, elements = zip(*out)
+        ends = np.cumsum([0, *map(len, elements)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(elements)))
+        columns = [pa.array(hub, pa.int64()), pa.array(part, pa.int32()), pa.array(set_id, pa.int64()), lists]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches):
+        out, size = [], 0
+        for batch in slices(batches):
+            places = zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)])
+            for shingles, (set_id, hubs, parts) in zip(shingle_arrays(batch.column(0)), places):
+                elements, found = set_of(shingles)
+                if found != set_id:  # another text may have the same document id
+                    continue
+                elements = elements.view(np.int64)
+                for hub, part in zip(hubs, parts):
+                    out.append((hub, part, set_id, elements))
+                    size += len(elements)
+                    if size >= ELEMENTS:
+                        yield batch_of(out)
+                        out, size = [], 0
+        if out:
+            yield batch_of(out)
 
-    return in_batches(rows, "hub bigint, set_id bigint, elements array<bigint>", work)
+    return in_small_batches(rows).mapInArrow(run, COPIES)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """The pairs whose whole sets are similar enough.
 
-    A set travels once for every pair in which it is the second, and once if it is the first.
+    A set travels once for every pair in which it is the member, and once for every part of the
+    pairs in which it is the hub. A row of places has about ``PART`` of them at most.
     """
     pairs = stored(pairs, "join-possible")
     count = pairs.count()
@@ -408,16 +462,21 @@ def verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     def few(df: DataFrame) -> DataFrame:
         return in_tasks(df, count, PAIRS)
 
-    seconds = few(pairs.groupBy(F.col("b").alias("set_id")).agg(F.collect_list("a").alias("hubs")))
-    firsts = few(pairs.select(F.col("a").alias("set_id")).distinct())
-    firsts = firsts.select("set_id", F.array("set_id").alias("hubs"))
-    left = elements_at(docs, firsts.join(owners, "set_id")).select("hub", F.col("elements").alias("first"))
-    right = elements_at(docs, seconds.join(owners, "set_id"))
-    met = in_tasks(right.join(left, "hub"), count, WHOLE)
+    def listed(places: DataFrame, *by: str) -> DataFrame:
+        lists = places.groupBy(*by).agg(F.collect_list(F.struct("hub", "hub_part")).alias("p"))
+        return few(lists.select("set_id", F.col("p.hub").alias("hubs"), F.col("p.hub_part").alias("parts")))
+
+    met = dealt(pairs, count)
+    members = listed(met.withColumn("set_id", F.col("member")), "set_id", "member_part")
+    hubs = few(met.select("hub", "hub_part").distinct()).withColumn("set_id", F.col("hub"))
+    hubs = listed(hubs.withColumn("some", F.expr(f"hub_part DIV {PART}")), "set_id", "some")
+    left = elements_at(docs, hubs.join(owners, "set_id")).select("hub", "hub_part", F.col("elements").alias("first"))
+    right = elements_at(docs, members.join(owners, "set_id"))
+    met = in_tasks(right.join(left, ["hub", "hub_part"]), count, WHOLE)
     met = met.withColumn("shared", F.size(F.array_intersect("elements", "first")))
     met = met.withColumn("both", F.size("elements") + F.size("first"))
     found = met.where(f"100 * shared >= {MIN_PCT} * (both - shared)")
-    return few(found.select(F.col("hub").alias("a"), F.col("set_id").alias("b")).distinct())
+    return few(as_pairs(found.select("hub", F.col("set_id").alias("member"))).distinct())
 
 
 def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
