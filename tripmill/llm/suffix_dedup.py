@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import bounded, give_back, in_batches, slices, stored, text_bytes
+from tripmill.llm.common import bounded, give_back, in_batches, in_small_batches, slices, stored, text_bytes
 from tripmill.llm.wordhash import BASE, INVERSE, mixed, powers
 
 WINDOW = 400
@@ -46,6 +46,8 @@ CROWD = 512
 #: Suffixes in a bucket, and windows in one of a crowd's buckets.
 BUCKET = 10_000
 WINDOWS = 1_000_000
+#: Suffixes of a text that are cut at a time.
+PLACES = 4096
 
 ANCHORS = "text_id bigint, at bigint, `before` int, `after` int, gram bigint, context bigint"
 
@@ -275,9 +277,11 @@ PACKED = "bucket int, hashes binary, contexts binary, starts binary"
 def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
     """As ``shared_windows``, for grams with many contexts: windows are compared by their hashes.
 
-    A task's windows travel in one row per bucket; buckets are cut by hash.
+    Windows travel in one row per bucket and 1,024 suffixes; buckets are cut by hash. A window
+    that these suffixes share travels once, so one that all have is no bucket's burden.
     """
-    suffixes = suffixes.dropDuplicates(["gram", "context"])
+    # Suffixes of one gram lie together, as they have windows in common.
+    suffixes = suffixes.dropDuplicates(["gram", "context"]).sortWithinPartitions("gram")
     buckets = max(1, -(-count * (REACH + 1) // WINDOWS))
 
     def pack(batches):
@@ -297,6 +301,14 @@ def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
             if not hashes:
                 continue
             columns = [np.concatenate(c) for c in (hashes, contexts, starts)]
+            order = np.argsort(columns[0], kind="stable")
+            hashes, contexts, starts = (c[order] for c in columns)
+            first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+            twice = ~first
+            twice[:-1] |= ~first[1:]
+            # What these suffixes have twice is a repeat already: it travels once, for the others.
+            yield ends_of(contexts[twice], starts[twice])
+            columns = [c[first] for c in (hashes, contexts, starts)]
             where = columns[0] % np.uint64(buckets)
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(buckets + 1, dtype=np.uint64))
@@ -307,29 +319,55 @@ def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
                 names=["bucket", "hashes", "contexts", "starts"],
             )
 
+    def ends_of(contexts: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        """The first and the last start of each context as one row without hashes, for any bucket."""
+        order = np.lexsort((starts, contexts))
+        contexts, starts = contexts[order], starts[order]
+        edge = contexts[1:] != contexts[:-1]
+        kept = np.concatenate([[True], edge]) | np.concatenate([edge, [True]]) if len(order) else []
+        contexts, starts = contexts[kept], starts[kept]
+        bucket = [int(contexts[0].view(np.uint64) % np.uint64(buckets))] if len(order) else []
+        columns = [[b""], [contexts.tobytes()], [starts.tobytes()]] if len(order) else [[], [], []]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
+            names=["bucket", "hashes", "contexts", "starts"],
+        )
+
+    def starts_in(contexts: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(contexts), pa.array(starts.astype(np.int32))], names=["context", "start"]
+        )
+
     def compared(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
         kinds = (np.uint64, np.int64, np.int16)
         hashes, contexts, starts = (
             np.frombuffer(b"".join(c), dtype=k) for c, k in zip(zip(*rows), kinds)
         )
-        _, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
-        twice = times[which] > 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(contexts[twice]), pa.array(starts[twice].astype(np.int32))],
-            names=["context", "start"],
-        )
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        twice = np.zeros(len(order), dtype=bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        return starts_in(contexts[twice], starts[twice])
 
     def compare(batches):
         bucket, rows = None, []
         for batch in batches:
-            for number, *columns in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+            for number, hashes, contexts, starts in zip(*batch.columns):
+                number = number.as_py()
                 if number != bucket and rows:
                     yield compared(rows)
                     rows = []
                 bucket = number
-                rows.append(columns)
+                if not hashes.as_buffer().size:
+                    yield starts_in(
+                        np.frombuffer(contexts.as_buffer(), np.int64), np.frombuffer(starts.as_buffer(), np.int16)
+                    )
+                    continue
+                rows.append((hashes.as_py(), contexts.as_py(), starts.as_py()))
         if rows:
             yield compared(rows)
+        give_back()
 
     packed = suffixes.mapInArrow(pack, PACKED).repartition(buckets, "bucket")
     found = packed.sortWithinPartitions("bucket").mapInArrow(compare, "context bigint, start int")
@@ -344,16 +382,30 @@ def suffixes_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     listed = stored(listed.select("text_id", *[F.col(f"a.{n}").alias(n) for n in fields]), "suffix-places")
     rows = texts.join(bounded(listed, "at"), "text_id").select("text", *fields)
 
-    def work(batch: pa.RecordBatch) -> dict[str, object]:
-        out: dict[str, list] = {n: [] for n in ("gram", "context", "crowd", "left", "right")}
-        for text, places in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
-            out["left"] += [text[max(0, at - REACH) : at][::-1] for at in places]
-            out["right"] += [text[at : at + WINDOW] for at in places]
-        for k, name in ((2, "gram"), (3, "context"), (4, "crowd")):
-            out[name] = batch.column(k).flatten()
-        return out
-
-    return in_batches(rows, SUFFIXES, work, 256)
+    names = ["gram", "context", "crowd", "left", "right"]
+
+    def batch_of(kept: list[list[pa.Array]], left: list[bytes], right: list[bytes]) -> pa.RecordBatch:
+        columns = [pa.concat_arrays(c) for c in zip(*kept)]
+        columns += [pa.array(left, pa.binary()), pa.array(right, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches):
+        kept, left, right = [], [], []
+        for batch in slices(batches, 256):
+            for k, text in enumerate(text_bytes(batch.column(0))):
+                places, *others = (batch.column(c)[k].values for c in range(1, 5))
+                for first in range(0, len(places), PLACES):
+                    at = places.slice(first, PLACES).to_pylist()
+                    kept.append([c.slice(first, PLACES) for c in others])
+                    left += [text[max(0, a - REACH) : a][::-1] for a in at]
+                    right += [text[a : a + WINDOW] for a in at]
+                    if len(left) >= PLACES:
+                        yield batch_of(kept, left, right)
+                        kept, left, right = [], [], []
+        if kept:
+            yield batch_of(kept, left, right)
+
+    return in_small_batches(rows).mapInArrow(run, SUFFIXES)
 
 
 def repeats(texts: DataFrame) -> DataFrame:
