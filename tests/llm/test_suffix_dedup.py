@@ -75,10 +75,20 @@ def test_shared_passages(spark, seed):
 def test_crowded_grams(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CROWD", 3)
     monkeypatch.setattr(suffix_dedup, "WINDOWS", 2000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 5)
     monkeypatch.setattr(common, "BROADCAST_ENTRIES", 0)
     check(spark, shared_passages(3))
 
 
+def test_a_passage_of_all_documents_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 8)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 10)
+    passage, boiler = prose(90, 300), prose(91, 90)[:430]
+    docs = [(i, prose(9000 + i, 20 + i % 30) + passage + str(i)) for i in range(60)]
+    docs += [(100 + i, prose(9500 + i, 3) + boiler + prose(9700 + i, 40)) for i in range(60)]
+    check(spark, docs, 6)
+
+
 def test_periodic_and_long_texts(spark, monkeypatch):
     unit = prose(5, 30)
     docs = [(1, "a" * 1500), (2, "b" * 399 + "a" * 450), (3, unit * 20), (4, unit[7:] * 9), (5, "ab" * 300),

@@ -46,6 +46,8 @@ CROWD = 512
 #: Suffixes in a bucket, and windows in one of a crowd's buckets.
 BUCKET = 10_000
 WINDOWS = 1_000_000
+#: A context is dealt out if it has more than one in so many of all places.
+SHARE = 65_536
 #: Suffixes of a text that are cut at a time.
 PLACES = 4096
 
@@ -319,54 +321,58 @@ def crowd_windows(suffixes: DataFrame, count: int) -> DataFrame:
                 names=["bucket", "hashes", "contexts", "starts"],
             )
 
-    def ends_of(contexts: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        """The first and the last start of each context as one row without hashes, for any bucket."""
+    def first_and_last(contexts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the starts of each context the first and the last."""
+        if not len(contexts):
+            return contexts, starts
         order = np.lexsort((starts, contexts))
         contexts, starts = contexts[order], starts[order]
         edge = contexts[1:] != contexts[:-1]
-        kept = np.concatenate([[True], edge]) | np.concatenate([edge, [True]]) if len(order) else []
-        contexts, starts = contexts[kept], starts[kept]
-        bucket = [int(contexts[0].view(np.uint64) % np.uint64(buckets))] if len(order) else []
-        columns = [[b""], [contexts.tobytes()], [starts.tobytes()]] if len(order) else [[], [], []]
+        kept = np.concatenate([[True], edge]) | np.concatenate([edge, [True]])
+        return contexts[kept], starts[kept]
+
+    def ends_of(contexts: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+        """The first and the last start of each context as one row without hashes, for any bucket."""
+        contexts, starts = first_and_last(contexts, starts)
+        rows = [(int(contexts[0]) % buckets, b"", contexts.tobytes(), starts.tobytes())] if len(starts) else []
+        bucket, *columns = zip(*rows) if rows else [()] * 4
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
             names=["bucket", "hashes", "contexts", "starts"],
         )
 
-    def starts_in(contexts: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(contexts), pa.array(starts.astype(np.int32))], names=["context", "start"]
-        )
-
-    def compared(rows: list[tuple[bytes, bytes, bytes]]) -> pa.RecordBatch:
-        kinds = (np.uint64, np.int64, np.int16)
-        hashes, contexts, starts = (
-            np.frombuffer(b"".join(c), dtype=k) for c, k in zip(zip(*rows), kinds)
-        )
+    def compared(rows: list[tuple[bytes, bytes, bytes]], known: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        """A bucket's windows that occur twice, with those known to do so, as ends of their contexts."""
+        hashes = np.frombuffer(b"".join(r[0] for r in rows), np.uint64)
+        contexts = np.frombuffer(b"".join(r[1] for r in rows), np.int64)
+        starts = np.frombuffer(b"".join(r[2] for r in rows), np.int16)
         order = np.argsort(hashes, kind="stable")
         same = hashes[order[1:]] == hashes[order[:-1]]
         twice = np.zeros(len(order), dtype=bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        return starts_in(contexts[twice], starts[twice])
+        more = [np.frombuffer(b"".join(k[i] for k in known), t) for i, t in ((0, np.int64), (1, np.int16))]
+        contexts, starts = first_and_last(
+            np.concatenate([contexts[twice], more[0]]), np.concatenate([starts[twice], more[1]])
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array(contexts), pa.array(starts.astype(np.int32))], names=["context", "start"]
+        )
 
     def compare(batches):
-        bucket, rows = None, []
+        bucket, rows, known = None, [], []
         for batch in batches:
-            for number, hashes, contexts, starts in zip(*batch.columns):
-                number = number.as_py()
-                if number != bucket and rows:
-                    yield compared(rows)
-                    rows = []
+            for number, *columns in zip(*[batch.column(k).to_pylist() for k in range(4)]):
+                if number != bucket and bucket is not None:
+                    yield compared(rows, known)
+                    rows, known = [], []
                 bucket = number
-                if not hashes.as_buffer().size:
-                    yield starts_in(
-                        np.frombuffer(contexts.as_buffer(), np.int64), np.frombuffer(starts.as_buffer(), np.int16)
-                    )
-                    continue
-                rows.append((hashes.as_py(), contexts.as_py(), starts.as_py()))
-        if rows:
-            yield compared(rows)
+                if columns[0]:
+                    rows.append(columns)
+                else:
+                    known.append(columns[1:])
+        if bucket is not None:
+            yield compared(rows, known)
         give_back()
 
     packed = suffixes.mapInArrow(pack, PACKED).repartition(buckets, "bucket")
@@ -408,6 +414,24 @@ def suffixes_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return in_small_batches(rows).mapInArrow(run, SUFFIXES)
 
 
+def dealt_join(shared: DataFrame, ends: DataFrame, contexts: DataFrame) -> DataFrame:
+    """The places of contexts joined with what is known of each; places of a context that holds
+    more than one in ``SHARE`` of them are dealt out over parts.
+
+    At most ``SHARE`` contexts can hold that many, so their list is broadcast.
+    """
+    key = ["gram", "context"]
+    total = contexts.agg(F.sum("n")).first()[0] or 0
+    most = max(BUCKET, -(-total // SHARE))
+    busy = contexts.where(F.col("n") > most).select(*key, F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    busy = F.broadcast(stored(busy, "suffix-busy"))
+    part = F.expr("CAST(pmod(xxhash64(text_id, at), coalesce(parts, 1)) AS INT)")
+    places = shared.join(busy, key, "left").withColumn("part", part)
+    parts = F.expr("sequence(0, coalesce(parts, 1) - 1)")
+    known = ends.join(busy, key, "left").withColumn("part", F.explode(parts))
+    return places.drop("parts").join(known.drop("parts"), [*key, "part"])
+
+
 def repeats(texts: DataFrame) -> DataFrame:
     """(text_id, starts, ends): the maximal runs of a text's bytes that lie in repeated windows.
 
@@ -420,7 +444,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     shared = stored(anchors.join(grams, "gram"), "suffix-shared")
     contexts = shared.groupBy("gram", "context").agg(
         F.min(place).alias("low"), F.max(place).alias("high"),
-        F.first("before").alias("before"), F.first("after").alias("after"),
+        F.first("before").alias("before"), F.first("after").alias("after"), F.count("*").alias("n"),
     )
     contexts = stored(contexts, "suffix-contexts")
     whole = contexts.where("low <> high").select("gram", "context", "before", "after")
@@ -441,7 +465,7 @@ def repeats(texts: DataFrame) -> DataFrame:
     ends = whole.unionByName(parts).groupBy("gram", "context").agg(
         F.max("before").alias("b"), F.max("after").alias("a")
     )
-    spans = shared.join(ends, ["gram", "context"]).select(
+    spans = dealt_join(shared, ends, contexts).select(
         "text_id", F.struct((F.col("at") - F.col("b")).alias("start"), (F.col("at") + F.col("a")).alias("end")).alias("span")
     )
     length = F.octet_length("text").cast("bigint")
