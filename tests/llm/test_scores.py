@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripmill.llm import corpus_score, mixing
@@ -102,6 +103,57 @@ def test_scores_do_not_depend_on_neighbours(model):
     assert np.allclose(together, alone, rtol=1e-5)
 
 
+def by_hand(model, text):
+    """The score of a text, decision by decision, in plain Python."""
+    hashes, mask = mixing._HASH, 2**32 - 1
+    whole = [mixing.END] * 5 + [*text, mixing.END]
+    coder, total = model.coder, 0.0
+    for i in range(5, len(whole)):
+        b = whole[i - 5 : i][::-1]
+        two, three = b[0] | b[1] << 8, b[0] | b[1] << 8 | b[2] << 16
+        five = ((three | b[3] << 24) * hashes[0] & mask) ^ (b[4] * hashes[1] & mask)
+        pair = b[0] * 256 + whole[i]
+        first = int(coder.starts[pair])
+        for at in range(first, first + int(coder.lengths[pair])):
+            logits, seen = [], []
+            for k, context in enumerate((two, three, five)):
+                x = ((context * hashes[k] & mask) + k + int(coder.spread[at])) & mask
+                x = (x ^ x >> 15) * hashes[3] & mask
+                value = model.logits[k][x >> 32 - coder.table_bits[k]]
+                logits.append(float(value))
+                seen.append(int(value.view(np.uint32)) & 3)
+            gate = seen[1] * 4 + seen[2]
+            mix = sum(w * x for w, x in zip(model.weights[gate], logits))
+            cell = model.cells[gate * mixing.CELLS + int(min(max(mix * 4 + mixing.CELLS // 2 + 0.5, 0), mixing.CELLS - 1))]
+            n = cell.sum() + 8
+            p = (1 / (1 + math.exp(-mix)) * (1 + 8 / n) + cell[1] / n) / 2
+            p = p * (1 - 2 * mixing.SURE) + mixing.SURE
+            total += math.log10(p if coder.bits[at] else 1 - p)
+    return total
+
+
+def test_scores_by_hand(model):
+    texts = [b"", b"a", prose(3, 40, 500).encode(), "w1 漢 W2".encode(), b"w10 w11. w12"]
+    got = model.log10_probabilities(texts)
+    assert np.allclose(got, [by_hand(model, t) for t in texts], rtol=1e-3)
+
+
+def test_tables_grow_with_the_corpus(spark, monkeypatch):
+    sizes = [mixing.table_bits(1 << k) for k in (0, 25, 26, 30, 46)]
+    assert sizes[:2] == [mixing.BITS] * 2 and [s[0] - mixing.BITS[0] for s in sizes] == [0, 0, 1, 2, 6]
+    monkeypatch.setattr(mixing, "LEARNT", 4)
+    docs = [(i, prose(i, 60, 300)) for i in range(80)]
+    check(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3), docs)
+
+
+def test_counts_travel_without_zeros():
+    numbers = np.random.default_rng(1).integers(0, 3, 2 * corpus_score.SEGMENT).astype(np.int32)
+    total = np.zeros(len(numbers), np.int64)
+    for _ in range(2):
+        corpus_score.add_sparse(total, pa.py_buffer(corpus_score.sparse(numbers)))
+    assert (total == 2 * numbers).all()
+
+
 def test_paths_are_a_prefix_code():
     found = paths(np.arange(256) ** 2)
     codes = {"".join(str(b) for _, b in path) for path in found}

@@ -9,7 +9,9 @@ Word counts are complete. The most frequent words, ``TOP`` at most, are at hand
 every task; all other words of a document are joined with the table of counts. The
 mixing model is learnt by every task on its documents in turn; then the counts are
 added up, and the weights averaged by how many decisions they rest on. Its tables
-have a fixed size, whatever the corpus.
+grow with the fourth root of the training bytes: 4 MB up to 32 MB of text, 32 MB at 30 GB,
+256 MB at 100 TB. They are broadcast, and a task that learns holds twice as much. Weights
+depend on which documents a task learns from, so scores vary with the partitioning.
 
 Null or empty texts have one token, the end. Repeated rows are learnt from and
 scored each for itself. An empty table gives no rows; without any training document
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import ROWS, columns_here, in_batches, slices, stored, text_bytes
 from tripmill.llm.mixing import (
-    BITS,
     CELLS,
     GATES,
     ORDERS,
@@ -109,7 +110,7 @@ def learnt(docs: DataFrame, coder: Broadcast) -> DataFrame:
             for at in range(0, len(counts), SEGMENT):
                 piece = counts[at : at + SEGMENT]
                 if piece.any():
-                    rows.append((part, at // SEGMENT, piece.astype(np.float64).tobytes()))
+                    rows.append((part, at // SEGMENT, sparse(piece.ravel())))
                 if len(rows) >= 32:
                     yield batch_of(rows)
                     rows = []
@@ -126,6 +127,17 @@ def batch_of(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     )
 
 
+def sparse(numbers: np.ndarray) -> bytes:
+    """The numbers that are not zero, then their places."""
+    at = np.flatnonzero(numbers)
+    return numbers[at].astype(np.int32).tobytes() + at.astype(np.uint16).tobytes()
+
+
+def add_sparse(total: np.ndarray, raw: pa.Buffer) -> None:
+    n = raw.size // 6
+    total[np.frombuffer(raw, np.uint16, n, 4 * n)] += np.frombuffer(raw, np.int32, n)
+
+
 def added_up(pieces: DataFrame) -> DataFrame:
     """Sums of equal pieces; counts become logits. One piece is in memory at a time."""
 
@@ -135,18 +147,20 @@ def added_up(pieces: DataFrame) -> DataFrame:
         return part, segment, packed_logits(total.reshape(-1, 2)).tobytes()
 
     def run(batches):
-        now, total = None, None
+        now, total, counted = None, None, False
         for batch in batches:
             done = []
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             for key, raw in zip(keys, batch.column(2)):
-                numbers = np.frombuffer(raw.as_buffer(), np.float64)
-                if key == now:
-                    total = total + numbers
-                    continue
-                if now is not None:
-                    done.append(finished(*now, total))
-                now, total = key, numbers
+                if key != now:
+                    if now is not None:
+                        done.append(finished(*now, total))
+                    counted = key[0] >= 0
+                    now, total = key, np.zeros(2 * SEGMENT, np.int64) if counted else 0.0
+                if counted:
+                    add_sparse(total, raw.as_buffer())
+                else:
+                    total = total + np.frombuffer(raw.as_buffer(), np.float64)
             if done:
                 yield batch_of(done)
         if now is not None:
@@ -156,8 +170,8 @@ def added_up(pieces: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, coder: Coder) -> Model:
-    """The mixing model of all training documents. Some 20 MB come to the driver, at any scale."""
-    logits = [np.zeros(1 << b, dtype=np.float32) for b in BITS]
+    """The mixing model of all training documents. Its tables come to the driver, 4 bytes a slot."""
+    logits = [np.zeros(1 << b, dtype=np.float32) for b in coder.table_bits]
     weights = np.full((GATES, len(ORDERS)), 0.4)
     cells = np.zeros((GATES * CELLS, 2))
     shared = docs.sparkSession.sparkContext.broadcast(coder)
@@ -202,7 +216,7 @@ def scores(docs: DataFrame) -> DataFrame:
     byte_pairs[pairs] = times
     coder = Coder(byte_pairs.reshape(256, 256))
     context = docs.sparkSession.sparkContext
-    # Fixed sizes: 32 MB, and 30 MB at most.
+    # 32 MB; and the size that ``table_bits`` allows.
     words = context.broadcast(word_table(counts))
     model = context.broadcast(train(docs, coder))
     space = total + distinct + 1

@@ -17,9 +17,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Context lengths in bytes, and the binary logarithms of the tables' sizes.
+#: Context lengths in bytes, and the binary logarithms of the tables' sizes, which hold for
+#: up to ``2 ** LEARNT`` bytes learnt from; sixteen times as many bytes have twice the slots.
 ORDERS = (2, 3, 5)
 BITS = (18, 18, 19)
+LEARNT = 25
+#: No decision is taken for more certain than this, so all texts have some probability.
+SURE = 1e-7
 END = 0xFF
 BACK = 5
 PIECE = 1 << 14
@@ -88,11 +92,18 @@ def pair_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return found
 
 
+def table_bits(size: int) -> tuple[int, ...]:
+    """The binary logarithms of the tables' sizes for so many bytes to learn from."""
+    more = max(0, -(-((max(size, 1) - 1).bit_length() - LEARNT) // 4))
+    return tuple(b + more for b in BITS)
+
+
 class Coder:
     """Turns bytes into decisions and their places in the tables."""
 
     def __init__(self, counts: np.ndarray) -> None:
         """``counts`` has how often each byte (column) follows each byte (row)."""
+        self.table_bits = table_bits(int(counts.sum()))
         common = paths(counts.sum(0))
         lengths, starts, nodes, bits, lists, begins = [], [], [], [], {}, {}
         for tree in range(257):
@@ -135,7 +146,7 @@ class Coder:
         three = two | back[2] << np.uint32(16)
         five = (three | back[3] << np.uint32(24)) * np.uint32(_HASH[0]) ^ back[4] * np.uint32(_HASH[1])
         slots = []
-        for k, (context, bits) in enumerate(zip((two, three, five), BITS)):
+        for k, (context, bits) in enumerate(zip((two, three, five), self.table_bits)):
             mixed = (context * np.uint32(_HASH[k]) + np.uint32(k)).take(which)
             mixed += spread
             mixed ^= mixed >> np.uint32(15)
@@ -181,7 +192,7 @@ class Trainer:
     def __init__(self, coder: Coder) -> None:
         self.coder = coder
         # Zeros and ones of a slot lie side by side and are read as one number.
-        self.counts = [np.zeros(2 << b, dtype=np.int32) for b in BITS]
+        self.counts = [np.zeros(2 << b, dtype=np.int32) for b in coder.table_bits]
         self.weights = np.full((GATES, len(ORDERS)), 0.4)
         self.squares = np.full((GATES, len(ORDERS)), 1e-6)
         self.cells = np.zeros((GATES * CELLS, 2))
@@ -205,15 +216,16 @@ class Trainer:
             mix = mixed_logits(self.weights, gate, logits)
             error = squashed(mix)
             np.subtract(bit, error, out=error, dtype=np.float32)
-            per_gate = np.bincount(gate, minlength=GATES)
+            cell = cell_of(mix, gate) * 2 + bit
+            cells = np.bincount(cell, minlength=2 * GATES * CELLS)
+            self.cells += cells.reshape(-1, 2)
+            per_gate = cells.reshape(GATES, -1).sum(1)
             scale = 1 / np.maximum(per_gate, 1)
             for j, x in enumerate(logits):
                 gradient = np.bincount(gate, weights=error * x, minlength=GATES) * scale
                 self.squares[:, j] += gradient**2
                 self.weights[:, j] += RATE * gradient / np.sqrt(self.squares[:, j])
             self.events += per_gate
-            cell = cell_of(mix, gate) * 2 + bit
-            self.cells += np.bincount(cell, minlength=2 * GATES * CELLS).reshape(-1, 2)
             for counts, slot in zip(self.counts, slots):
                 slot <<= 1
                 slot += bit
@@ -254,7 +266,9 @@ class Model:
             p = squashed(mix)
             p *= half * (trust.take(cell) + 1)
             p += half * share.take(cell)
+            # Both bits keep a chance, and their chances add up to one.
+            p *= np.float32(1 - 2 * SURE)
+            p += np.float32(SURE)
             p = np.where(bit, p, 1 - p)
-            np.clip(p, 1e-7, 1, out=p)
             np.add.at(out, owners, np.add.reduceat(np.log10(p, out=p), events, dtype=np.float64))
         return out
