@@ -113,3 +113,33 @@ def test_sliding_min(values, size):
     size = min(size, len(values))
     want = [min(values[i : i + size]) for i in range(len(values) - size + 1)]
     assert sliding_min(np.array(values, np.uint64), size).tolist() == want
+
+
+def test_buckets_do_not_name_what_a_task_knows(spark, monkeypatch):
+    """Contexts of one crowd whose windows lie in many buckets give a row each, not one or two per bucket."""
+    monkeypatch.setattr(suffix_dedup, "WINDOWS", 2000)
+    monkeypatch.setattr(suffix_dedup, "CROWD", 8)
+    monkeypatch.setattr(suffix_dedup, "SUFFIXES_EACH", 256, raising=False)
+    counts, made = [], []
+    run, maps = suffix_dedup.crowd_windows, type(spark.range(1)).mapInArrow
+
+    def counted(suffixes, count):
+        counts.append(count)
+        return run(suffixes, count)
+
+    def watched(df, function, schema, *more):
+        out = maps(df, function, schema, *more)
+        if function.__name__ == "compare":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "crowd_windows", counted)
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", watched)
+    words = prose(50, 110).split()
+    docs = [(i, " ".join([*words[:70], f"x{i}", *words[70:]])) for i in range(300)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(spark, docs, 6)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 0 < made[0] <= 1.2 * counts[0]
