@@ -114,3 +114,23 @@ def test_signatures_estimate_similarity(percent):
 
 def test_chance_of_a_missed_pair():
     assert (1 - 0.85**dedup.BAND) ** dedup.BANDS < 1e-8
+
+
+def test_only_sets_alike_by_signature_travel_whole(spark, monkeypatch):
+    """Sets that share a band's key with others and yet are alike none stay out of the exact step."""
+    monkeypatch.setattr(dedup, "ROUNDS", 0)
+    monkeypatch.setattr(dedup, "BAND", 1)
+    monkeypatch.setattr(dedup, "BANDS", 2 * dedup.PERMUTATIONS)
+    asked = []
+    run = dedup.elements_of
+
+    def watched(ids, docs, owners):
+        asked.append(ids.count())
+        return run(ids, docs, owners)
+
+    monkeypatch.setattr(dedup, "elements_of", watched)
+    shared = prose(70, 60).split()
+    docs = [(i, " ".join([*shared, *prose(700 + i, 60).split()]), "en", "s", None) for i in range(40)]
+    docs += [(40, docs[0][1] + " more", "en", "s", None)]
+    got = rows(dedup.near_duplicates(spark.createDataFrame(docs, DOC_SCHEMA)))
+    assert got == by_hand(docs) and asked == [2]

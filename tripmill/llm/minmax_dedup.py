@@ -12,9 +12,9 @@ none of the ``BANDS`` keys with a chance of 1e-8. In every list of sets with a k
 common the one that is in most lists is the pivot, and each set is confirmed against
 the best pivot that it meets, on whole sets of 64-bit hashes. Lists whose sets are all
 connected then are done. After ``ROUNDS`` such rounds, blocks of the lists that stay open
-meet in one task each, with their whole sets. There all pairs across components are
-judged, by their signatures and then exactly, each in the first band that it shares; only
-links become rows. That is quadratic in texts that share keys and yet do not link.
+meet in one task each. There all pairs across components are judged by their signatures,
+each in the first band that it shares. Only sets that some pair of a block takes for alike
+meet again with their whole sets, to be judged exactly; only links become rows. That is quadratic in texts that share keys and yet do not link.
 
 Null or empty texts have the empty set and stand alone. Equal rows are linked by their
 equal sets; a null id names a component only if there is no other. An empty table gives
@@ -24,6 +24,8 @@ partial sums, and its rows lie in as many tasks as Spark's splitting of skewed j
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -144,57 +146,85 @@ def links_across(members: DataFrame, sets: DataFrame, docs: DataFrame, owners: D
     counts = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     ids = stored(members.select("set_id").distinct(), "minmax-ids")
     signed = sets.where("signature IS NOT NULL").select("set_id", "signature").join(ids, "set_id")
-    signed = signed.groupBy("set_id").agg(F.first("signature").alias("signature"))
-    signed = stored(signed.join(elements_of(ids, docs, owners), "set_id"), "minmax-signatures")
+    signed = stored(signed.groupBy("set_id").agg(F.first("signature").alias("signature")), "minmax-signatures")
     cells = members.join(counts, "key").withColumn("mine", F.expr("CAST(pmod(xxhash64(set_id), blocks) AS INT)"))
     cells = cells.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "band", "mine",
-        "set_id", "component",
+        "set_id", "component", "size",
     )
-    cells = cells.join(signed, "set_id").repartition("key", "low", "high")
-    cells = cells.select("key", "low", "high", "band", "mine", "set_id", "component", "signature", "elements")
-    cells = cells.sortWithinPartitions("key", "low", "high")
-
-    def met(rows: list[tuple]) -> pa.RecordBatch:
-        """The links of one cell."""
-        _, low, high, band, mine, ids, component, signature, elements = zip(*rows)
-        values = np.stack([np.frombuffer(x, dtype="<u2") for x in signature])
-        bands = values.reshape(len(ids), BANDS, BAND)
-        own = [np.frombuffer(x, dtype=np.uint64) for x in elements]
-        size, mine = np.array([len(x) for x in own]), np.array(mine)
-        part = np.unique(np.array(component, dtype=object), return_inverse=True)[1]
-        left, right = [], []
-        for i in range(len(ids)):
-            rest = slice(i + 1, len(ids))
-            fit = (part[rest] != part[i]) & ((low[0] == high[0]) | (mine[rest] != mine[i]))
-            fit &= 100 * np.minimum(size[rest], size[i]) >= MIN_PCT * np.maximum(size[rest], size[i])
-            j = i + 1 + np.flatnonzero(fit)
-            if not len(j):
-                continue
-            j = j[(values[j] == values[i]).sum(1) >= AGREE]
-            j = j[(bands[j] == bands[i]).all(2).argmax(1) == band[0]] if len(j) else j
-            for k in j.tolist():
-                shared = shared_elements(own[i], own[k])
-                if 100 * shared >= MIN_PCT * (size[i] + size[k] - shared):
-                    left.append(ids[i])
-                    right.append(ids[k])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"]
-        )
-
-    def run(batches):
+    names = cells.columns
+    near = in_small_batches(in_cells(cells.join(signed, "set_id"), [*names, "signature"]))
+    near = stored(near.mapInArrow(by_cell(near_sets), NEAR), "minmax-near")
+    elements = elements_of(near.select("set_id").distinct(), docs, owners)
+    full = near.join(signed, "set_id").join(elements, "set_id")
+    full = in_small_batches(in_cells(full, [*names, "signature", "elements"]))
+    return full.mapInArrow(by_cell(linked_sets), "a binary, b binary").distinct()
+
+
+NEAR = "key bigint, low int, high int, band int, mine int, set_id binary, component binary, size bigint"
+
+
+def in_cells(rows: DataFrame, names: list[str]) -> DataFrame:
+    cell = ("key", "low", "high")
+    return rows.select(*names).repartition(*cell).sortWithinPartitions(*cell)
+
+
+def by_cell(work: Callable[[list[tuple]], pa.RecordBatch]):
+    """A function for ``mapInArrow`` that works on the rows of one cell at a time."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
         for batch in slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[:3] != now and rows:
-                    yield met(rows)
+                    yield work(rows)
                     rows = []
                 now = row[:3]
                 rows.append(row)
         if rows:
-            yield met(rows)
+            yield work(rows)
+
+    return run
+
+
+def alike(rows: list[tuple]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each set of a cell with the later ones that are alike by their signatures, in their first shared band."""
+    _, low, high, band, mine, _, component, size, signature = list(zip(*rows))[:9]
+    values = np.stack([np.frombuffer(x, dtype="<u2") for x in signature])
+    bands = values.reshape(len(values), BANDS, BAND)
+    size, mine = np.array(size), np.array(mine)
+    part = np.unique(np.array(component, dtype=object), return_inverse=True)[1]
+    for i in range(len(values)):
+        rest = slice(i + 1, len(values))
+        fit = (part[rest] != part[i]) & ((low[0] == high[0]) | (mine[rest] != mine[i]))
+        fit &= 100 * np.minimum(size[rest], size[i]) >= MIN_PCT * np.maximum(size[rest], size[i])
+        j = i + 1 + np.flatnonzero(fit)
+        j = j[(values[j] == values[i]).sum(1) >= AGREE] if len(j) else j
+        j = j[(bands[j] == bands[i]).all(2).argmax(1) == band[0]] if len(j) else j
+        if len(j):
+            yield i, j
+
+
+def near_sets(rows: list[tuple]) -> pa.RecordBatch:
+    """The rows of one cell that are alike another one of it; most cells have none."""
+    kept = sorted({int(k) for i, j in alike(rows) for k in (i, *j)})
+    columns = list(zip(*[rows[k][:8] for k in kept])) or [()] * 8
+    names = [field.split()[0] for field in NEAR.split(", ")]
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.binary(), pa.binary(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
 
-    return in_small_batches(cells).mapInArrow(run, "a binary, b binary").distinct()
+def linked_sets(rows: list[tuple]) -> pa.RecordBatch:
+    """The links of one cell, judged on whole sets."""
+    own = [np.frombuffer(row[9], dtype=np.uint64) for row in rows]
+    left, right = [], []
+    for i, j in alike(rows):
+        for k in j.tolist():
+            shared = shared_elements(own[i], own[k])
+            if 100 * shared >= MIN_PCT * (len(own[i]) + len(own[k]) - shared):
+                left.append(rows[i][5])
+                right.append(rows[k][5])
+    return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
 
 def set_components(docs: DataFrame, sets: DataFrame) -> DataFrame | None:
