@@ -138,6 +138,34 @@ def test_scores_by_hand(model):
     assert np.allclose(got, [by_hand(model, t) for t in texts], rtol=1e-3)
 
 
+def test_a_byte_in_a_known_context_is_worked_out_once(model, monkeypatch):
+    worked_out = []
+    byte_logs = Model.byte_logs
+
+    def counted(self, byte, back):
+        worked_out.append(len(byte))
+        return byte_logs(self, byte, back)
+
+    monkeypatch.setattr(Model, "byte_logs", counted)
+    fresh = Model(model.coder, model.logits, model.weights, model.cells)
+    texts = [prose(i, 300, 500).encode() for i in range(40)] + [b"", "漢字 漢字".encode(), bytes(9)]
+    first = fresh.log10_probabilities(texts)
+    once = sum(worked_out)
+    assert 0 < once < sum(len(t) + 1 for t in texts)
+    worked_out.clear()
+    assert np.allclose(fresh.log10_probabilities(texts), first, rtol=1e-12)
+    assert sum(worked_out) < once / 10  # those that lost their slot to another
+
+
+def test_bytes_that_share_a_slot_keep_their_own_scores(model, monkeypatch):
+    texts = [prose(i, 200, 500).encode() for i in range(20)] + [b"", bytes(9)]
+    want = Model(model.coder, model.logits, model.weights, model.cells).log10_probabilities(texts)
+    monkeypatch.setattr(mixing, "REMEMBERED", 2)
+    small = Model(model.coder, model.logits, model.weights, model.cells)
+    for _ in range(2):
+        assert np.allclose(small.log10_probabilities(texts), want, rtol=1e-12)
+
+
 def test_tables_grow_with_the_corpus(spark, monkeypatch):
     sizes = [mixing.table_bits(1 << k) for k in (0, 25, 26, 30, 46)]
     assert sizes[:2] == [mixing.BITS] * 2 and [s[0] - mixing.BITS[0] for s in sizes] == [0, 0, 1, 2, 6]
