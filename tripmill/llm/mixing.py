@@ -38,8 +38,6 @@ CELLS = 64
 RATE = 0.02
 PRIOR = 0.4
 
-LOG10_E = float(np.log10(np.e))
-
 _HASH = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
 
 
@@ -321,5 +319,4 @@ class Model:
         p *= np.float32(1 - 2 * SURE)
         p += np.float32(SURE)
         p = np.where(bit, p, 1 - p)
-        # The natural logarithm is several times as fast.
-        return np.add.reduceat(np.log(p, out=p), begins, dtype=np.float64) * LOG10_E
+        return np.add.reduceat(np.log10(p, out=p), begins, dtype=np.float64)
