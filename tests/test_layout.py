@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.sources.layout import interleaved
-from tripmill.sources.tables import write_run
+from tripmill.sources.tables import laid_out, write_run
 
 
 def slow(cells, bits):
@@ -63,3 +63,13 @@ def test_a_filter_on_any_column_skips_row_groups(spark, tmp_path):
         read, every = groups(tmp_path / "curve", column, low, high)
         assert every >= 16 and read <= every * 0.45
     assert spark.read.parquet(str(tmp_path / "curve")).count() == 60_000
+
+
+def test_places_are_worked_out_once_per_row_not_in_comparisons(spark):
+    rows = spark.range(9).selectExpr("id % 3 AS day", "id AS zone", "7 - id AS minute")
+    laid = laid_out(rows, ["day"], ["zone", interleaved(("zone", 0, 9), ("minute", 0, 9))])
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and "shift" not in sorts[0] and "shift" in plan
+    assert laid.columns == rows.columns
+    assert sorted(laid.collect()) == sorted(rows.collect())

@@ -174,11 +174,17 @@ def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[st
 
     Rebalancing splits a date that holds much of the data over several tasks
     and files and merges small dates, both by their measured sizes. A plain
-    repartition by date would write a large date in one task.
+    repartition by date would write a large date in one task. Expressions are worked
+    out once per row before the sort, which would else do so in every comparison.
     """
     spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    keys = [*partition_by, *cluster_by]
-    return spread.sortWithinPartitions(*map(F.expr, keys)) if keys else spread
+    # Names longer than any that the table has.
+    longest = max(map(len, df.columns))
+    places = {k: f"{'_' * longest}{i}" for i, k in enumerate(cluster_by) if k not in df.columns}
+    if places:
+        spread = spread.withColumns({name: F.expr(k) for k, name in places.items()})
+    keys = [*map(F.expr, partition_by), *(F.col(places[k]) if k in places else F.expr(k) for k in cluster_by)]
+    return spread.sortWithinPartitions(*keys).drop(*places.values()) if keys else spread
 
 
 def write_run(
