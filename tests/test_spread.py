@@ -52,3 +52,11 @@ def test_landed_parts_hold_every_payload_in_files_for_all_cores(spark, tmp_path)
     assert landed.exceptAll(expected).isEmpty()
     late = spark.read.parquet(f"{tmp_path}/stream/landing/2")
     assert late.where("crc32(value) % 3 <> 0").isEmpty()
+
+
+def test_bytes_of_payloads_are_taken_as_they_are(spark, tmp_path):
+    """The texts are built valid; ``encode`` would walk every one of them to see that."""
+    payloads = raw_events(spark, lake(spark, tmp_path))
+    assert "encode(" not in payloads._jdf.queryExecution().optimizedPlan().toString()
+    broken = payloads.filter("NOT is_valid_utf8(CAST(value AS STRING))").count()
+    assert broken == sum(2 if i % 7 == 0 else 1 for i in range(300) if i % 50 == 37)

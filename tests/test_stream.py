@@ -6,6 +6,7 @@ from test_validate import CASES
 from tripmill.operators.audit import input_accounting, recent_valid, reject_profile
 from tripmill.operators.validate import ROUTING_METRICS, split_valid, validate_events
 from tripmill.sources.events import file_events, text_events
+from tripmill.streaming import etl
 from tripmill.streaming.etl import StreamTables, stream_etl
 
 PAYLOADS = [payload.encode() for payload, _ in CASES] + [b"\xff\xfe"]
@@ -140,3 +141,23 @@ def test_compaction_between_restarts(spark, tmp_path, lake):
     land(spark, tmp_path / "in", [event(event_id="last").encode()], "f9")
     finish(start(spark, tmp_path, lake))
     assert lake.read_valid(spark).count() == 6
+
+
+def test_the_cache_of_a_batch_holds_no_valid_payloads_and_no_dictionaries(spark, tmp_path, lake, monkeypatch):
+    setting = "spark.sql.inMemoryColumnarStorage.compressed"
+    seen = []
+
+    def watched(rows):
+        kept = rows.filter("raw_payload IS NOT NULL")
+        held = (kept.filter("error_code IS NULL").count(), kept.count())
+        seen.append((*held, rows.sparkSession.conf.get(setting)))
+        return split_valid(rows)
+
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(etl, "split_valid", watched)
+    land(spark, tmp_path / "in", PAYLOADS, "a")
+    finish(start(spark, tmp_path, lake))
+    rejected = lake.read_dead_letter(spark)
+    assert seen == [(0, rejected.count(), "false")]
+    assert rejected.filter("raw_payload IS NULL").count() == 0
+    assert spark.conf.get(setting) == before

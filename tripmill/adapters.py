@@ -175,11 +175,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = """CASE WHEN defect = 31 THEN '"vendor":2' END"""
     bodies = values.selectExpr("defect", f"concat_ws(',', {fields}, {extra}) AS body")
     return bodies.selectExpr(
-        """encode(CASE defect
+        """CAST(CASE defect
              WHEN 1 THEN concat('{', body)
              WHEN 2 THEN concat('[{', body, '}]')
              WHEN 29 THEN concat('{', body, '} x')
-             ELSE concat('{', body, '}') END, 'UTF-8')
+             ELSE concat('{', body, '}') END AS BINARY)
            || CASE WHEN defect = 37 THEN X'FF' ELSE X'' END AS value"""
     )
 

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripmill.contract import DEAD_LETTER_SCHEMA, VALID_SCHEMA, EventSpec
@@ -61,12 +62,17 @@ def stream_etl(
     gets the counts of every batch.
     """
     validated = validate_events(events, spec, as_of, payload=events.columns[0])
+    # Only the dead letter table has payloads: those of valid events need no place in the cache.
+    validated = validated.withColumn("raw_payload", F.expr("if(error_code IS NULL, NULL, raw_payload)"))
     query_id: list[str] = []
 
     def route(batch: DataFrame, batch_id: int) -> None:
         if not query_id:  # known once the query has started
             query_id.append(_query_id(batch.sparkSession, checkpoint))
         load_id = f"{query_id[0]}-{batch_id}"
+        # Rows are read twice and dropped: dictionaries of their columns cost more than they save.
+        # The session is the stream's own, so other caches keep the setting they have.
+        batch.sparkSession.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, rejected = split_valid(rows)
