@@ -60,3 +60,14 @@ def test_bytes_of_payloads_are_taken_as_they_are(spark, tmp_path):
     assert "encode(" not in payloads._jdf.queryExecution().optimizedPlan().toString()
     broken = payloads.filter("NOT is_valid_utf8(CAST(value AS STRING))").count()
     assert broken == sum(2 if i % 7 == 0 else 1 for i in range(300) if i % 50 == 37)
+
+
+def test_equal_events_are_dealt_to_all_parts_without_a_sort(spark, tmp_path):
+    one = spark.range(0, 4000, 1, 1).selectExpr(
+        "CAST(NULL AS BIGINT) AS event_id", "TIMESTAMP_NTZ '2024-01-02 00:00:00' AS ts", "3L AS user_id", "1.5D AS value"
+    )
+    one.write.parquet(f"{tmp_path}/events.parquet")
+    payloads = raw_events(spark, str(tmp_path))
+    assert "RoundRobin" not in payloads._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in payloads.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == workers(spark) and max(sizes) < 2 * 4000 / workers(spark)
